@@ -47,12 +47,15 @@ def failures_from_events(events: DataFrame) -> DataFrame:
 
 
 def telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Second stand-in with many equal timestamps per machine; tie = (orderkey, linenumber)."""
+    """Second stand-in with many equal timestamps per machine; tie = (orderkey, linenumber).
+
+    Sensor values keep at most two decimals and small magnitudes, so 6-decimal
+    comparisons with another engine have no rounding ties."""
     return lineitem.select(
         F.col("l_shipdate").alias("datetime"),
         F.col("l_suppkey").alias("machineID"),
         F.col("l_quantity").alias("volt"),
-        F.col("l_extendedprice").alias("rotate"),
+        F.pmod(F.floor("l_extendedprice"), F.lit(1000)).cast("double").alias("rotate"),
         (F.col("l_discount") * 100.0).alias("pressure"),
         (F.col("l_tax") * 100.0).alias("vibration"),
         F.col("l_orderkey").alias("tie"),
@@ -121,7 +124,7 @@ SQL_FAILURES = f"""SELECT ts AS datetime, user_id AS machineID,
   'comp' || CAST(({SQL_K} % 4) + 1 AS VARCHAR) AS failure
   FROM events WHERE event_type = 'error' AND value > 100"""
 SQL_LINEITEM_TELEMETRY = """SELECT l_shipdate AS datetime, l_suppkey AS machineID, l_quantity AS volt,
-  l_extendedprice AS rotate, l_discount * 100.0 AS pressure, l_tax * 100.0 AS vibration,
+  CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS DOUBLE) AS rotate, l_discount * 100.0 AS pressure, l_tax * 100.0 AS vibration,
   l_orderkey AS tie, l_linenumber AS tie2 FROM lineitem"""
 SQL_PRED_LOG = f"""SELECT user_id AS machineID, CAST({SQL_K} AS DOUBLE) / 99.0 AS failure_probability,
   CAST(CAST({SQL_K} AS DOUBLE) / 99.0 > 0.5 AS INTEGER) AS failure_prediction,
