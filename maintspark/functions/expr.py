@@ -81,3 +81,17 @@ def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     targets = set(columns or [n for n, t in fields.items() if isinstance(t, (T.DoubleType, T.FloatType))])
     return df.select(*[F.nanvl(F.col(n), F.lit(None).cast(fields[n])).alias(n) if n in targets else F.col(n)
                        for n in df.columns])
+
+
+def floor_time(c, micros: int) -> Column:
+    """Start of the ``micros``-wide bucket holding ``c`` (TIMESTAMP_NTZ, time-zone free)."""
+    n = F.floor(epoch_micros(c) / F.lit(micros)).cast("long")
+    return F.timestamp_add("MICROSECOND", n * F.lit(micros), F.lit(_EPOCH).cast("timestamp_ntz"))
+
+
+def bucket_number(c, micros: int) -> Column:
+    return F.floor(epoch_micros(c) / F.lit(micros)).cast("long")
+
+
+def bucket_start(n, micros: int) -> Column:
+    return F.timestamp_add("MICROSECOND", col(n) * F.lit(micros), F.lit(_EPOCH).cast("timestamp_ntz"))

@@ -21,8 +21,9 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def telemetry_from_events(events: DataFrame, with_tie: bool = True) -> DataFrame:
-    """T1 from ``events``: one machine per user, sensors derived from value and props.k."""
+def telemetry_from_events(events: DataFrame, with_tie: bool = True, keep=()) -> DataFrame:
+    """T1 from ``events``: one machine per user, sensors derived from value and props.k.
+    ``keep``: event columns carried along unchanged."""
     k = _k()
     cols = [
         F.col("ts").alias("datetime"),
@@ -34,7 +35,7 @@ def telemetry_from_events(events: DataFrame, with_tie: bool = True) -> DataFrame
     ]
     if with_tie:
         cols.append(F.col("event_id").alias("tie"))
-    return events.select(*cols)
+    return events.select(*cols, *[F.col(c) for c in keep])
 
 
 def failures_from_events(events: DataFrame) -> DataFrame:
