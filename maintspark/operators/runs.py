@@ -31,6 +31,14 @@ def _group(df: DataFrame, group: str | None) -> list[str]:
     return [group] if group and group in df.columns else []
 
 
+def _join(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on the group keys; without a group, on a constant key (both sides are
+    one row per group, so this is never a cartesian product of large inputs)."""
+    if on:
+        return a.join(b, on, how)
+    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one", how).drop("_one")
+
+
 def active_runs(runs: DataFrame, group: str | None = GROUP) -> DataFrame:
     """R2: the latest active run per group (ties on date: smallest version)."""
     g = _group(runs, group)
@@ -61,7 +69,7 @@ def compare(base: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """Model 1 = ``base`` row, model 2 = ``other`` row, matched on ``on``."""
     a = base.select(*on, *[F.col(c).alias(f"{c}_1") for c in ("version", "auc_score", "precision", "recall")])
     b = other.select(*on, *[F.col(c).alias(f"{c}_2") for c in ("version", "auc_score", "precision", "recall")])
-    j = a.join(b, on)
+    j = _join(a, b, list(on))
     d_auc = F.col("auc_score_2") - F.col("auc_score_1")
     d_prec = F.col("precision_2") - F.col("precision_1")
     d_rec = F.col("recall_2") - F.col("recall_1")
@@ -86,13 +94,11 @@ def promote(runs: DataFrame, chosen: DataFrame, at: str, group: str | None = GRO
     g = _group(runs, group)
     known = chosen.select(*g, F.col("version").alias("_chosen")).join(
         runs.select(*g, F.col("version").alias("_chosen")), g + ["_chosen"], "left_semi")
-    retire = active_runs(runs, group).join(known.select(*g).distinct(), g, "left_semi") \
-        .select(*g, F.col("version").alias("_retire"))
-    marks = known.join(retire, g, "full_outer") if g else known.withColumn("_one", F.lit(1)).join(
-        retire.withColumn("_one", F.lit(1)), "_one", "full_outer").drop("_one")
+    retire = _join(active_runs(runs, group), known.select(*g).distinct() if g else known.limit(1).select(),
+                   g, "left_semi").select(*g, F.col("version").alias("_retire"))
+    marks = _join(known, retire, g, "full_outer")
     cols = runs.columns
-    tagged = runs.join(marks, g, "left") if g else \
-        runs.withColumn("_one", F.lit(1)).join(marks.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    tagged = _join(runs, marks, g, "left")
     is_new = F.col("version") == F.col("_chosen")
     is_old = (F.col("version") == F.col("_retire")) & ~F.coalesce(is_new, F.lit(False))
     out = tagged.select(*[
@@ -112,8 +118,7 @@ def auto_decisions(runs: DataFrame, min_auc: float = S.PROMOTE_MIN_AUC,
                                                F.col("auc_score").alias("candidate_auc"))
     act = active_runs(runs, group).select(*g, F.col("version").alias("active_version"),
                                           F.col("auc_score").alias("active_auc"))
-    j = best.join(act, g, "left") if g else best.withColumn("_one", F.lit(1)).join(
-        act.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    j = _join(best, act, g, "left")
     imp = F.col("candidate_auc") - F.col("active_auc")
     promote_flag = (F.col("candidate_auc") >= min_auc) & (F.col("active_auc").isNull() | (imp >= min_improvement))
     reason = (F.when(F.col("candidate_auc") < min_auc, "below AUC threshold")

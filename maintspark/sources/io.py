@@ -29,20 +29,26 @@ def _text_schema(schema: T.StructType, time_cols: Sequence[str]) -> T.StructType
                          for f in schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_cols: Sequence[str] = (S.TIME,),
-             bad_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows). A missing path raises ``FileNotFoundError``."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_cols: Sequence[str] = (S.TIME,)
+             ) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows). Every column is read as text and converted with
+    ``try_cast`` / ``try_to_timestamp``; a row whose non-empty text does not convert is
+    bad. (Explicit conversion instead of the parser's corrupt-record column, which
+    CSV column pruning skips for columns a query does not read.)
+    A missing path raises ``FileNotFoundError`` (S4)."""
     _require(spark, path)
-    raw_schema = _text_schema(schema, time_cols).add(T.StructField(bad_col, T.StringType(), True))
-    raw = (spark.read.schema(raw_schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", bad_col).csv(path))
-    parsed = raw.select(*[parse_time(F.col(c)).alias(c) if c in time_cols else F.col(c) for c in schema.names],
-                        F.col(bad_col), *[F.col(c).alias(f"_raw_{c}") for c in time_cols])
-    unparsed = F.lit(False)
-    for c in time_cols:
-        unparsed = unparsed | (F.col(c).isNull() & F.col(f"_raw_{c}").isNotNull())
-    bad_rows = parsed.filter(F.col(bad_col).isNotNull() | unparsed)
-    good = parsed.filter(F.col(bad_col).isNull() & ~unparsed).select(*schema.names)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    conv = [parse_time(F.col(f.name)) if f.name in time_cols else
+            (F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType))
+            for f in schema.fields]
+    bad = F.lit(False)
+    for f, c in zip(schema.fields, conv):
+        bad = bad | (F.col(f.name).isNotNull() & (F.trim(F.col(f.name)) != "") & c.isNull())
+    tagged = raw.select(*[c.alias(f.name) for f, c in zip(schema.fields, conv)], bad.alias("_bad"),
+                        F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("_raw"))
+    good = tagged.filter(~F.col("_bad")).select(*schema.names)
+    bad_rows = tagged.filter(F.col("_bad")).select(F.col("_raw").alias("raw_record"))
     return good, bad_rows
 
 
@@ -94,7 +100,7 @@ def read_runs_json(spark: SparkSession, path: str) -> DataFrame:
     """Model-run records stored as one JSON object ``{version: {...}}`` per file.
     Each file is one small record map; it is parsed with a fixed map schema and exploded."""
     _require(spark, path)
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     m = F.from_json(F.col("value"), T.MapType(T.StringType(), RUN_RECORD))
     rows = text.select(F.explode(m).alias("key", "r"))
     return rows.select(*[F.coalesce(F.col("r.version"), F.col("key")).alias("version") if n == "version"
