@@ -177,6 +177,21 @@ def feature_table_q(spark, sf):
     return feature_table(_tel(spark, sf), _fail(spark, sf), tie="tie")
 
 
+@register("feature_table_chunked", sql=f"""
+WITH t AS ({A.SQL_TELEMETRY}), f AS ({A.SQL_FAILURES}),
+r AS (SELECT *, {_ru_cols} FROM t {_ru_win})
+SELECT datetime, machineID, {_FILL},
+  CAST(EXISTS (SELECT 1 FROM f WHERE f.machineID = r.machineID
+       AND r.datetime >= f.datetime - INTERVAL 72 HOUR AND r.datetime < f.datetime) AS INTEGER)
+  AS failure_within_window
+FROM r
+WINDOW g AS (ORDER BY machineID, datetime, tie ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def feature_table_chunked_q(spark, sf):
+    """M1 skew-safe plan: every machine above 16 rows is cut into time chunks for the
+    window and the fill (23-row halo, chunk carries); same result as ``feature_table``."""
+    return feature_table(_tel(spark, sf), _fail(spark, sf), tie="tie", chunk_rows=16)
+
+
 # ------------------------------------------------------------------ P9/P10 head and tail
 @register("first_readings", sql=f"""
 WITH t AS ({A.SQL_TELEMETRY})

@@ -75,17 +75,19 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
                      windows: Sequence[int] = S.WINDOWS, stats: Sequence[str] = S.STATS,
                      spec: Mapping[int, Sequence[str]] | None = None,
                      key: str = S.KEY, time: str = S.TIME, tie=None,
-                     min_periods: str = "one", chunk_rows: int | None = None) -> DataFrame:
+                     min_periods: str = "one", chunk_rows: int | None = None,
+                     keep_chunk: bool = False) -> DataFrame:
     """W1 (and W2 via ``spec``, W3 via ``min_periods='full'``).
 
     ``tie``: column(s) that order readings with equal ``time`` (pandas keeps file order).
-    ``chunk_rows``: split machines with more rows than this into time chunks (skew).
+    ``chunk_rows``: split machines with more rows than this into time chunks (skew);
+    ``keep_chunk`` keeps the chunk number as column ``_chunk`` (0 for machines not split).
     """
     spec = dict(spec or default_spec(windows, stats))
     order = _order(time, tie)
     if not chunk_rows:
         return df.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
-    return _chunked_rolling(df, spec, sensors, key, time, order, min_periods, int(chunk_rows))
+    return _chunked_rolling(df, spec, sensors, key, time, order, min_periods, int(chunk_rows), keep_chunk)
 
 
 def rolling_preview(df: DataFrame, machine_id: int, sensors: Sequence[str] = S.SENSORS,
@@ -106,7 +108,7 @@ def rolling_baseline(df: DataFrame, sensors: Sequence[str] = S.SENSORS, **kw) ->
 
 
 # ---------------------------------------------------------------- skew-safe plan
-def _chunked_rolling(df, spec, sensors, key, time, order, min_periods, chunk_rows):
+def _chunked_rolling(df, spec, sensors, key, time, order, min_periods, chunk_rows, keep_chunk=False):
     halo = max(int(w) for w in spec) - 1
     # Per-machine row counts and time span: one partial aggregation. Only machines
     # above chunk_rows are chunked; their number is at most rows/chunk_rows, and the
@@ -118,7 +120,7 @@ def _chunked_rolling(df, spec, sensors, key, time, order, min_periods, chunk_row
                 .select(key, "_t0",
                         (F.floor((F.col("_t1") - F.col("_t0")).cast("double") * F.lit(float(chunk_rows)) / F.col("_n")) + 1)
                         .cast("long").alias("_len")))
-    hot = F.broadcast(hot) if _bounded(hot, 100_000) else hot
+    hot = F.broadcast(hot) if _bounded(hot, 100_000) else hot   # at most rows/chunk_rows machines
     tagged = (df.join(hot, key, "left")
                 .withColumn("_chunk", F.when(F.col("_len").isNull(), F.lit(0))
                             .otherwise(F.floor((epoch_micros(time) - F.col("_t0")) / F.col("_len"))).cast("long"))
@@ -136,6 +138,7 @@ def _chunked_rolling(df, spec, sensors, key, time, order, min_periods, chunk_row
     redo = (edge.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
                 .filter((F.col("_chunk") > 0) & (F.col("_rn") <= halo)))
     cols = list(df.columns) + [c for c in main.columns if c not in df.columns and not c.startswith("_")]
+    cols += ["_chunk"] if keep_chunk else []
     return fixed.select(*cols).unionByName(redo.select(*cols))
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +31,22 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 
 def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
+    """Range-partitioned, partition-tagged and checkpointed copy of ``df``.
+
+    The input is persisted (memory, spilling to disk) for the three jobs that read it
+    -- the range sampling, the checkpoint's count and its write -- so it is computed
+    once; both copies are released once the checkpoint exists."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
-    ranged = df.repartitionByRange(n, *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
-    return ranged.checkpoint(eager=True)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return ranged.checkpoint(eager=True)
+    finally:
+        ranged.unpersist()
+        src.unpersist()
 
 
 def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),

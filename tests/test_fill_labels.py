@@ -138,3 +138,17 @@ def test_two_failures_same_time_are_two_rows(spark):
     assert out.readings.iloc[0] == len(win)
     assert np.isclose(out.volt_mean.iloc[0], win.volt.mean())
     assert np.isclose(out.volt_trend.iloc[0], win.volt.iloc[-1] - win.volt.iloc[0])
+
+
+def test_feature_table_chunked_and_tail_paths_equal_reference(spark):
+    # long trailing sensor outage on one machine forces the whole-history fallback
+    tel, fail = make_telemetry(1500, 4, nulls=0.1), make_failures(10, 4)
+    last_m1 = tel.index[tel.machineID == 1][-60:]
+    tel.loc[last_m1, "volt"] = np.nan
+    exp = pandas_features(tel, fail).sort_values(["machineID", "datetime"]).reset_index(drop=True)
+    st, sf = to_spark(spark, tel), to_spark(spark, fail)
+    for kw in ({"carry": "tail"}, {"carry": "aggregate"}, {"chunk_rows": 100}):
+        out = feature_table(st, sf, **kw).toPandas().sort_values(["machineID", "datetime"]).reset_index(drop=True)
+        assert list(out.columns) == list(exp.columns), kw
+        for c in S.feature_columns():
+            assert np.allclose(out[c].to_numpy(float), exp[c].to_numpy(float), atol=1e-9), (kw, c)
