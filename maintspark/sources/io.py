@@ -60,8 +60,8 @@ def read_failures_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return read_csv(spark, path, S.FAILURES)
 
 
-def load_datasets(spark: SparkSession, data_path: str, telemetry_file: str = "PdM_telemetry.csv",
-                  failures_file: str = "PdM_failures.csv") -> tuple[DataFrame, DataFrame]:
+def load_datasets(spark: SparkSession, data_path: str, telemetry_file: str = "telemetry.csv",
+                  failures_file: str = "failures.csv") -> tuple[DataFrame, DataFrame]:
     """Both tables from a folder (local, HDFS or an object store URI); either
     one missing raises ``FileNotFoundError``."""
     base = data_path.rstrip("/")

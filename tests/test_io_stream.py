@@ -21,10 +21,10 @@ from maintspark.streaming import stream as X
 
 def write_csv_pair(folder):
     tel = make_telemetry(100, 5)
-    tel.to_csv(os.path.join(folder, "PdM_telemetry.csv"), index=False)
+    tel.to_csv(os.path.join(folder, "telemetry.csv"), index=False)
     fail = pd.DataFrame({"datetime": ["2024-01-05", "2024-01-12", "2024-01-18"], "machineID": [1, 3, 2],
                          "failure": ["comp1", "comp2", "comp1"]})
-    fail.to_csv(os.path.join(folder, "PdM_failures.csv"), index=False)
+    fail.to_csv(os.path.join(folder, "failures.csv"), index=False)
     return tel, fail
 
 
