@@ -49,14 +49,24 @@ def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataF
         src.unpersist()
 
 
+# Inputs with a proven row count up to this size are scanned in one task.
+SINGLE_TASK_ROWS = 100_000
+
+
 def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),
-                carries: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                carries: Sequence[str] = (), num_partitions: int | None = None,
+                known_rows: int | None = None) -> DataFrame:
     """Add ``{c}_cum`` (inclusive running sum) for ``sums`` and ``{c}_prev``
     (last non-null value strictly before the row) for ``carries``.
 
     ``order`` must be a total order (unique) for a deterministic result.
+    ``known_rows``: an exact row count of ``df`` the caller already has; at most
+    ``SINGLE_TASK_ROWS`` rows are scanned in one task (no sampling, no checkpoint).
     """
-    tagged = _tagged(df, order, num_partitions)
+    if known_rows is not None and known_rows <= SINGLE_TASK_ROWS:
+        tagged = df.withColumn(_PID, F.lit(0))
+    else:
+        tagged = _tagged(df, order, num_partitions)
     ocols = _order_cols(order)
 
     # Per-partition summaries: totals and the last non-null value of each carry column.
