@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 _PID = "_scan_pid"
+# Inputs with a proven row count up to this size are scanned in one task.
+SINGLE_TASK_ROWS = 100_000
+# Target rows per range partition of the distributed scan.
+ROWS_PER_PARTITION = 1_000_000
 
 
 def _order_cols(order: Sequence) -> list[Column]:
@@ -33,24 +37,29 @@ def _order_cols(order: Sequence) -> list[Column]:
 def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
     """Range-partitioned, partition-tagged and checkpointed copy of ``df``.
 
-    The input is persisted (memory, spilling to disk) for the three jobs that read it
-    -- the range sampling, the checkpoint's count and its write -- so it is computed
-    once; both copies are released once the checkpoint exists."""
+    The input is persisted (memory, spilling to disk) for the jobs that read it --
+    its count, the range sampling, the checkpoint's count and its write -- so it is
+    computed once; the copies are released once the checkpoint exists. The number
+    of range partitions follows the row count (about ``ROWS_PER_PARTITION`` each);
+    an input of at most ``SINGLE_TASK_ROWS`` rows is one partition."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = None
     try:
+        rows = src.count()
+        if rows <= SINGLE_TASK_ROWS:
+            return src.coalesce(1).withColumn(_PID, F.lit(0)).checkpoint(eager=True)
+        n = num_partitions or min(shuffle_partitions(spark), -(-rows // ROWS_PER_PARTITION))
+        ranged = (src.repartitionByRange(max(n, 2), *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
+                     .persist(StorageLevel.MEMORY_AND_DISK))
         return ranged.checkpoint(eager=True)
     finally:
-        ranged.unpersist()
+        if ranged is not None:
+            ranged.unpersist()
         src.unpersist()
 
 
-# Inputs with a proven row count up to this size are scanned in one task.
-SINGLE_TASK_ROWS = 100_000
 
 
 def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),
