@@ -89,3 +89,24 @@ def test_no_forbidden_calls_in_library():
                     if pat in text:
                         bad.append((f, pat))
     assert not bad, bad
+
+
+def test_stream_scoring_equals_batch(spark, scratch):
+    from maintspark.operators import score as SC
+    from maintspark.streaming import stream as X
+    ev = A.table(spark, SF_SMALL, "events")
+    ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie")
+    model = TR.fit(ft, S.feature_columns(), preset="small")
+    readings = A.telemetry_from_events(ev).select("machineID", *S.SENSORS)
+    readings.repartition(3).write.parquet(os.path.join(scratch, "readings"))
+    src = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(
+        os.path.join(scratch, "readings"))
+
+    def scorer(df):
+        return SC.score(model, SC.lone_reading_features(df), "2024-02-01 00:00:00")
+
+    X.run_to_table(X.score_stream(src, scorer), "scored_t", os.path.join(scratch, "ck"))
+    got = spark.table("scored_t")
+    exp = scorer(spark.read.parquet(os.path.join(scratch, "readings")))
+    assert got.count() == exp.count() == 1000
+    assert got.exceptAll(exp).count() == 0
