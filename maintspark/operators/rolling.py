@@ -81,22 +81,37 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
 
     ``tie``: column(s) that order readings with equal ``time`` (pandas keeps file order).
     ``chunk_rows``: split machines with more rows than this into time chunks (skew);
+    ``'auto'`` decides from the largest machine's row count (one aggregation);
     ``keep_chunk`` keeps the chunk number as column ``_chunk`` (0 for machines not split).
     """
     spec = dict(spec or default_spec(windows, stats))
     order = _order(time, tie)
+    if chunk_rows == "auto":
+        chunk_rows = auto_chunk_rows(df, key)
     if not chunk_rows:
         return df.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
     return _chunked_rolling(df, spec, sensors, key, time, order, min_periods, int(chunk_rows), keep_chunk)
 
 
+# A machine with more rows than this is cut into time chunks (one window task each).
+CHUNK_ROWS = 2_000_000
+
+
+def auto_chunk_rows(df: DataFrame, key: str, limit: int = CHUNK_ROWS) -> int | None:
+    """``limit`` when some machine holds more rows than that, else None (a partial
+    count per machine, then the maximum; only the key column is read)."""
+    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return limit if (top or 0) > limit else None
+
+
 def rolling_preview(df: DataFrame, machine_id: int, sensors: Sequence[str] = S.SENSORS,
                     windows: Sequence[int] = S.WINDOWS, key: str = S.KEY, time: str = S.TIME,
-                    tie=None) -> DataFrame:
-    """W3 + P3: one machine, mean and std with ``min_periods = window`` and no fill."""
+                    tie=None, chunk_rows=None) -> DataFrame:
+    """W3 + P3: one machine, mean and std with ``min_periods = window`` and no fill
+    (``chunk_rows`` splits a very long machine history into time chunks)."""
     one = df.filter(F.col(key) == F.lit(machine_id))
     return rolling_features(one, sensors, spec={w: ["mean", "std"] for w in windows},
-                            key=key, time=time, tie=tie, min_periods="full")
+                            key=key, time=time, tie=tie, min_periods="full", chunk_rows=chunk_rows)
 
 
 BASELINE_SPEC = {3: ["mean", "std"], 24: ["mean"]}

@@ -110,3 +110,40 @@ def test_stream_scoring_equals_batch(spark, scratch):
     exp = scorer(spark.read.parquet(os.path.join(scratch, "readings")))
     assert got.count() == exp.count() == 1000
     assert got.exceptAll(exp).count() == 0
+
+
+def test_presets_and_sinks(spark, scratch):
+    from maintspark.operators import evaluate as E
+    from maintspark.operators.report import summary_report, write_report
+    from maintspark.sources import io as IO
+    cloud = TR.learner("cloud")
+    assert (cloud.getMaxDepth(), cloud.getMinInstancesPerNode(), cloud.isSet("weightCol")) == (10, 2, False)
+    prod = TR.learner("production")
+    assert (prod.getNumTrees(), prod.getMaxDepth(), prod.getOrDefault("weightCol"), prod.getSeed()) == \
+        (100, 12, "weight", 42)
+    gbt = TR.learner("boosting")
+    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()) == (100, 8, 0.1)
+    scored = spark.createDataFrame([(0, 0.1, 0), (1, 0.8, 1), (1, 0.4, 0), (0, 0.6, 1)],
+                                   "failure_within_window int, score double, prediction int")
+    ev = E.evaluation_record(scored)
+    IO.write_evaluation_json(ev, os.path.join(scratch, "eval"))
+    back = spark.read.json(os.path.join(scratch, "eval")).first()
+    assert back.auc_score == 0.75 and back.confusion_matrix.true_positives == 1
+    imp = spark.createDataFrame([("volt", 0.6), ("rotate", 0.4)], "feature string, importance double")
+    rep = summary_report(ev, imp, "v1")
+    lines = [r.line for r in rep.collect()]
+    assert "ROC AUC: 0.7500" in lines and lines[-2:] == ["volt: 0.6000", "rotate: 0.4000"]
+    write_report(rep, os.path.join(scratch, "report"))
+    assert spark.read.text(os.path.join(scratch, "report")).count() == len(lines)
+
+
+def test_auto_chunking_threshold(spark, monkeypatch):
+    from maintspark.operators import rolling as RO
+    tel = A.telemetry_from_events(A.table(spark, SF_SMALL, "events"))
+    assert RO.auto_chunk_rows(tel, "machineID") is None
+    assert RO.auto_chunk_rows(tel, "machineID", limit=10) == 10
+    a = RO.rolling_features(tel, tie="tie").toPandas().sort_values("tie").reset_index(drop=True)
+    monkeypatch.setattr(RO, "CHUNK_ROWS", 10)
+    b = RO.rolling_features(tel, tie="tie", chunk_rows=RO.auto_chunk_rows(tel, "machineID", 10)).toPandas()
+    b = b.sort_values("tie").reset_index(drop=True)
+    assert ((a.volt_24h_std - b.volt_24h_std).abs().fillna(0) < 1e-9).all()
