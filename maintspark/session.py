@@ -54,3 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Checkpoint location of a named stream inside the shared checkpoint folder, so a
+    restarted query (or one whose executors were lost) resumes its state and offsets."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"

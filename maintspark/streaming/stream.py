@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schemas as S
+from ..session import stream_checkpoint
 from ..sources.io import _text_schema, parse_time
 
 
@@ -148,11 +149,26 @@ def rollup_stream(log: DataFrame, window: str = "300 seconds", watermark: str =
                       "mean_latency")
 
 
-def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "append", available_now: bool = True):
+def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None, mode: str = "append",
+                 available_now: bool = True):
     """Drive a stream to completion into an in-memory table (tests, local runs)."""
+    checkpoint = checkpoint or stream_checkpoint(stream.sparkSession, name)
     q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q
     handle = q.start()
     handle.awaitTermination()
     return handle
+
+
+def start_to_parquet(stream: DataFrame, path: str, name: str, checkpoint: str | None = None,
+                     processing_time: str | None = None, partition_by: Sequence[str] = ()):
+    """Production sink: parquet files (exactly-once file sink) with the query's state and
+    offsets in the shared checkpoint folder; ``processing_time`` (e.g. '1 minute') for a
+    continuous query, else ``availableNow`` (process what is there, then stop)."""
+    w = (stream.writeStream.format("parquet").option("path", path).queryName(name).outputMode("append")
+         .option("checkpointLocation", checkpoint or stream_checkpoint(stream.sparkSession, name)))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()

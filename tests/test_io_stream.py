@@ -161,3 +161,18 @@ def test_csv_file_stream(spark, scratch):
     X.run_to_table(st, "csv_t", f"{scratch}/ck4")
     assert spark.table("csv_t").count() == 150
     assert spark.table("csv_t").filter(F.col("datetime").isNull()).count() == 0
+
+
+def test_parquet_sink_with_shared_checkpoint(spark, scratch):
+    os.makedirs(f"{scratch}/csv")
+    make_telemetry(40, 2).to_csv(f"{scratch}/csv/a.csv", index=False)
+    q = X.start_to_parquet(X.telemetry_stream(spark, f"{scratch}/csv"), f"{scratch}/out", "tel_ingest_test",
+                           checkpoint=f"{scratch}/ck_sink")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").count() == 40
+    # a second file and a restart from the same checkpoint: only the new rows are added
+    make_telemetry(10, 2, seed=5).to_csv(f"{scratch}/csv/b.csv", index=False)
+    q = X.start_to_parquet(X.telemetry_stream(spark, f"{scratch}/csv"), f"{scratch}/out", "tel_ingest_test",
+                           checkpoint=f"{scratch}/ck_sink")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").count() == 50
