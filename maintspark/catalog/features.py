@@ -12,7 +12,7 @@ from ..operators.fill import frame_fill
 from ..operators.labels import failure_labels, label_balance, label_counts
 from ..operators.rolling import BASELINE_SPEC, default_spec, rolling_baseline, rolling_features, rolling_preview
 from ..operators import select as SEL
-from ..plans.features import feature_table
+from ..plans.features import feature_table, filled_features
 from ..sources import adapt as A
 from . import r6, register
 
@@ -111,9 +111,7 @@ SELECT datetime, machineID, tie, {_FILL} FROM r
 WINDOW g AS (ORDER BY machineID, datetime, tie ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def ffill_features_q(spark, sf):
     """Frame-wide forward fill of the statistics, then 0."""
-    tel = _tel(spark, sf)
-    rolled = rolling_features(tel, tie="tie")
-    return frame_fill(rolled, S.SENSORS + STAT_NAMES, tie="tie")
+    return filled_features(_tel(spark, sf), tie="tie")
 
 
 # ------------------------------------------------------------------ J1 labels
