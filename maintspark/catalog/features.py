@@ -201,7 +201,8 @@ def first_readings_q(spark, sf):
 
 @register("last_readings", sql=f"""
 WITH t AS ({A.SQL_TELEMETRY}),
-n AS (SELECT *, row_number() OVER (PARTITION BY machineID ORDER BY datetime DESC, tie DESC) AS pos FROM t)
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY machineID ORDER BY datetime DESC, tie DESC) AS INTEGER)
+  AS pos FROM t)
 SELECT datetime, machineID, {RAW}, tie, pos FROM n WHERE pos <= 20""")
 def last_readings_q(spark, sf):
     """P10: the last 20 readings of every machine."""
