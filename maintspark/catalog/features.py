@@ -3,12 +3,9 @@ J1-J4, M1, P2-P4, P6, P9-P10, A13-A14, A17)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .. import schemas as S
 from ..operators import prefailure as PF
-from ..operators.fill import frame_fill
 from ..operators.labels import failure_labels, label_balance, label_counts
 from ..operators.rolling import BASELINE_SPEC, default_spec, rolling_baseline, rolling_features, rolling_preview
 from ..operators import select as SEL

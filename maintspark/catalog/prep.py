@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .. import schemas as S
 from ..operators import select as SEL
 from ..operators import split as SP

@@ -60,3 +60,25 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of a named stream inside the shared checkpoint folder, so a
     restarted query (or one whose executors were lost) resumes its state and offsets."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the bytes the job reads.
+
+    Shuffle partitions start at ~64 MB of input each (at least two waves of tasks) and
+    AQE coalesces them toward 128 MB after each stage and splits skewed join partitions;
+    scans split files at 256 MB; only tables under 64 MB are broadcast automatically
+    (explicit broadcasts in the operators are row-bounded separately)."""
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, input_bytes // (64 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
