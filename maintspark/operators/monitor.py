@@ -166,3 +166,52 @@ def monitoring_series(log: DataFrame, baseline: DataFrame, time: str = "predicti
     drift = windowed_drift(log, baseline, window_us=HOUR_US).select(
         F.lit("drift_1h").alias("series"), "window_start", F.col("js_divergence").alias("value"))
     return five_long.unionByName(drift)
+
+
+# ---------------------------------------------------------------- rollup-based forms
+# The stream rollup (``streaming.rollup_stream``) keeps per-window bin counts of the
+# probability, so drift per window is a projection of the rollup row and error alerts a
+# join of the rollup table with itself -- the same numbers as the batch operators above.
+PROB_BINS = 10
+
+
+def probability_bin(p, bins: int = PROB_BINS):
+    return F.least(F.floor(F.col(p) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+
+
+def bin_count_columns(p: str = "failure_probability", bins: int = PROB_BINS) -> list:
+    b = probability_bin(p, bins)
+    return [F.count_if(b == F.lit(i)).alias(f"p_bin_{i}") for i in range(bins)]
+
+
+def baseline_bins(baseline: DataFrame, p: str = "failure_probability", bins: int = PROB_BINS) -> DataFrame:
+    """One row: the baseline's count per probability bin (``base_bin_i``)."""
+    return baseline.agg(*[c.alias(f"base_bin_{i}") for i, c in enumerate(bin_count_columns(p, bins))])
+
+
+def drift_from_bins(rollups: DataFrame, base: DataFrame, bins: int = PROB_BINS,
+                    threshold: float = S.DRIFT_THRESHOLD) -> DataFrame:
+    """O6 on rollup rows: JS divergence of each window's bin counts vs the baseline's
+    (one-row broadcast join; also valid on a stream: a stream-static join)."""
+    j = rollups.withColumn("_one", F.lit(1)).join(F.broadcast(base.withColumn("_one", F.lit(1))), "_one")
+    btot = sum(F.col(f"base_bin_{i}") for i in range(bins))
+    ctot = sum(F.col(f"p_bin_{i}") for i in range(bins))
+    terms = []
+    for i in range(bins):
+        p = F.col(f"base_bin_{i}") / btot
+        q = F.col(f"p_bin_{i}") / ctot
+        m = (p + q) / 2.0
+        terms.append(F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0))
+    js = sum(terms) * 0.5
+    return j.select(*[c for c in rollups.columns], js.alias("js_divergence"),
+                    (js > F.lit(threshold)).alias("drift_alert"))
+
+
+def error_alerts_from_rollups(rollups: DataFrame, threshold: float = S.ERROR_RATE_THRESHOLD,
+                              window_us: int = MIN5_US) -> DataFrame:
+    """O8 on rollup rows (window_start, requests, errors): two consecutive windows above."""
+    n = bucket_number("window_start", window_us)
+    above = (rollups.withColumn("_w", n).withColumn("error_rate", F.col("errors") / F.col("requests"))
+                    .filter(F.col("error_rate") > threshold))
+    prev = above.select((F.col("_w") + 1).alias("_w"), F.col("error_rate").alias("previous_error_rate"))
+    return above.join(prev, "_w").select("window_start", "requests", "errors", "error_rate", "previous_error_rate")

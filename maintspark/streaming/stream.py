@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schemas as S
+from ..operators.monitor import bin_count_columns
 from ..session import stream_checkpoint
 from ..sources.io import _text_schema, parse_time
 
@@ -132,10 +133,11 @@ def label_stream(readings: DataFrame, failures: DataFrame, days: float = S.PREDI
 
 # ------------------------------------------------------------------------- X4
 def rollup_stream(log: DataFrame, window: str = "300 seconds", watermark: str = "10 minutes",
-                  time: str = "prediction_timestamp") -> DataFrame:
+                  time: str = "prediction_timestamp", bins: int = 10) -> DataFrame:
     """Per event-time window -- predictions by risk level (O1), requests and errors
-    (O3/O8 inputs), mean latency (O9); append mode, so each window is emitted once
-    after the watermark passes its end."""
+    (O3, input of O8), mean latency (O9) and probability bin counts (input of O6, see
+    ``monitor.drift_from_bins`` / ``monitor.error_alerts_from_rollups``); append mode,
+    so each window is emitted once after the watermark passes its end."""
     t = log.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", watermark)
     g = t.groupBy(F.window("_t", window).alias("w"))
     agg = g.agg(F.count(F.lit(1)).alias("requests"),
@@ -143,10 +145,13 @@ def rollup_stream(log: DataFrame, window: str = "300 seconds", watermark: str =
                 F.count_if(F.col("risk_level") == "LOW").alias("low"),
                 F.count_if(F.col("risk_level") == "MEDIUM").alias("medium"),
                 F.count_if(F.col("risk_level") == "HIGH").alias("high"),
-                F.avg("duration_seconds").alias("mean_latency"))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "requests",
+                F.avg("duration_seconds").alias("mean_latency"),
+                *(bin_count_columns("failure_probability", bins) if "failure_probability" in log.columns else []))
+    bin_cols = [c for c in agg.columns if c.startswith("p_bin_")]
+    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), "requests",
                       "errors", (F.col("errors") / F.col("requests")).alias("error_rate"), "low", "medium", "high",
-                      "mean_latency")
+                      "mean_latency", *bin_cols)
 
 
 def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None, mode: str = "append",

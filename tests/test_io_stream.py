@@ -176,3 +176,26 @@ def test_parquet_sink_with_shared_checkpoint(spark, scratch):
                            checkpoint=f"{scratch}/ck_sink")
     q.awaitTermination()
     assert spark.read.parquet(f"{scratch}/out").count() == 50
+
+
+def test_stream_rollups_give_batch_drift_and_error_alerts(spark, scratch):
+    from maintspark.operators import monitor as M
+    log = A.prediction_log_from_events(A.table(spark, SF_SMALL, "events"))
+    src = _file_stream_dir(spark, log.withColumnRenamed("request_id", "tie")
+                           .withColumnRenamed("prediction_timestamp", "datetime"), scratch)
+    back = spark.read.parquet(src).withColumnRenamed("datetime", "prediction_timestamp")
+    st = (spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+          .withColumnRenamed("datetime", "prediction_timestamp"))
+    X.run_to_table(X.rollup_stream(st, watermark="1 hour"), "rollup_x4", f"{scratch}/ck5")
+    roll = spark.table("rollup_x4")
+    assert roll.count() > 0
+    base, _ = M.split_at_midpoint(back, "prediction_timestamp")
+    got = M.drift_from_bins(roll, M.baseline_bins(base)).select("window_start", "js_divergence")
+    exp = M.windowed_drift(back, base).join(roll.select("window_start"), "window_start", "left_semi")
+    g = {r.window_start: r.js_divergence for r in got.collect()}
+    e = {r.window_start: r.js_divergence for r in exp.collect()}
+    assert g.keys() == e.keys() and all(abs(g[k] - e[k]) < 1e-12 for k in g)
+    ga = M.error_alerts_from_rollups(roll).select("window_start").collect()
+    last = roll.agg(F.max("window_start")).first()[0]
+    ea = M.error_alerts(back).filter(F.col("window_start") <= F.lit(last)).select("window_start").collect()
+    assert sorted(r[0] for r in ga) == sorted(r[0] for r in ea)
