@@ -89,11 +89,11 @@ _p_cols, _p_win = roll_sql({3: ["mean", "std"], 24: ["mean", "std"]}, full=True)
 
 
 @register("rolling_preview", sql=f"""
-WITH t AS ({A.SQL_TELEMETRY} WHERE user_id = 1)
+WITH t AS ({A.SQL_TELEMETRY})
 SELECT datetime, machineID, {RAW}, tie, {_p_cols} FROM t {_p_win}""")
 def rolling_preview_q(spark, sf):
-    """Machine 1, NULL until the window is full, no fill."""
-    return rolling_preview(_tel(spark, sf), machine_id=1, tie="tie")
+    """Every machine, NULL until the window is full, no fill (P3 filter is optional)."""
+    return rolling_preview(_tel(spark, sf), tie="tie")
 
 
 # ------------------------------------------------------------------ N2 fill

@@ -104,12 +104,12 @@ def auto_chunk_rows(df: DataFrame, key: str, limit: int = CHUNK_ROWS) -> int | N
     return limit if (top or 0) > limit else None
 
 
-def rolling_preview(df: DataFrame, machine_id: int, sensors: Sequence[str] = S.SENSORS,
+def rolling_preview(df: DataFrame, machine_id=None, sensors: Sequence[str] = S.SENSORS,
                     windows: Sequence[int] = S.WINDOWS, key: str = S.KEY, time: str = S.TIME,
                     tie=None, chunk_rows=None) -> DataFrame:
-    """W3 + P3: one machine, mean and std with ``min_periods = window`` and no fill
-    (``chunk_rows`` splits a very long machine history into time chunks)."""
-    one = df.filter(F.col(key) == F.lit(machine_id))
+    """W3 (+ P3 with ``machine_id``): mean and std with ``min_periods = window`` and no
+    fill, for one machine or for all (``chunk_rows`` splits very long histories)."""
+    one = df if machine_id is None else df.filter(F.col(key) == F.lit(machine_id))
     return rolling_features(one, sensors, spec={w: ["mean", "std"] for w in windows},
                             key=key, time=time, tie=tie, min_periods="full", chunk_rows=chunk_rows)
 

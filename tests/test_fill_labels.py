@@ -152,3 +152,17 @@ def test_feature_table_chunked_and_tail_paths_equal_reference(spark):
         assert list(out.columns) == list(exp.columns), kw
         for c in S.feature_columns():
             assert np.allclose(out[c].to_numpy(float), exp[c].to_numpy(float), atol=1e-9), (kw, c)
+
+
+def test_feature_table_all_null_sensors_match_reference(spark):
+    tel, fail = make_telemetry(800, 5, nulls=0.05), make_failures(8, 5)
+    tel.loc[tel.machineID == 3, "volt"] = np.nan          # a machine whose sensor is always null
+    tel.loc[tel.machineID == 1, "rotate"] = np.nan        # the first machine: rotate always null
+    first = tel.sort_values(["machineID", "datetime"]).index[0]
+    tel.loc[first, "pressure"] = np.nan                   # null first reading
+    exp = pandas_features(tel, fail).sort_values(["machineID", "datetime"]).reset_index(drop=True)
+    st, sf = to_spark(spark, tel), to_spark(spark, fail)
+    for kw in ({"carry": "tail"}, {"carry": "aggregate"}, {"chunk_rows": 60}):
+        out = feature_table(st, sf, **kw).toPandas().sort_values(["machineID", "datetime"]).reset_index(drop=True)
+        for c in S.feature_columns():
+            assert np.allclose(out[c].to_numpy(float), exp[c].to_numpy(float), atol=1e-9), (kw, c)
