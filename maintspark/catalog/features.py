@@ -74,6 +74,19 @@ def rolling_lineitem_chunked_q(spark, sf):
                             chunk_rows=64)
 
 
+_s_cols, _s_win = roll_sql(default_spec(), order="datetime, tie, tie2, tie3")
+
+
+@register("rolling_skewed", sql=f"""
+WITH t AS ({A.SQL_SKEWED_TELEMETRY})
+SELECT datetime, machineID, {RAW}, tie, tie2, tie3, {_s_cols} FROM t {_s_win}""")
+def rolling_skewed_q(spark, sf):
+    """W1 with one machine holding a third of all rows: the hot machine is cut into time
+    chunks of ~2,000 rows (many tasks), the others stay whole; same result as one window."""
+    return rolling_features(A.skewed_telemetry_from_lineitem(A.table(spark, sf, "lineitem")),
+                            tie=["tie", "tie2", "tie3"], chunk_rows=2000)
+
+
 _b_cols, _b_win = roll_sql(BASELINE_SPEC)
 
 

@@ -64,6 +64,15 @@ def telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def skewed_telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The lineitem telemetry with one hot machine: the rows of every third supplier
+    (about a third of all rows) belong to machine 0. All rows are kept; the original
+    supplier becomes a third tie column so the hot machine's row order stays total."""
+    t = telemetry_from_lineitem(lineitem).withColumn("tie3", F.col("machineID"))
+    return t.withColumn("machineID", F.when(F.pmod(F.col("machineID"), F.lit(3)) == 0, F.lit(0).cast("long"))
+                        .otherwise(F.col("machineID")))
+
+
 def prediction_log_from_events(events: DataFrame) -> DataFrame:
     """T8 from ``events``: probability k/99, error status on error events, latency value/1000."""
     p = _k().cast("double") / 99.0
@@ -127,6 +136,8 @@ SQL_FAILURES = f"""SELECT ts AS datetime, user_id AS machineID,
 SQL_LINEITEM_TELEMETRY = """SELECT l_shipdate AS datetime, l_suppkey AS machineID, l_quantity AS volt,
   CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS DOUBLE) AS rotate, l_discount * 100.0 AS pressure, l_tax * 100.0 AS vibration,
   l_orderkey AS tie, l_linenumber AS tie2 FROM lineitem"""
+SQL_SKEWED_TELEMETRY = f"""SELECT datetime, CASE WHEN machineID % 3 = 0 THEN CAST(0 AS BIGINT) ELSE machineID END
+  AS machineID, volt, rotate, pressure, vibration, tie, tie2, machineID AS tie3 FROM ({SQL_LINEITEM_TELEMETRY})"""
 SQL_PRED_LOG = f"""SELECT user_id AS machineID, CAST({SQL_K} AS DOUBLE) / 99.0 AS failure_probability,
   CAST(CAST({SQL_K} AS DOUBLE) / 99.0 > 0.5 AS INTEGER) AS failure_prediction,
   CASE WHEN CAST({SQL_K} AS DOUBLE) / 99.0 < 0.3 THEN 'LOW'

@@ -147,3 +147,14 @@ def test_auto_chunking_threshold(spark, monkeypatch):
     b = RO.rolling_features(tel, tie="tie", chunk_rows=RO.auto_chunk_rows(tel, "machineID", 10)).toPandas()
     b = b.sort_values("tie").reset_index(drop=True)
     assert ((a.volt_24h_std - b.volt_24h_std).abs().fillna(0) < 1e-9).all()
+
+
+def test_hot_machine_is_split_into_chunks(spark):
+    from maintspark.operators.rolling import rolling_features
+    t = A.skewed_telemetry_from_lineitem(A.table(spark, "/root/testdata/sf0.01", "lineitem"))
+    hot_rows = t.filter("machineID = 0").count()
+    assert hot_rows > t.count() / 4                       # about a third of all rows
+    r = rolling_features(t, tie=["tie", "tie2", "tie3"], chunk_rows=2000, keep_chunk=True)
+    sizes = [row["count"] for row in r.filter("machineID = 0").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= hot_rows // 2000 and max(sizes) <= 2 * 2000
+    assert r.filter("machineID != 0").agg(F.max("_chunk")).first()[0] == 0   # the rest stay whole
