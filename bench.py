@@ -84,7 +84,7 @@ def main() -> None:
     qs = queries()
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else list(HEADLINE)
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     first, times = {}, {}
     # pass 1 warms the JVM (JIT, parquet footers, code generation); it is reported
     # apart as cold times. Then the best of `runs` warm runs per query.
