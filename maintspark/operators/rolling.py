@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.expr import epoch_micros
+from ..plans.sizing import materialize
 
 _AGG = {
     "mean": F.avg,
@@ -90,7 +91,7 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
         chunk_rows = auto_chunk_rows(df, key)
     if not chunk_rows:
         return df.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
-    return _chunked_rolling(df, spec, sensors, key, time, order, min_periods, int(chunk_rows), keep_chunk)
+    return _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, int(chunk_rows), keep_chunk)
 
 
 # A machine with more rows than this is cut into time chunks (one window task each).
@@ -123,36 +124,47 @@ def rolling_baseline(df: DataFrame, sensors: Sequence[str] = S.SENSORS, **kw) ->
 
 
 # ---------------------------------------------------------------- skew-safe plan
-def _chunked_rolling(df, spec, sensors, key, time, order, min_periods, chunk_rows, keep_chunk=False):
+def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows, keep_chunk=False):
     halo = max(int(w) for w in spec) - 1
+    ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
+    order = _order(time, tie)
     # Per-machine row counts and time span: one partial aggregation. Only machines
-    # above chunk_rows are chunked; their number is at most rows/chunk_rows, and the
-    # table is broadcast only after that bound is checked.
+    # above chunk_rows are chunked; their number is at most rows/chunk_rows. The table
+    # is written once and broadcast only after that bound is checked.
     stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
                                 F.min(epoch_micros(time)).alias("_t0"),
                                 F.max(epoch_micros(time)).alias("_t1"))
-    hot = (stats.filter(F.col("_n") > chunk_rows)
-                .select(key, "_t0",
-                        (F.floor((F.col("_t1") - F.col("_t0")).cast("double") * F.lit(float(chunk_rows)) / F.col("_n")) + 1)
-                        .cast("long").alias("_len")))
-    hot = F.broadcast(hot) if _bounded(hot, 100_000) else hot   # at most rows/chunk_rows machines
+    hot = materialize(stats.filter(F.col("_n") > chunk_rows).select(
+        key, "_t0",
+        (F.floor((F.col("_t1") - F.col("_t0")).cast("double") * F.lit(float(chunk_rows)) / F.col("_n")) + 1)
+        .cast("long").alias("_len")))
+    hot = F.broadcast(hot) if _bounded(hot, 100_000) else hot
     tagged = (df.join(hot, key, "left")
+                .withColumn("_hot", F.col("_len").isNotNull())
                 .withColumn("_chunk", F.when(F.col("_len").isNull(), F.lit(0))
                             .otherwise(F.floor((epoch_micros(time) - F.col("_t0")) / F.col("_len"))).cast("long"))
                 .drop("_t0", "_len"))
     part = [key, "_chunk"]
-    w_all = Window.partitionBy(*part)
     w_ord = Window.partitionBy(*part).orderBy(*order)
     main = tagged.select("*", *rolling_exprs(spec, sensors, part, order, key, min_periods),
-                         F.row_number().over(w_ord).alias("_rn"),
-                         F.count(F.lit(1)).over(w_all).alias("_cnt"))
+                         F.row_number().over(w_ord).alias("_rn"))
     fixed = main.filter((F.col("_chunk") == 0) | (F.col("_rn") > halo))
-    # Heads of later chunks and tails of every chunk: at most 2*halo rows per chunk.
-    edge = (main.filter((F.col("_rn") <= halo) | (F.col("_rn") > F.col("_cnt") - halo))
-                .select(*df.columns, "_chunk", "_rn"))
+    # Edge rows of the chunked machines, from the raw rows: the first and the last
+    # `halo` rows of every chunk -- two top-k selections Spark limits before the shuffle.
+    raw = tagged.filter(F.col("_hot"))
+    w_desc = Window.partitionBy(*part).orderBy(*[c.desc() for c in order])
+    heads = raw.withColumn("_rn", F.row_number().over(w_ord)).filter(F.col("_rn") <= halo)
+    tails = (raw.withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= halo)
+                .drop("_rd").withColumn("_rn", F.lit(None).cast("int")))
+    ids = [key, "_chunk", time, *ties]
+    rest = [c for c in df.columns if c not in ids]
+    # a row can be both a head and a tail (short chunks): keep it once, with its head rank
+    edge = (heads.unionByName(tails).groupBy(*ids)
+                 .agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest], F.min("_rn").alias("_rn")))
     redo = (edge.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
                 .filter((F.col("_chunk") > 0) & (F.col("_rn") <= halo)))
-    cols = list(df.columns) + [c for c in main.columns if c not in df.columns and not c.startswith("_")]
+    cols = list(df.columns) + [c for c in main.columns
+                               if c not in df.columns and not c.startswith("_")]
     cols += ["_chunk"] if keep_chunk else []
     return fixed.select(*cols).unionByName(redo.select(*cols))
 

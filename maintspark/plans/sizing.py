@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,3 +19,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Broadcast hint only after the row bound is checked; otherwise a shuffle join
     (AQE may still turn it into a broadcast from runtime sizes)."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (in ``spark.checkpoint.dir``) computing ``df`` once: it is
+    persisted for the checkpoint's count and write, then released. Use it for tables
+    read by two branches of a plan, which Spark would otherwise compute twice."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
