@@ -124,7 +124,8 @@ def rolling_baseline(df: DataFrame, sensors: Sequence[str] = S.SENSORS, **kw) ->
 
 
 # ---------------------------------------------------------------- skew-safe plan
-def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows, keep_chunk=False):
+def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows, keep_chunk=False,
+                     with_summary=False):
     halo = max(int(w) for w in spec) - 1
     ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
     order = _order(time, tie)
@@ -149,24 +150,64 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     main = tagged.select("*", *rolling_exprs(spec, sensors, part, order, key, min_periods),
                          F.row_number().over(w_ord).alias("_rn"))
     fixed = main.filter((F.col("_chunk") == 0) | (F.col("_rn") > halo))
-    # Edge rows of the chunked machines, from the raw rows: the first and the last
-    # `halo` rows of every chunk -- two top-k selections Spark limits before the shuffle.
-    raw = tagged.filter(F.col("_hot"))
+    # Edge rows from the raw rows (two top-k selections Spark limits before the shuffle):
+    # the first `halo` rows of every later chunk of a chunked machine, and the last rows
+    # of every chunk -- `halo` of them as context, or `2*halo+1` when the per-chunk carry
+    # summary is wanted (then the last `halo+1` rows of each chunk are exact here too).
+    depth = 2 * halo + 1 if with_summary else halo
     w_desc = Window.partitionBy(*part).orderBy(*[c.desc() for c in order])
-    heads = raw.withColumn("_rn", F.row_number().over(w_ord)).filter(F.col("_rn") <= halo)
-    tails = (raw.withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= halo)
-                .drop("_rd").withColumn("_rn", F.lit(None).cast("int")))
+    heads = (tagged.filter(F.col("_hot") & (F.col("_chunk") > 0))
+                   .withColumn("_rn", F.row_number().over(w_ord)).filter(F.col("_rn") <= halo)
+                   .withColumn("_rd", F.lit(None).cast("int")))
+    tails = ((tagged if with_summary else tagged.filter(F.col("_hot")))
+             .withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= depth)
+             .withColumn("_rn", F.lit(None).cast("int")))
     ids = [key, "_chunk", time, *ties]
-    rest = [c for c in df.columns if c not in ids]
-    # a row can be both a head and a tail (short chunks): keep it once, with its head rank
+    rest = [c for c in df.columns if c not in ids] + ["_hot"]
+    # a row can be both a head and a tail (short chunks): keep it once, with both ranks
     edge = (heads.unionByName(tails).groupBy(*ids)
-                 .agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest], F.min("_rn").alias("_rn")))
-    redo = (edge.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
-                .filter((F.col("_chunk") > 0) & (F.col("_rn") <= halo)))
+                 .agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest],
+                      F.min("_rn").alias("_rn"), F.min("_rd").alias("_rd")))
+    redone = edge.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
+    redo = redone.filter((F.col("_chunk") > 0) & (F.col("_rn") <= halo))
     cols = list(df.columns) + [c for c in main.columns
                                if c not in df.columns and not c.startswith("_")]
     cols += ["_chunk"] if keep_chunk else []
-    return fixed.select(*cols).unionByName(redo.select(*cols))
+    rolled = fixed.select(*cols).unionByName(redo.select(*cols))
+    if not with_summary:
+        return rolled
+    stat_cols = [c for c in cols if c not in df.columns and c != "_chunk"]
+    columns = list(sensors) + stat_cols
+    okey = F.struct(F.col(time), *[F.col(t) for t in ties])
+    exact = redone.filter(F.col(key).isNotNull() & (F.col("_rd") <= halo + 1))
+    summ = materialize(exact.groupBy(key, "_chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns]))
+    unresolved = F.lit(False)
+    for c in columns:
+        unresolved = unresolved | F.col(c).isNull()
+    # groups where a column is NULL in all exact tail rows: their whole rolled rows
+    # (the semi join on the window's partition keys is pushed below the window)
+    redo_keys = summ.filter(unresolved).select(key, "_chunk")
+    full = rolled.join(redo_keys, [key, "_chunk"], "left_semi")
+    redo_summ = full.groupBy(key, "_chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns])
+    # NULL machine ids: statistics NULL by definition; raw sensors by aggregation
+    nul = tagged.filter(F.col(key).isNull()).groupBy(key, "_chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in sensors],
+        *[F.lit(None).cast("double").alias(c) for c in stat_cols])
+    summary = summ.filter(~unresolved).unionByName(redo_summ).unionByName(nul.select(key, "_chunk", *columns))
+    return rolled, summary
+
+
+def chunked_rolling_with_summary(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
+                                 windows: Sequence[int] = S.WINDOWS, stats: Sequence[str] = S.STATS,
+                                 key: str = S.KEY, time: str = S.TIME, tie=None, chunk_rows: int = CHUNK_ROWS):
+    """(rolled table with ``_chunk``, per-(machine, chunk) last non-null value of every
+    sensor and statistic) -- the summary comes from the small edge set, not from a
+    second pass over the rolled table."""
+    spec = default_spec(windows, stats)
+    return _chunked_rolling(df, spec, sensors, key, time, tie, "one", int(chunk_rows), keep_chunk=True,
+                            with_summary=True)
 
 
 def _bounded(df: DataFrame, max_rows: int) -> bool:
