@@ -158,3 +158,12 @@ def test_hot_machine_is_split_into_chunks(spark):
     sizes = [row["count"] for row in r.filter("machineID = 0").groupBy("_chunk").count().collect()]
     assert len(sizes) >= hot_rows // 2000 and max(sizes) <= 2 * 2000
     assert r.filter("machineID != 0").agg(F.max("_chunk")).first()[0] == 0   # the rest stay whole
+
+
+def test_chunked_plan_computes_heavy_window_once(spark):
+    from maintspark.operators.rolling import rolling_features
+    t = A.skewed_telemetry_from_lineitem(A.table(spark, "/root/testdata/sf0.01", "lineitem"))
+    plan = plan_text(rolling_features(t, tie=["tie", "tie2", "tie3"], chunk_rows=2000))
+    # two frames (3 and 24 rows) x (main pass over all rows + redo over the edge rows)
+    assert plan.count("stddev_samp(volt") == 4
+    assert plan.count("WindowGroupLimit") == 4          # heads and tails: partial + final each
