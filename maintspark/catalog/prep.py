@@ -81,7 +81,7 @@ def hash_sample_q(spark, sf):
 
 @register("prediction_sample", sql=f"""
 WITH p AS ({A.SQL_PRED_LOG})
-SELECT request_id, machineID, prediction_timestamp, failure_probability FROM p
+SELECT request_id, machineID, prediction_timestamp, round(failure_probability, 6) AS failure_probability FROM p
 WHERE ('0x' || substr(md5(CAST(request_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 10""")
 def prediction_sample_q(spark, sf):
     """10 % of predictions by md5 bucket of the request id (repeatable in batch and stream)."""
