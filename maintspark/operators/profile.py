@@ -24,10 +24,16 @@ def _days_floor(lo, hi):
     return F.floor((epoch_micros(hi) - epoch_micros(lo)) / F.lit(DAY_US)).cast("long")
 
 
-def ingest_stats(telemetry: DataFrame, failures: DataFrame, key: str = S.KEY, time: str = S.TIME) -> DataFrame:
+def _distinct(key: str, approx: bool):
+    """Exact distinct count, or HyperLogLog++ (``approx``: one bounded pass, ~2 % error)."""
+    return F.approx_count_distinct(key, 0.02) if approx else F.countDistinct(key)
+
+
+def ingest_stats(telemetry: DataFrame, failures: DataFrame, key: str = S.KEY, time: str = S.TIME,
+                 approx: bool = False) -> DataFrame:
     """Rows, failures, distinct machines, collection days."""
     t = telemetry.agg(F.count(F.lit(1)).alias("telemetry_records"),
-                      F.countDistinct(key).alias("unique_machines"),
+                      _distinct(key, approx).alias("unique_machines"),
                       F.min(time).alias("_lo"), F.max(time).alias("_hi"))
     f = failures.agg(F.count(F.lit(1)).alias("failure_records"))
     return (t.withColumn("_one", F.lit(1)).join(f.withColumn("_one", F.lit(1)), "_one")
@@ -44,13 +50,13 @@ def null_counts(df: DataFrame, table: str = "telemetry") -> DataFrame:
 
 
 def validation_summary(telemetry: DataFrame, failures: DataFrame, key: str = S.KEY,
-                       time: str = S.TIME) -> DataFrame:
+                       time: str = S.TIME, approx: bool = False) -> DataFrame:
     """A1/A2: shapes, date range, distinct machines, failure count, total missing values
     -- one aggregation per table."""
     tf = telemetry.schema.fields
     t = telemetry.agg(F.count(F.lit(1)).alias("telemetry_rows"),
                       F.min(time).alias("first_reading"), F.max(time).alias("last_reading"),
-                      F.countDistinct(key).alias("unique_machines"),
+                      _distinct(key, approx).alias("unique_machines"),
                       sum(F.count_if(is_missing(f.name, f.dataType)) for f in tf).alias("missing_values"))
     f = failures.agg(F.count(F.lit(1)).alias("total_failures"))
     return (t.withColumn("_one", F.lit(1)).join(f.withColumn("_one", F.lit(1)), "_one")
@@ -178,11 +184,11 @@ def iqr_outliers(df: DataFrame, sensors: Sequence[str] = S.SENSORS, k: float = 1
 
 
 def business_facts(telemetry: DataFrame, failures: DataFrame, key: str = S.KEY, time: str = S.TIME,
-                   failure_col: str = "failure") -> DataFrame:
+                   failure_col: str = "failure", approx: bool = False) -> DataFrame:
     """Machines, collection days, missing cells, failures, failures per machine and the
     most common failure type (ties: smallest name)."""
     tf = telemetry.schema.fields
-    t = telemetry.agg(F.countDistinct(key).alias("machines"),
+    t = telemetry.agg(_distinct(key, approx).alias("machines"),
                       _days_floor(F.min(time), F.max(time)).alias("collection_days"),
                       sum(F.count_if(is_missing(f.name, f.dataType)) for f in tf).cast("long").alias("missing_cells"))
     counts = failures.where(F.col(failure_col).isNotNull()).groupBy(failure_col).agg(F.count(F.lit(1)).alias("n"))

@@ -121,3 +121,12 @@ def test_summary_and_listing(spark):
     assert (s.total_models, s.active_models, s.candidate_models, s.best_model_version) == (3, 1, 2, "v1")
     assert [r.version for r in R.listing(runs).collect()] == ["v2", "v1", "v0"]
     assert R.listing(runs).first().training_date == "2024-01-03"
+
+
+def test_approx_distinct_option(spark):
+    tel = to_spark(spark, make_telemetry(3000, 400))
+    fail = to_spark(spark, make_failures(10))
+    exact = P.validation_summary(tel, fail).first().unique_machines
+    approx = P.validation_summary(tel, fail, approx=True).first().unique_machines
+    assert abs(approx - exact) <= 0.06 * exact
+    assert P.ingest_stats(tel, fail, approx=True).first().unique_machines == approx
