@@ -130,3 +130,19 @@ def test_approx_distinct_option(spark):
     approx = P.validation_summary(tel, fail, approx=True).first().unique_machines
     assert abs(approx - exact) <= 0.06 * exact
     assert P.ingest_stats(tel, fail, approx=True).first().unique_machines == approx
+
+
+def test_register_run_replaces_same_version(spark):
+    from maintspark.operators import evaluate as E
+    runs = _registry(spark)
+    scored = spark.createDataFrame([(0, 0.1, 0), (1, 0.9, 1), (1, 0.3, 0), (0, 0.7, 1)],
+                                   "failure_within_window int, score double, prediction int")
+    ev = E.evaluation_record(scored)
+    once = R.register_run(runs, ev, "v9", "2024-02-01T00:00:00")
+    twice = R.register_run(once, ev, "v9", "2024-02-02T00:00:00")
+    rows = {r.version: r for r in twice.collect()}
+    assert len(rows) == 4 and rows["v9"].status == "candidate" and rows["v9"].training_date == "2024-02-02T00:00:00"
+    assert rows["v9"].auc_score == 0.75 and rows["v9"].precision == 0.5
+    missing = R.register_run(runs, ev.select("model_name", "auc_score", "confusion_matrix",
+                                            "business_metrics").limit(1), "v8", "2024-02-03T00:00:00")
+    assert missing.count() == 4
