@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -73,11 +73,12 @@ def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
-    """A4: count and percent share of each value (the share window runs on the grouped
-    result, one row per distinct value)."""
+    """A4: count and percent share of each value; the total is a one-row aggregate joined
+    by broadcast, so a column with many distinct values never meets in one task."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(column, "count",
-                         (F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy())).alias("percent"))
+    total = counts.agg(F.sum("count").alias("_total")).withColumn("_one", F.lit(1))
+    return (counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+                  .select(column, "count", (F.col("count") * 100.0 / F.col("_total")).alias("percent")))
 
 
 def sensor_describe(df: DataFrame, sensors: Sequence[str] = S.SENSORS, approx: bool = False) -> DataFrame:
