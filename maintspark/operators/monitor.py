@@ -28,6 +28,7 @@ HOUR_US = 3600 * 1_000_000
 def risk_level_counts(log: DataFrame) -> DataFrame:
     """O1: predictions per risk level; the total counts LOW+MEDIUM+HIGH only."""
     c = log.groupBy("risk_level").agg(F.count(F.lit(1)).alias("count"))
+    # over the grouped result: one row per risk level (LOW, MEDIUM, HIGH, ERROR)
     total = F.sum(F.when(F.col("risk_level").isin(*LEVELS), F.col("count")).otherwise(0)).over(Window.partitionBy())
     return c.select("risk_level", "count", total.cast("long").alias("total_predictions"))
 
