@@ -170,6 +170,24 @@ def label_balance_q(spark, sf):
     return label_balance(failure_labels(_tel(spark, sf), _fail(spark, sf)), key="machineID")
 
 
+@register("label_class_counts", sql=f"""
+WITH l AS ({_label_sql(3)})
+SELECT failure_within_window, count(*) AS count FROM l GROUP BY failure_within_window""")
+def label_class_counts_q(spark, sf):
+    """A3: value counts of the label classes."""
+    from ..operators.profile import value_counts
+    return value_counts(failure_labels(_tel(spark, sf), _fail(spark, sf)), "failure_within_window")
+
+
+@register("positive_rate", sql=f"""
+WITH l AS ({_label_sql(3)})
+SELECT count(*) AS rows, CAST(sum(failure_within_window) AS BIGINT) AS positives,
+  round(avg(failure_within_window), 6) AS positive_rate FROM l""")
+def positive_rate_q(spark, sf):
+    """Overall positive rate of the 3-day label."""
+    return label_balance(failure_labels(_tel(spark, sf), _fail(spark, sf)))
+
+
 # ------------------------------------------------------------------ M1 feature table
 @register("feature_table", headline=True, sql=f"""
 WITH t AS ({A.SQL_TELEMETRY}), f AS ({A.SQL_FAILURES}),
