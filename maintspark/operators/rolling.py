@@ -5,11 +5,14 @@ window extraction groups every expression of one spec into one Window operator
 and all specs share the same exchange and sort, so the 32 statistics cost one
 shuffle by machine and one sort.
 
-Hot machines: with ``chunk_rows`` set, machines holding more rows than that are
-cut into time chunks; the window runs per (machine, chunk) and the first
-``max(window)-1`` rows of every later chunk are recomputed together with the
-tail of the chunks before them (a halo), so one busy machine is many tasks
-while the result stays exact.
+Hot machines: with ``chunk_rows`` set (or ``'auto'``), machines holding more rows
+than that are cut into time chunks; the window runs per (machine, chunk) and the
+first ``max(window)-1`` rows of every later chunk are recomputed together with the
+last rows of the chunks before them (a halo), so one busy machine is many tasks
+while the result stays exact. The halo rows are taken from the raw rows by two
+top-k selections (limited before the shuffle), so the heavy window runs once over
+the data; ``chunked_rolling_with_summary`` also returns each chunk's last non-null
+values for the frame fill from the same small edge set.
 """
 
 from __future__ import annotations
