@@ -167,3 +167,15 @@ def test_chunked_plan_computes_heavy_window_once(spark):
     # two frames (3 and 24 rows) x (main pass over all rows + redo over the edge rows)
     assert plan.count("stddev_samp(volt") == 4
     assert plan.count("WindowGroupLimit") == 4          # heads and tails: partial + final each
+
+
+def test_session_helpers(spark):
+    from maintspark.session import cluster_conf, ensure_checkpoint_dir, stream_checkpoint
+    conf = cluster_conf(100 * (1 << 40))                      # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (64 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # at least two waves of tasks
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.conf.get("spark.checkpoint.dir")
+    assert stream_checkpoint(spark, "x").startswith(base.rstrip("/") + "/streams/")
