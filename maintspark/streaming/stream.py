@@ -48,8 +48,13 @@ def _stat_names(sensors, windows, stats):
 
 def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, windows: Sequence[int] = S.WINDOWS,
                    stats: Sequence[str] = S.STATS, key: str = S.KEY, time: str = S.TIME,
-                   tie: str | None = None) -> DataFrame:
-    """The W1 statistics on a stream, exact across micro-batches for in-order rows."""
+                   tie: str | None = None, fill: bool = False) -> DataFrame:
+    """The W1 statistics on a stream, exact across micro-batches for in-order rows.
+
+    ``fill``: forward fill within the machine (the last non-null value of every sensor
+    and statistic is kept in state), then 0 -- the batch ``frame_fill(mode='machine')``.
+    The frame-wide fill of the batch table needs the previous machine, which a stream
+    does not have."""
     sensors, windows, stats = list(sensors), list(windows), list(stats)
     keep = max(windows) - 1
     names = _stat_names(sensors, windows, stats)
@@ -61,7 +66,9 @@ def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, window
         + [T.StructField("status", T.StringType())])
     state_schema = T.StructType(
         [T.StructField("t", T.LongType()), T.StructField("tie", T.LongType())]
-        + [T.StructField(s, T.ArrayType(T.DoubleType())) for s in sensors])
+        + [T.StructField(s, T.ArrayType(T.DoubleType())) for s in sensors]
+        + [T.StructField("last", T.ArrayType(T.DoubleType()))])
+    filled_cols = sensors + names
     funcs = {"mean": "mean", "std": "std", "max": "max", "min": "min"}
 
     def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -74,10 +81,12 @@ def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, window
             st = state.get
             last_t, last_tie = st[0], st[1]
             buf = {s: list(st[2 + i]) for i, s in enumerate(sensors)}
+            carry = list(st[2 + len(sensors)] or [None] * len(filled_cols))
             late = (tnum < last_t) | ((tnum == last_t) & (tienum <= last_tie))
         else:
             last_t = last_tie = None
             buf = {s: [] for s in sensors}
+            carry = [None] * len(filled_cols)
             late = pd.Series(False, index=pdf.index)
         ok = pdf[~late.values].reset_index(drop=True)
         nb = len(buf[sensors[0]])
@@ -89,11 +98,19 @@ def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, window
                 for st_name in stats:
                     res[f"{s}_{w}h_{st_name}"] = getattr(roll, funcs[st_name])().iloc[nb:].to_numpy()
         res["status"] = "ok"
+        new_carry = list(carry)
+        if fill and len(res):
+            for j, c in enumerate(filled_cols):
+                col = res[c].astype("float64")
+                seeded = pd.concat([pd.Series([carry[j]], dtype="float64"), col], ignore_index=True).ffill()
+                last = seeded.iloc[-1]
+                new_carry[j] = None if pd.isna(last) else float(last)
+                res[c] = seeded.iloc[1:].fillna(0.0).to_numpy()
         if len(ok):
             full = {s: (buf[s] + ok[s].astype("float64").tolist())[-keep:] for s in sensors}
             lt = int(ok[time].astype("int64").iloc[-1])
             ltie = int(ok[tie].astype("int64").iloc[-1]) if tie else 0
-            state.update((lt, ltie, *[full[s] for s in sensors]))
+            state.update((lt, ltie, *[full[s] for s in sensors], new_carry))
         parts = [res]
         if late.any():
             lr = pdf[late.values][cols].copy()

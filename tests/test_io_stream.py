@@ -199,3 +199,20 @@ def test_stream_rollups_give_batch_drift_and_error_alerts(spark, scratch):
     last = roll.agg(F.max("window_start")).first()[0]
     ea = M.error_alerts(back).filter(F.col("window_start") <= F.lit(last)).select("window_start").collect()
     assert sorted(r[0] for r in ga) == sorted(r[0] for r in ea)
+
+
+def test_rolling_stream_with_machine_fill_equals_batch(spark, scratch):
+    from maintspark.operators.fill import frame_fill
+    pdf = make_telemetry(400, 4, nulls=0.2)
+    pdf["tie"] = np.arange(len(pdf))
+    tel = to_spark(spark, pdf, S.TELEMETRY.add("tie", "long"))
+    src = _file_stream_dir(spark, tel, scratch)
+    st = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    X.run_to_table(X.rolling_stream(st, tie="tie", fill=True), "roll_fill", f"{scratch}/ck6")
+    got = spark.table("roll_fill")
+    rolled = rolling_features(spark.read.parquet(src), tie="tie")
+    cols = [c for c in rolled.columns if c not in ("datetime", "machineID", "tie")]
+    exp = frame_fill(rolled, cols, tie="tie", mode="machine")
+    keep = exp.columns
+    assert got.count() == exp.count() == 400
+    assert round_doubles(got.select(*keep)).exceptAll(round_doubles(exp.select(*keep))).count() == 0
