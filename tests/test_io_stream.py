@@ -216,3 +216,25 @@ def test_rolling_stream_with_machine_fill_equals_batch(spark, scratch):
     keep = exp.columns
     assert got.count() == exp.count() == 400
     assert round_doubles(got.select(*keep)).exceptAll(round_doubles(exp.select(*keep))).count() == 0
+
+
+def test_small_helpers(spark, scratch):
+    from maintspark.operators import select as SEL
+    from maintspark.operators.rolling import feature_names_like
+    from maintspark.plans.features import process_features
+    body = json.dumps({"predictions": [{"machineID": 1, "volt": 160.0, "rotate": 440.0, "pressure": 95.0,
+                                        "vibration": 35.0},
+                                       {"machineID": 2, "volt": 180.0, "rotate": 480.0, "pressure": 110.0,
+                                        "vibration": 50.0}]})
+    rows = IO.explode_batch(spark.createDataFrame([(body,)], "predictions string")).collect()
+    assert [(r.machineID, r.volt) for r in rows] == [(1, 160.0), (2, 180.0)]
+    runs = spark.createDataFrame([("v1", "rf", "RandomForestClassifier", 0.8, 0.3, 0.6, "2024-01-01T00:00:00", 10, 36,
+                                   "m", "active", None, "")], S.MODEL_RUN)
+    IO.write_runs_jsonl(runs, f"{scratch}/runs")
+    assert IO.read_runs_jsonl(spark, f"{scratch}/runs").collect() == runs.collect()
+    tel = to_spark(spark, make_telemetry(100, 3))
+    assert SEL.sensors_only(tel).columns == S.SENSORS
+    assert SEL.machine(tel, 2).filter("machineID != 2").count() == 0
+    ft, names = process_features(tel, to_spark(spark, pd.DataFrame(
+        {"datetime": [pd.Timestamp("2024-01-03")], "machineID": [1], "failure": ["comp1"]})))
+    assert names == S.feature_columns() and len(feature_names_like(ft, "_3h_")) == 16
