@@ -159,3 +159,20 @@ def score_readings_q(spark, sf):
     model = TR.fit(ft, S.feature_columns(), preset="small")
     feats = SC.lone_reading_features(_readings(spark, sf))
     return SC.score(model, feats, RUN_TIME)
+
+
+@register("score_latest")
+def score_latest_q(spark, sf):
+    """K6 -> K3: each machine's newest feature row (real rolling history, not the
+    lone-reading approximation) scored by a forest trained on the temporal train split;
+    rows-only check."""
+    from ..operators import train as TR
+    from ..operators.split import temporal_split
+    from ..plans.features import feature_table
+    ev = A.table(spark, sf, "events")
+    ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie", keep_tie=True)
+    ft = ft.checkpoint(eager=True)
+    train = temporal_split(ft, tie="tie").filter(F.col("split") == "train")
+    model = TR.fit(train, S.feature_columns(), preset="small")
+    latest = SC.latest_per_key(ft, tie="tie")
+    return SC.score(model, latest, RUN_TIME)
