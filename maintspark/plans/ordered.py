@@ -81,10 +81,11 @@ def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),
     # Per-partition summaries: totals and the last non-null value of each carry column.
     # The position of a row inside its partition is its order key; max_by over a
     # struct of the order columns picks the last row.
-    okey = F.struct(*ocols)
     summary_aggs = [F.sum(c).alias(f"_tot_{c}") for c in sums]
-    summary_aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}")
-                     for c in carries]
+    if carries:   # (order given as plain columns here: a struct of them ranks the rows)
+        okey = F.struct(*ocols)
+        summary_aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}")
+                         for c in carries]
     summary = tagged.groupBy(_PID).agg(*summary_aggs)
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)   # <= n rows
     carry_cols = [F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_base_{c}") for c in sums]
