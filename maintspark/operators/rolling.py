@@ -49,8 +49,20 @@ def default_spec(windows: Sequence[int] = S.WINDOWS, stats: Sequence[str] = S.ST
 
 
 def _order(time: str, tie) -> list[Column]:
+    """Row order inside a machine: time, then ties; missing values last (as pandas sorts)."""
     ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
-    return [F.col(time)] + [F.col(t) for t in ties]
+    return [F.col(c).asc_nulls_last() for c in [time, *ties]]
+
+
+def _reverse_order(time: str, tie) -> list[Column]:
+    ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
+    return [F.col(c).desc_nulls_first() for c in [time, *ties]]
+
+
+def order_key(time: str, tie=None) -> Column:
+    """A struct that ranks rows like ``_order`` (for max_by/min_by): missing times last."""
+    ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
+    return F.struct(F.col(time).isNull(), F.col(time), *[F.struct(F.col(t).isNull(), F.col(t)) for t in ties])
 
 
 def rolling_exprs(spec: Mapping[int, Sequence[str]], sensors: Sequence[str], part: Sequence[str],
@@ -99,6 +111,8 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
 
 # A machine with more rows than this is cut into time chunks (one window task each).
 CHUNK_ROWS = 2_000_000
+# Chunk of a chunked machine's rows without a time (ordered after all others).
+LAST_CHUNK = 1 << 62
 
 
 def auto_chunk_rows(df: DataFrame, key: str, limit: int = CHUNK_ROWS) -> int | None:
@@ -146,7 +160,8 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     tagged = (df.join(hot, key, "left")
                 .withColumn("_hot", F.col("_len").isNotNull())
                 .withColumn("_chunk", F.when(F.col("_len").isNull(), F.lit(0))
-                            .otherwise(F.floor((epoch_micros(time) - F.col("_t0")) / F.col("_len"))).cast("long"))
+                            .otherwise(F.coalesce(F.floor((epoch_micros(time) - F.col("_t0")) / F.col("_len")),
+                                                  F.lit(LAST_CHUNK))).cast("long"))
                 .drop("_t0", "_len"))
     part = [key, "_chunk"]
     w_ord = Window.partitionBy(*part).orderBy(*order)
@@ -158,7 +173,7 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     # of every chunk -- `halo` of them as context, or `2*halo+1` when the per-chunk carry
     # summary is wanted (then the last `halo+1` rows of each chunk are exact here too).
     depth = 2 * halo + 1 if with_summary else halo
-    w_desc = Window.partitionBy(*part).orderBy(*[c.desc() for c in order])
+    w_desc = Window.partitionBy(*part).orderBy(*_reverse_order(time, tie))
     heads = (tagged.filter(F.col("_hot") & (F.col("_chunk") > 0))
                    .withColumn("_rn", F.row_number().over(w_ord)).filter(F.col("_rn") <= halo)
                    .withColumn("_rd", F.lit(None).cast("int")))
@@ -181,7 +196,7 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
         return rolled
     stat_cols = [c for c in cols if c not in df.columns and c != "_chunk"]
     columns = list(sensors) + stat_cols
-    okey = F.struct(F.col(time), *[F.col(t) for t in ties])
+    okey = order_key(time, tie)
     exact = redone.filter(F.col(key).isNotNull() & (F.col("_rd") <= halo + 1))
     summ = materialize(exact.groupBy(key, "_chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns]))

@@ -166,3 +166,22 @@ def test_feature_table_all_null_sensors_match_reference(spark):
         out = feature_table(st, sf, **kw).toPandas().sort_values(["machineID", "datetime"]).reset_index(drop=True)
         for c in S.feature_columns():
             assert np.allclose(out[c].to_numpy(float), exp[c].to_numpy(float), atol=1e-9), (kw, c)
+
+
+def test_feature_table_missing_times_sort_last_like_pandas(spark):
+    tel, fail = make_telemetry(900, 4, nulls=0.05), make_failures(8, 4)
+    rng = np.random.default_rng(4)
+    tel.loc[rng.random(len(tel)) < 0.05, "datetime"] = pd.NaT
+    exp = pandas_features(tel, fail).sort_values(["machineID", "datetime"], na_position="last")
+    # pandas keeps file order among equal keys: the file position is the tie
+    st = to_spark(spark, tel).withColumn("tie", F.monotonically_increasing_id())
+    sf = to_spark(spark, fail)
+    for kw in ({"carry": "tail"}, {"carry": "aggregate"}, {"chunk_rows": 60}):
+        out = feature_table(st, sf, tie="tie", **kw).toPandas()
+        # compare as multisets of rows (rows with a missing time have no other order key)
+        cols = S.feature_columns() + ["failure_within_window"]
+        a = np.round(out.sort_values(["machineID", "datetime"], na_position="last")[cols].to_numpy(float), 6)
+        b = np.round(exp[cols].to_numpy(float), 6)
+        a = a[np.lexsort(a.T[::-1])]
+        b = b[np.lexsort(b.T[::-1])]
+        assert np.allclose(a, b, atol=1e-6), kw
