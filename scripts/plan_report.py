@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from maintspark.catalog import HEADLINE, queries  # noqa: E402
 from maintspark.session import local_session  # noqa: E402
 
-SKIP = {"train_forest", "feature_importances", "candidate_leaderboard", "score_readings"}   # MLlib fits
+SKIP = {"train_forest", "feature_importances", "candidate_leaderboard", "score_readings", "score_latest"}   # MLlib fits
 
 
 def formatted(df) -> str:
