@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam
+from . import decontam, near_dup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +51,25 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suffix-array contamination report of every document against the whole benchmark."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 75 * (a.n + b.n - k)),
+e AS (SELECT u, v FROM l UNION SELECT v, u FROM l),
+r AS (SELECT doc_id AS d, doc_id AS c FROM documents UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.d WHERE r.c < e.v),
+c AS (SELECT d AS doc_id, min(c) AS component_id FROM r GROUP BY d)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
+@query(OP5_SQL)
+def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document (5-word shingles, similarity 0.75)."""
+    told = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return told.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
