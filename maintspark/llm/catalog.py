@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, near_dup
+from . import decontam, near_dup, pareto_mix, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,28 @@ def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document (5-word shingles, similarity 0.75)."""
     told = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
     return told.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query()
+def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document (weights 3, 1, 2; 150 % of all words; cap 2)."""
+    return pareto_mix.mix_report(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = rf"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+u AS (SELECT row_number() OVER () AS k, page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), {_AZ}) AS host,
+             regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(rh, rp, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                     ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+m AS (SELECT k, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+      FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY k)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m USING (k)
+"""
+
+
+@query(OP7_SQL)
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL under the five rules."""
+    rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
