@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, near_dup, pareto_mix, url_rules
+from . import decontam, near_dup, pareto_mix, toxic_grammar, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +98,13 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL under the five rules."""
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = F.coalesce(toxic_grammar.held_out(F.col("doc_id")), F.lit(False))
+    model = toxic_grammar.learn(docs.where(~out), table(spark, sf_dir, "labels"))
+    told = toxic_grammar.score(docs, model)
+    return told.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -84,7 +84,9 @@ def _source_rates(u: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     rest = F.sum(F.col("w") * F.col("s")).over(by.rowsBetween(0, Window.unboundedFollowing))
     c = cls.join(targets.select("skey", "target"), "skey") \
         .withColumn("c", (F.col("target") - before * cap) / rest)
-    ok = c.where(F.col("c") * F.col("w") <= cap).groupBy("skey").agg(F.min("c").alias("c"))
+    # the fewest classes at the cap with which the others stay within it
+    ok = c.where(F.col("c") * F.col("w") <= cap).groupBy("skey").agg(F.min(F.struct("lv", "c")).alias("m")) \
+        .select("skey", F.col("m.c").alias("c"))
     return targets.join(ok, "skey", "left")
 
 
