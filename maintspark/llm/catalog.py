@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, near_dup, pareto_mix, toxic_grammar, url_rules
+from . import decontam, line_dedup, near_dup, pareto_mix, toxic_grammar, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,30 @@ def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxic_grammar.learn(docs.where(~out), table(spark, sf_dir, "labels"))
     told = toxic_grammar.score(docs, model)
     return told.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP3_SQL = rf"""
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+o AS (SELECT doc_id, i - 1 AS line, regexp_extract_all(translate(ls[i], {_AZ}), '[^\x20\x09-\x0D]+') AS w
+      FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
+e AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM o WHERE len(w) >= 5),
+f AS (SELECT s, any_value(w) AS w, min(struct_pack(d := doc_id, l := line)) AS o FROM e GROUP BY s),
+v AS (SELECT s, o, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS v
+      FROM (SELECT s, o, w, unnest(range(1, len(w) + 1)) AS i FROM f WHERE len(w) >= 10)),
+late AS (SELECT s FROM (SELECT s, o, min(o) OVER (PARTITION BY v, i) AS m FROM v) WHERE m < o
+         UNION SELECT v.s FROM v JOIN f ON f.s = v.v WHERE len(f.w) >= 10 AND f.o < v.o
+         UNION SELECT f.s FROM v JOIN f ON f.s = v.v WHERE len(f.w) >= 10 AND v.o < f.o),
+x AS (SELECT e.doc_id, e.line FROM e JOIN f USING (s) WHERE f.o <> struct_pack(d := e.doc_id, l := e.line) OR s IN (SELECT s FROM late)),
+k AS (SELECT o.doc_id, count(x.line) AS n_dropped FROM o LEFT JOIN x USING (doc_id, line) GROUP BY o.doc_id),
+t AS (SELECT doc_id, string_agg(ls[line + 1], chr(10) ORDER BY line) AS t FROM o JOIN l USING (doc_id)
+      WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.doc_id = o.doc_id AND x.line = o.line) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query(OP3_SQL)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line, or are one word edit from one."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
