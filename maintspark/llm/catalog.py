@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, near_dup, pareto_mix, toxic_grammar, url_rules
+from . import decontam, html_paths, line_dedup, near_dup, pareto_mix, prefix_hash, toxic_grammar, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,16 @@ FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that repeat an earlier line, or are one word edit from one."""
     return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    told = html_paths.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return told.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op6_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return prefix_hash.edited_neighbours(table(spark, sf_dir, "documents"))
