@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_paths, line_dedup, near_dup, pareto_mix, prefix_hash, toxic_grammar, url_rules
+from . import decontam, html_paths, katz, line_dedup, near_dup, pareto_mix, prefix_hash, toxic_grammar, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -148,3 +148,11 @@ def op2_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they are."""
     return prefix_hash.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz bigram score of every document; trained on those that are not held out."""
+    def out(doc_id):
+        return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(10)) == 0
+    return katz.score_documents(table(spark, sf_dir, "documents"), out)
