@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_paths, katz, line_dedup, near_dup, pareto_mix, prefix_hash, toxic_grammar, url_rules
+from . import decontam, html_paths, katz, line_dedup, near_dup, pareto_mix, prefix_hash, tool_chat, toxic_grammar, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,3 +156,38 @@ def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     def out(doc_id):
         return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(10)) == 0
     return katz.score_documents(table(spark, sf_dir, "documents"), out)
+
+
+OP9_SQL = r"""
+WITH t AS (SELECT conv_id, turn, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM conversations),
+c AS (SELECT *, 'c' || conv_id || '_' || turn AS call_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq,
+             list_sort(list_distinct(list_filter([CASE WHEN turn >= 2 THEN 'c' || conv_id || '_' || (turn - 2) END,
+                 CASE WHEN length(text) % 2 = 0 AND turn > 0 THEN 'c' || conv_id || '_0' END,
+                 CASE WHEN length(text) % 2 = 0 AND turn > 1 THEN 'c' || conv_id || '_1' END], lambda x: x IS NOT NULL))) AS deps,
+             CASE WHEN n <= 40 AND n < 1 THEN 'limit:minimum' WHEN n <= 40 AND n > 25 THEN 'limit:maximum'
+                  WHEN n > 100 THEN 'max_words:maximum' ELSE '' END AS errors
+      FROM t WHERE role = 'user'),
+a AS (SELECT 'c' || conv_id || '_' || (turn - 1) AS call_id, text AS result FROM t WHERE role = 'assistant'),
+l AS (SELECT c.*, a.result, a.call_id IS NOT NULL AS answered,
+             CASE WHEN errors <> '' THEN 'invalid' WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'ok' END AS status
+      FROM c LEFT JOIN a USING (call_id))
+SELECT conv_id, turn, role, call_id, seq, status, errors,
+       CAST(json_object('arguments', CASE WHEN n <= 40 THEN json_object('limit', n, 'query', text) ELSE json_object('max_words', n, 'text', text) END,
+            'call_id', call_id, 'depends_on', to_json(deps), 'errors', CASE WHEN errors = '' THEN to_json(CAST([] AS VARCHAR[])) ELSE to_json([errors]) END,
+            'name', CASE WHEN n <= 40 THEN 'search' ELSE 'summarise' END, 'result', result, 'role', 'call', 'seq', seq, 'status', status) AS VARCHAR) AS json
+FROM l
+UNION ALL
+SELECT t.conv_id, t.turn, t.role, x.call_id, NULL, x.status, NULL,
+       CAST(json_object('call_id', x.call_id, 'content', t.text, 'role', t.role, 'status', x.status) AS VARCHAR)
+FROM t LEFT JOIN c ON c.conv_id = t.conv_id AND c.turn = t.turn - 1,
+LATERAL (SELECT CASE WHEN t.role = 'assistant' THEN 'c' || t.conv_id || '_' || (t.turn - 1) END AS call_id,
+                CASE WHEN t.role <> 'assistant' THEN 'message' WHEN c.call_id IS NULL THEN 'orphan' ELSE 'result' END AS status) x
+WHERE t.role <> 'user'
+"""
+
+
+@query(OP9_SQL)
+def op9_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of the conversations formatted: calls linked, ordered, validated, in canonical JSON."""
+    schemas = spark.createDataFrame(tool_chat.SCHEMAS, tool_chat.SCHEMA_COLUMNS)
+    return tool_chat.format_conversations(table(spark, sf_dir, "conversations"), schemas)

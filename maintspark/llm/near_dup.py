@@ -166,5 +166,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     told = near_duplicates(docs, id_col, text_col, **options)
     gone = told.where("n_shingles > 0 and not (doc_id <=> component_id)") \
         .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    gone = write_table(gone, "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_id"))
                      & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_h")), "left_anti")

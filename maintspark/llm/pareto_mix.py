@@ -28,9 +28,11 @@ from .store import write_table
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
-BINS = 1 << 16
+BINS = 1 << 13
 #: Sources (about 60 bytes each) that may be broadcast.
 BROADCAST_SOURCES = 200_000
+#: Decisions on units (about 60 bytes each) that may be broadcast to the documents.
+BROADCAST_UNITS = 400_000
 SEED = 20240613
 
 
@@ -151,7 +153,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     d = d.select(*[F.col(c).alias(a) for c, a in p.items()])
     on = docs[id_col].cast("long").eqNullSafe(F.col("_mix_doc_id")) & (_key(docs[source_col].cast("string")) == F.col("_mix_skey")) \
         & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_mix_h"))
-    j = docs.join(d, on)
+    j = docs.join(F.broadcast(d) if d.count() <= BROADCAST_UNITS else d, on)
     part = (F.col("_mix_extra") > 0) & (F.col("_mix_extra") < F.col("_mix_n"))
     whole = j.where(~part).withColumn("_mix_more", F.when(F.col("_mix_extra") > 0, 1).otherwise(0))
     out = whole

@@ -38,6 +38,8 @@ from .textbytes import NOT_SPACE, chunks, mix, words
 
 #: Bound of the learned lexicon.
 MAX_FORMS = 4096
+#: Label rows that may be broadcast.
+BROADCAST_LABELS = 2_000_000
 FORM_LENGTHS = (3, 4, 5, 6, 7)
 #: Uses of a form in one document that are told apart.
 USES = 8
@@ -191,6 +193,8 @@ def _voters(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     """(text, y) of the labelled documents; near copies with one label vote once."""
     y = labels.where("toxic is not null").groupBy(F.col(id_col).alias("_y_id")).agg(F.max("toxic").cast("int").alias("y"))
     d = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    # labels are 12 bytes a row: within the bound they travel to the texts, not the other way
+    y = F.broadcast(y) if labels.count() <= BROADCAST_LABELS else y
     lab = d.join(y, F.col("_id") == F.col("_y_id")).select("text", "y")
 
     def least_words(batches):
