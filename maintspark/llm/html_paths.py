@@ -53,10 +53,11 @@ HOLDS = 0.7
 
 
 class Page:
-    """Elements (parent, name, label, aside) and text nodes (element, text, link, block) of a page."""
+    """Elements (parent, name, aside, path) and text nodes (element, text, link, block) of a page."""
 
     def __init__(self, markup: str):
-        self.parent, self.name, self.label, self.aside = [-1], ["#"], ["#"], [False]
+        self.parent, self.name, self.aside, self.path = [-1], ["#"], [False], [0]
+        self.paths: dict[tuple[int, str], int] = {}  # (path above, label) -> number of the path
         self.nodes: list[tuple[int, str, bool, int]] = []
         self.block = 0
         self._read(markup)
@@ -73,7 +74,9 @@ class Page:
         self.parent.append(stack[-1])
         self.name.append(name)
         kind = ".".join(sorted(found.get("class", "").split()))
-        self.label.append(f"{name}.{kind}" if kind else name)
+        above = self.path[stack[-1]]
+        self.path.append(above if name in INLINE and name != "a" else
+                         self.paths.setdefault((above, f"{name}.{kind}" if kind else name), len(self.paths) + 1))
         self.aside.append(aside or self.aside[stack[-1]])
         stack.append(len(self.name) - 1)
 
@@ -134,14 +137,6 @@ class Page:
         self._text(stack, markup[at:])
 
 
-def _path(page: Page, e: int, cache: dict) -> tuple:
-    if e not in cache:
-        up = page.parent[e]
-        mine = () if page.name[e] in INLINE and page.name[e] != "a" or up < 0 else (page.label[e],)
-        cache[e] = (_path(page, up, cache) if up >= 0 else ()) + mine
-    return cache[e]
-
-
 def _joined(nodes) -> str:
     """Blocks with their white space turned into single spaces, joined by one space."""
     blocks: dict[int, list[str]] = {}
@@ -158,10 +153,9 @@ def main_text(markup: str | None) -> str:
     if not any(t.strip() for _, t, _, _ in nodes):
         return ""
     # sums per path
-    cache: dict = {}
     length, punct, count = defaultdict(int), defaultdict(int), defaultdict(int)
     real = [n for n in nodes if n[1].strip()]
-    paths = [_path(page, e, cache) for e, _, _, _ in real]
+    paths = [page.path[e] for e, _, _, _ in real]
     size = [len(t.strip()) for _, t, _, _ in real]
     for p, (e, t, link, _), k in zip(paths, real, size):
         count[p] += 1
@@ -209,20 +203,16 @@ def main_text(markup: str | None) -> str:
             break  # the headline stands beside the text
         at = best
     whole = page.name[at] not in ("#", "html", "body")
-    inside: dict[int, bool] = {-1: False}
-
-    def within(e):
-        if e not in inside:
-            inside[e] = e == at or within(page.parent[e])
-        return inside[e]
-
+    inside = [False] * len(page.name)
+    for e in range(len(inside)):  # parents come first
+        inside[e] = e == at or e > 0 and inside[page.parent[e]]
     first, last = kept[0], kept[-1]
     order = {id(n): i for i, n in enumerate(real)}
     out = []
     for n in nodes:
         i = order.get(id(n))
         if whole:
-            ok = within(n[0])
+            ok = inside[n[0]]
         elif i is None:
             ok = bool(out) and out[-1][3] == n[3]
         else:

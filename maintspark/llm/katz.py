@@ -73,12 +73,13 @@ def _blocks(batches):
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
         for c in chunks(batch, "text", BLOCK_BYTES):
-            w = words(c.column(2), NOT_SPACE)
-            n = np.diff(w.offsets)
+            # hashed in small pieces: a block's arrays per word are small, those per byte are not
+            got = [(np.diff(w.offsets), w.hashes()) for w in (words(x.column(2), NOT_SPACE) for x in chunks(c, "text"))]
+            n, hashes = (np.concatenate(x) for x in zip(*got))
             ends = np.cumsum(n + 1)  # first token of the next document
             h = np.empty(ends[-1], np.uint64)
             h[ends - 1] = END
-            h[np.arange(len(w.start)) + np.repeat(np.arange(len(n)), n)] = w.hashes()
+            h[np.arange(len(hashes)) + np.repeat(np.arange(len(n)), n)] = hashes
             vocab, ids = np.unique(h, return_inverse=True)
             held = np.asarray(c.column(1).fill_null(False)).astype(bool)
             train = np.bincount(ids, np.repeat(~held, n + 1), len(vocab)).astype(np.int64)

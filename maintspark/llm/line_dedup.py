@@ -6,9 +6,10 @@ lines of ``FUZZY_WORDS`` words or more within one word edit (a word inserted, de
 replaced) the earlier stays. Order: document id (null last), text hash, line number.
 
 1. Every eligible line becomes a digest; equal lines are aggregated to their earliest occurrence.
-2. Two lines within one edit have their first or their last words in common (the edit is in
-   one half), so only distinct lines that share the hash of their first or last
-   ``ANCHOR`` words with another go on. This drops no pair.
+2. Two lines within one edit have their first or their last half in common: of the shorter
+   line's m words, prefix and suffix share m - 1 at least, so one of them (m - 1) / 2. Only
+   distinct lines that share the hash of such a half with another go on, for m being their
+   own length and one less. This drops no pair.
 3. Those lines emit their deletion neighbourhood: a hashed key for every line with one word
    left out, with the place of the word, and the line's own key.
 4. Lines with an equal key at an equal place differ by one replaced word at most, all of them
@@ -35,7 +36,7 @@ from .textbytes import _INVERSE, NOT_SPACE, buffers, chunks, mix, powers, Words
 
 MIN_WORDS = 5
 FUZZY_WORDS = 10
-ANCHOR = 5
+HALVES = ("a1", "a2", "a3", "a4")
 #: Documents, and lines in them, that may be broadcast (20 bytes each, 24 a document).
 BROADCAST_ROWS = 400_000
 
@@ -84,7 +85,7 @@ class Lines:
 
 
 def _occurrences(batches):
-    """(doc_id, h, line, d1, d2, n, first, last) of every eligible line."""
+    """(doc_id, h, line, d1, d2, n) of every eligible line, and a1..a4: its halves."""
     for batch in batches:
         for c in chunks(batch, "text"):
             ls = Lines(c.column(2))
@@ -92,11 +93,14 @@ def _occurrences(batches):
             s, e, doc = ls.s[ok], ls.e[ok], ls.doc[ok]
             spans, other = Spans(ls.hashes), Spans(mix(ls.hashes))
             at = pa.array(doc)
-            signed = [x.astype(np.int64) for x in (spans.of(s, e), other.of(s, e), other.of(s, s + ANCHOR), spans.of(e - ANCHOR, e))]
+            k, j = (e - s) // 2, (e - s - 1) // 2
+            halves = np.stack([other.of(s, s + k), other.of(s, s + j), spans.of(e - k, e), spans.of(e - j, e)], axis=1).astype(np.int64)
+            halves[e - s < FUZZY_WORDS] = 0
             yield pa.RecordBatch.from_arrays(
-                [c.column(0).take(at), c.column(1).take(at), pa.array(ls.number[ok].astype(np.int32)), pa.array(signed[0]), pa.array(signed[1]),
-                 pa.array((e - s).astype(np.int32)), pa.array(signed[2]), pa.array(signed[3])],
-                names=["doc_id", "h", "line", "d1", "d2", "n", "first", "last"])
+                [c.column(0).take(at), c.column(1).take(at), pa.array(ls.number[ok].astype(np.int32)),
+                 pa.array(spans.of(s, e).astype(np.int64)), pa.array(other.of(s, e).astype(np.int64)), pa.array((e - s).astype(np.int32)),
+                 *[pa.array(x) for x in halves.T]],
+                names=["doc_id", "h", "line", "d1", "d2", "n", "a1", "a2", "a3", "a4"])
 
 
 def _line_words(batches):
@@ -141,13 +145,13 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and how many of its lines are eligible."""
     spark = docs.sparkSession
     src = _source(docs, id_col, text_col)
-    seen = write_table(src.mapInArrow(_occurrences, "doc_id long, h long, line int, d1 long, d2 long, n int, first long, last long"), "lines")
+    seen = write_table(src.mapInArrow(_occurrences, "doc_id long, h long, line int, d1 long, d2 long, n int, a1 long, a2 long, a3 long, a4 long"), "lines")
     order = F.struct(F.isnull("doc_id").alias("z"), "doc_id", "h", "line")
     distinct = write_table(seen.groupBy("d1", "d2").agg(F.min(order).alias("o"), F.count("*").alias("m"), F.min("n").alias("n"),
-                                                        F.min("first").alias("first"), F.min("last").alias("last")), "distinct-lines")
+                                                        *[F.min(a).alias(a) for a in HALVES]), "distinct-lines")
     release_shuffles(spark)
     fuzzy = distinct.where(F.col("n") >= FUZZY_WORDS)
-    ends = fuzzy.select("d1", "d2", F.explode(F.array("first", "last")).alias("a"))
+    ends = fuzzy.select("d1", "d2", F.explode(F.array_distinct(F.array(*HALVES))).alias("a"))
     shared = write_table(ends.groupBy("a").agg(F.count("*").alias("m")).where("m > 1").select("a"), "anchors")
     near = ends.join(shared, "a", "left_semi").select("d1", "d2").distinct()
     picked = write_table(fuzzy.join(near, ["d1", "d2"], "left_semi").select("d1", "d2", "o.*"), "candidates")

@@ -64,7 +64,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def chunks(batch: pa.RecordBatch, col: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, col: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``max_bytes`` of text each (one row at least)."""
     _, off = buffers(batch.column(batch.schema.get_field_index(col)))
     at, n = 0, batch.num_rows

@@ -12,7 +12,7 @@ strongest form of each word beginning at its number of uses, times their mean cl
 documents makes it a score between 0 and 1.
 
 All counts are sums over all labelled training documents, where near copies (equal MinHash of
-the words) vote once; only forms whose counts could not come about by chance among all forms
+their word shingles) vote once; only forms whose counts could not come about by chance among all forms
 tried are kept, at most ``MAX_FORMS`` of them.
 
 Defined results: null, empty and wordless texts have no matched clause and so the score of no
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import drop_table, write_table
-from .textbytes import NOT_SPACE, chunks, mix, words
+from .shingles import shingle_sets
+from .textbytes import chunks, mix
 
 #: Bound of the learned lexicon.
 MAX_FORMS = 4096
@@ -197,38 +198,50 @@ def _voters(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     y = F.broadcast(y) if labels.count() <= BROADCAST_LABELS else y
     lab = d.join(y, F.col("_id") == F.col("_y_id")).select("text", "y")
 
-    def least_words(batches):
+    def least_shingles(batches):
+        """k1, k2: two MinHash values of the text's word shingles (0 without words)."""
         for batch in batches:
             for c in chunks(batch, "text"):
-                w = words(c.column(0), NOT_SPACE)
+                s, off = shingle_sets(c.column(0))
+                some = np.diff(off) > 0
                 keys = []
-                for salt in (1, 2):
-                    h = np.r_[mix(w.hashes() ^ np.uint64(salt * 0x9E3779B9)), np.uint64(2**64 - 1)]
-                    least = np.minimum.reduceat(h, np.minimum(w.offsets[:-1], len(h) - 1)) if len(c) else h[:0]
-                    keys.append(np.where(np.diff(w.offsets) > 0, least, np.uint64(0)).astype(np.int64))
+                for h in (s, mix(s ^ np.uint64(0x9E3779B9))):
+                    least = np.minimum.reduceat(np.r_[h, np.uint64(0)], off[:-1]) if c.num_rows else h[:0]
+                    keys.append(np.where(some, least, np.uint64(0)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([c.column(0), c.column(1), *map(pa.array, keys)], names=["text", "y", "k1", "k2"])
 
-    v = lab.mapInArrow(least_words, "text string, y int, k1 long, k2 long")
+    v = lab.mapInArrow(least_shingles, "text string, y int, k1 long, k2 long")
     return v.dropDuplicates(["y", "k1"]).dropDuplicates(["y", "k2"]).select("text", "y")
 
 
+#: Entries of a task's table of forms after which it is handed on.
+FORMS_HELD = 200_000
+
+
 def _form_counts(batches):
-    for batch in batches:
-        n: dict = defaultdict(lambda: [0, 0])
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            forms: dict = defaultdict(int)
-            for w, k in Counter(_WORD.findall(text.lower())).items():
-                for m in FORM_LENGTHS:
-                    if len(w) >= m:
-                        forms[w[:m]] += k
-            for f, k in forms.items():
-                for u in range(1, min(k, USES) + 1):
-                    n[f, u][y] += 1
-        yield pa.RecordBatch.from_arrays([
+    def rows(n):
+        return pa.RecordBatch.from_arrays([
             pa.array([f for f, _ in n], pa.string()), pa.array([u for _, u in n], pa.int32()),
             pa.array([x[0] for x in n.values()], pa.int64()), pa.array([x[1] for x in n.values()], pa.int64())],
             names=["form", "uses", "n0", "n1"])
 
+    n: dict = defaultdict(lambda: [0, 0])
+    for batch in batches:
+        for c in chunks(batch, "text"):
+            for text, y in zip(c.column(0).to_pylist(), c.column(1).to_pylist()):
+                forms: dict = defaultdict(int)
+                for w, k in Counter(_WORD.findall(text.lower())).items():
+                    for m in FORM_LENGTHS:
+                        if len(w) >= m:
+                            forms[w[:m]] += k
+                for f, k in forms.items():
+                    for u in range(1, min(k, USES) + 1):
+                        n[f, u][y] += 1
+                if len(n) > FORMS_HELD:
+                    yield rows(n)
+                    n.clear()
+    yield rows(n)
+
 
 def learn_lexicon(voters: DataFrame, max_forms: int = MAX_FORMS) -> Lexicon:
     """Forms whose documents are toxic far more often than all documents: by the tail bound
