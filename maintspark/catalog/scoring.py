@@ -156,7 +156,7 @@ def score_readings_q(spark, sf):
     from ..plans.features import feature_table
     ev = A.table(spark, sf, "events")
     ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie")
-    model = TR.fit(ft, S.feature_columns(), preset="small")
+    model = TR.fit(ft, S.feature_columns(), preset="production")
     feats = SC.lone_reading_features(_readings(spark, sf))
     return SC.score(model, feats, RUN_TIME)
 
@@ -173,6 +173,6 @@ def score_latest_q(spark, sf):
     ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie", keep_tie=True)
     ft = ft.checkpoint(eager=True)
     train = temporal_split(ft, tie="tie").filter(F.col("split") == "train")
-    model = TR.fit(train, S.feature_columns(), preset="small")
+    model = TR.fit(train, S.feature_columns(), preset="production")
     latest = SC.latest_per_key(ft, tie="tie")
     return SC.score(model, latest, RUN_TIME)

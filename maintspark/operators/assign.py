@@ -3,7 +3,7 @@
 The reference only sets endpoint traffic: the new model gets ``v`` %, every other
 deployed version ``(100 - v) // n``. We turn that into a deterministic
 assignment: a key's md5 bucket (0..99) is matched to the cumulative percentage
-ranges (a range join against a broadcast table of a handful of rows). The
+ranges, expanded to one row per bucket and joined on the bucket. The
 integer-division leftover goes to the first existing version so the ranges
 cover 0..99.
 """
@@ -40,5 +40,6 @@ def split_table(spark: SparkSession, shares: Sequence[tuple[str, int]]) -> DataF
 def assign_versions(df: DataFrame, splits: DataFrame, key: str, bucket_col: str = "bucket") -> DataFrame:
     """Each row of ``df`` gets ``version`` by the md5 bucket of ``key``."""
     b = df.withColumn(bucket_col, md5_bucket(key))
-    s = F.broadcast(splits)   # one row per deployed version
-    return b.join(s, (b[bucket_col] >= s["lo"]) & (b[bucket_col] < s["hi"]), "left").drop("lo", "hi", "percent")
+    # one row per bucket (100 at most): an equi-join instead of a range comparison per version
+    buckets = splits.where("lo < hi").select("version", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias(bucket_col))
+    return b.join(F.broadcast(buckets), bucket_col, "left").select(*b.columns, "version")

@@ -25,6 +25,11 @@ MIN5_US = 300 * 1_000_000
 HOUR_US = 3600 * 1_000_000
 
 
+def scored(log: DataFrame, p: str = "failure_probability") -> DataFrame:
+    """The rows that carry a probability: error rows (-1), NULL and NaN don't."""
+    return log.filter((F.col(p) >= 0) & ~F.isnan(F.col(p).cast("double")))
+
+
 def risk_level_counts(log: DataFrame) -> DataFrame:
     """O1: predictions per risk level; the total counts LOW+MEDIUM+HIGH only."""
     c = log.groupBy("risk_level").agg(F.count(F.lit(1)).alias("count"))
@@ -47,8 +52,8 @@ def cumulative_histogram(df: DataFrame, value: str, bounds: Sequence[float], by:
 
 
 def confidence_histogram(log: DataFrame, bounds: Sequence[float] = PROBABILITY_BOUNDS) -> DataFrame:
-    """O2: histogram of failure probabilities."""
-    return cumulative_histogram(log, "failure_probability", bounds)
+    """O2: histogram of failure probabilities; error rows (probability -1) have none."""
+    return cumulative_histogram(scored(log), "failure_probability", bounds)
 
 
 def request_counts(log: DataFrame) -> DataFrame:
@@ -64,12 +69,14 @@ def duration_histogram(log: DataFrame, bounds: Sequence[float] = LATENCY_BOUNDS)
 def _js(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """JS divergence per ``by`` group from rows (by..., bin, b, c) of bin counts."""
     w = Window.partitionBy(*by)     # one group = at most `bins` rows
-    p = F.col("b") / F.sum("b").over(w)
-    q = F.col("c") / F.sum("c").over(w)
+    # a side without rows has no distribution: its shares, and the divergence, are NULL
+    p = F.try_divide(F.col("b"), F.sum("b").over(w))
+    q = F.try_divide(F.col("c"), F.sum("c").over(w))
     t = counts.select(*by, p.alias("p"), q.alias("q"))
     m = (F.col("p") + F.col("q")) / 2.0
     term = (F.when(F.col("p") > 0, F.col("p") * F.log2(F.col("p") / m)).otherwise(0.0)
             + F.when(F.col("q") > 0, F.col("q") * F.log2(F.col("q") / m)).otherwise(0.0))
+    term = F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), term)
     return t.groupBy(*by).agg((F.sum(term) * 0.5).alias("js_divergence"))
 
 
@@ -105,7 +112,8 @@ def windowed_drift(log: DataFrame, baseline: DataFrame, value: str = "failure_pr
                    time: str = "prediction_timestamp", window_us: int = MIN5_US, bins: int = 10) -> DataFrame:
     """JS divergence of every time window's distribution of ``value`` (fixed bins on
     [0, 1]) against the baseline distribution; windows without rows have no value."""
-    idx = F.least(F.floor(F.col(value) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+    idx = probability_bin(value, bins)
+    log, baseline = scored(log, value), scored(baseline, value)
     base = baseline.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("b"))
     per = log.groupBy(bucket_number(time, window_us).alias("_w"), idx.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     # Every window needs all baseline bins (also those it lacks): spine of windows x bins.
@@ -177,7 +185,9 @@ PROB_BINS = 10
 
 
 def probability_bin(p, bins: int = PROB_BINS):
-    return F.least(F.floor(F.col(p) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+    """Bin number, both ends clamped; NULL for rows without a probability (errors)."""
+    return F.when((F.col(p) >= 0) & ~F.isnan(F.col(p).cast("double")),
+                  F.greatest(F.least(F.floor(F.col(p) * F.lit(float(bins))), F.lit(bins - 1)), F.lit(0))).cast("int")
 
 
 def bin_count_columns(p: str = "failure_probability", bins: int = PROB_BINS) -> list:
@@ -199,11 +209,11 @@ def drift_from_bins(rollups: DataFrame, base: DataFrame, bins: int = PROB_BINS,
     ctot = sum(F.col(f"p_bin_{i}") for i in range(bins))
     terms = []
     for i in range(bins):
-        p = F.col(f"base_bin_{i}") / btot
-        q = F.col(f"p_bin_{i}") / ctot
+        p = F.try_divide(F.col(f"base_bin_{i}"), btot)
+        q = F.try_divide(F.col(f"p_bin_{i}"), ctot)
         m = (p + q) / 2.0
         terms.append(F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0))
-    js = sum(terms) * 0.5
+    js = F.when((btot > 0) & (ctot > 0), sum(terms) * 0.5)
     return j.select(*[c for c in rollups.columns], js.alias("js_divergence"),
                     (js > F.lit(threshold)).alias("drift_alert"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.expr import epoch_micros, is_missing
+from ..functions.expr import epoch_micros, is_missing, nan_to_null
 from ..plans.quantiles import describe, quantiles
 
 DAY_US = 86_400_000_000
@@ -94,15 +94,24 @@ def records_describe(df: DataFrame, key: str = S.KEY, approx: bool = False) -> D
 
 def correlation(df: DataFrame, sensors: Sequence[str] = S.SENSORS) -> DataFrame:
     """Pearson matrix in long form (sensor_a, sensor_b, corr): one aggregation of the
-    distinct pairs, mirrored, 1.0 on the diagonal. Pairwise-complete rows like pandas."""
+    distinct pairs, mirrored. Pairwise-complete rows like pandas; a constant sensor has no correlation, also
+    not with itself."""
     pairs = [(a, b) for i, a in enumerate(sensors) for b in sensors[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    clean = nan_to_null(df.select(*sensors))
+
+    def pearson(a, b):
+        """NULL for a constant (or empty) column; over the rows that have both values."""
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = clean.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs],
+                     *[F.when(F.stddev_pop(s) > 0, 1.0).alias(f"{s}|{s}") for s in sensors])
     cells = []
     for a, b in pairs:
         cells.append(F.struct(F.lit(a).alias("sensor_a"), F.lit(b).alias("sensor_b"), F.col(f"`{a}|{b}`").alias("corr")))
         cells.append(F.struct(F.lit(b).alias("sensor_a"), F.lit(a).alias("sensor_b"), F.col(f"`{a}|{b}`").alias("corr")))
     for s in sensors:
-        cells.append(F.struct(F.lit(s).alias("sensor_a"), F.lit(s).alias("sensor_b"), F.lit(1.0).alias("corr")))
+        cells.append(F.struct(F.lit(s).alias("sensor_a"), F.lit(s).alias("sensor_b"), F.col(f"`{s}|{s}`").alias("corr")))
     return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
@@ -176,7 +185,8 @@ def iqr_outliers(df: DataFrame, sensors: Sequence[str] = S.SENSORS, k: float = 1
                *[F.max(F.when(F.col("sensor") == s, F.col("upper_bound"))).alias(f"hi_{s}") for s in sensors])
     counted = df.withColumn("_one", F.lit(1)).join(F.broadcast(bw.withColumn("_one", F.lit(1))), "_one")
     c = counted.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if((F.col(s) < F.col(f"lo_{s}")) | (F.col(s) > F.col(f"hi_{s}"))).alias(s)
+                    *[F.count_if(((F.col(s) < F.col(f"lo_{s}")) | (F.col(s) > F.col(f"hi_{s}")))
+                               & ~F.isnan(F.col(s).cast("double"))).alias(s)
                       for s in sensors])
     cl = c.unpivot(["_rows"], list(sensors), "sensor", "count")
     return (b.join(cl, "sensor")
@@ -198,5 +208,5 @@ def business_facts(telemetry: DataFrame, failures: DataFrame, key: str = S.KEY,
     one = F.lit(1)
     return (t.withColumn("_one", one).join(f.withColumn("_one", one), "_one").join(mode.withColumn("_one", one), "_one")
              .select("machines", "collection_days", "missing_cells", "total_failures",
-                     (F.col("total_failures") / F.col("machines")).alias("failures_per_machine"),
+                     F.try_divide(F.col("total_failures"), F.col("machines")).alias("failures_per_machine"),
                      "most_common_failure"))

@@ -6,13 +6,12 @@ and all specs share the same exchange and sort, so the 32 statistics cost one
 shuffle by machine and one sort.
 
 Hot machines: with ``chunk_rows`` set (or ``'auto'``), machines holding more rows
-than that are cut into time chunks; the window runs per (machine, chunk) and the
-first ``max(window)-1`` rows of every later chunk are recomputed together with the
-last rows of the chunks before them (a halo), so one busy machine is many tasks
-while the result stays exact. The halo rows are taken from the raw rows by two
-top-k selections (limited before the shuffle), so the heavy window runs once over
-the data; ``chunked_rolling_with_summary`` also returns each chunk's last non-null
-values for the frame fill from the same small edge set.
+than that are cut into chunks of that many rows. Their rows get an id each and their
+position in the machine's order (a scan cut over all tasks), so equal or missing times
+lose nothing and chunks are even. The last ``max(window)-1`` rows of a chunk also go to
+the next one as context, so one busy machine is many tasks, the window runs once and the
+result stays exact. ``chunked_rolling_with_summary`` also returns each chunk's last
+non-null values for the frame fill, from the chunks' last rows only.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.expr import epoch_micros
+from ..plans.ordered import global_row_index
 from ..plans.sizing import materialize
 
 _AGG = {
@@ -96,7 +95,7 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
     """W1 (and W2 via ``spec``, W3 via ``min_periods='full'``).
 
     ``tie``: column(s) that order readings with equal ``time`` (pandas keeps file order).
-    ``chunk_rows``: split machines with more rows than this into time chunks (skew);
+    ``chunk_rows``: split machines with more rows than this into chunks of so many (skew);
     ``'auto'`` decides from the largest machine's row count (one aggregation);
     ``keep_chunk`` keeps the chunk number as column ``_chunk`` (0 for machines not split).
     """
@@ -109,10 +108,8 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
     return _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, int(chunk_rows), keep_chunk)
 
 
-# A machine with more rows than this is cut into time chunks (one window task each).
+# A machine with more rows than this is cut into chunks of so many rows (one window task each).
 CHUNK_ROWS = 2_000_000
-# Chunk of a chunked machine's rows without a time (ordered after all others).
-LAST_CHUNK = 1 << 62
 
 
 def auto_chunk_rows(df: DataFrame, key: str, limit: int = CHUNK_ROWS) -> int | None:
@@ -144,60 +141,47 @@ def rolling_baseline(df: DataFrame, sensors: Sequence[str] = S.SENSORS, **kw) ->
 def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows, keep_chunk=False,
                      with_summary=False):
     halo = max(int(w) for w in spec) - 1
-    ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
-    order = _order(time, tie)
-    # Per-machine row counts and time span: one partial aggregation. Only machines
-    # above chunk_rows are chunked; their number is at most rows/chunk_rows. The table
-    # is written once and broadcast only after that bound is checked.
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                F.min(epoch_micros(time)).alias("_t0"),
-                                F.max(epoch_micros(time)).alias("_t1"))
-    hot = materialize(stats.filter(F.col("_n") > chunk_rows).select(
-        key, "_t0",
-        (F.floor((F.col("_t1") - F.col("_t0")).cast("double") * F.lit(float(chunk_rows)) / F.col("_n")) + 1)
-        .cast("long").alias("_len")))
-    hot = F.broadcast(hot) if _bounded(hot, 100_000) else hot
-    tagged = (df.join(hot, key, "left")
-                .withColumn("_hot", F.col("_len").isNotNull())
-                .withColumn("_chunk", F.when(F.col("_len").isNull(), F.lit(0))
-                            .otherwise(F.coalesce(F.floor((epoch_micros(time) - F.col("_t0")) / F.col("_len")),
-                                                  F.lit(LAST_CHUNK))).cast("long"))
-                .drop("_t0", "_len"))
+    chunk_rows = max(chunk_rows, halo + 1)
+    order = [*_order(time, tie), F.col("_row").asc_nulls_last()]
+    # One partial aggregation; machines above chunk_rows are at most rows/chunk_rows. The
+    # table is written once and broadcast only after that bound is checked.
+    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                        .filter(F.col(key).isNotNull() & (F.col("_n") > chunk_rows)).select(key))
+    near = F.broadcast if _bounded(hot, 100_000) else (lambda side: side)
+    # Every row of a busy machine gets an id of its own, written once: rows that agree in
+    # time and tie stay different rows, in one order, in every later pass.
+    busy = materialize(df.join(near(hot), key, "left_semi").withColumn("_row", F.monotonically_increasing_id()))
+    at = global_row_index(busy, [F.col(key).asc_nulls_last(), *order], name="_pos")
+    at = materialize(at)
+    first = at.groupBy(key).agg(F.min("_pos").alias("_first"))
+    at = at.join(near(first), key).withColumn("_at", F.col("_pos") - F.col("_first"))
+    # Chunks of chunk_rows rows; the last `halo` rows of a chunk also go to the next one as context.
+    own = F.floor(F.col("_at") / chunk_rows).cast("long")
+    places = F.array(F.struct(own.alias("_chunk"), F.lit(False).alias("_ctx")),
+                     F.when(F.pmod("_at", F.lit(chunk_rows)) >= chunk_rows - halo,
+                            F.struct((own + 1).alias("_chunk"), F.lit(True).alias("_ctx"))))
+    at = at.withColumn("_place", F.explode(F.filter(places, lambda p: p.isNotNull()))) \
+           .select(*df.columns, "_row", "_place._chunk", "_place._ctx")
+    cold = df.join(near(hot), key, "left_anti") \
+             .select("*", F.lit(None).cast("long").alias("_row"), F.lit(0).cast("long").alias("_chunk"), F.lit(False).alias("_ctx"))
+    tagged = cold.filter(F.col(key).isNotNull()).unionByName(at)
     part = [key, "_chunk"]
-    w_ord = Window.partitionBy(*part).orderBy(*order)
-    main = tagged.select("*", *rolling_exprs(spec, sensors, part, order, key, min_periods),
-                         F.row_number().over(w_ord).alias("_rn"))
-    fixed = main.filter((F.col("_chunk") == 0) | (F.col("_rn") > halo))
-    # Edge rows from the raw rows (two top-k selections Spark limits before the shuffle):
-    # the first `halo` rows of every later chunk of a chunked machine, and the last rows
-    # of every chunk -- `halo` of them as context, or `2*halo+1` when the per-chunk carry
-    # summary is wanted (then the last `halo+1` rows of each chunk are exact here too).
-    depth = 2 * halo + 1 if with_summary else halo
-    w_desc = Window.partitionBy(*part).orderBy(*_reverse_order(time, tie))
-    heads = (tagged.filter(F.col("_hot") & (F.col("_chunk") > 0))
-                   .withColumn("_rn", F.row_number().over(w_ord)).filter(F.col("_rn") <= halo)
-                   .withColumn("_rd", F.lit(None).cast("int")))
-    tails = ((tagged if with_summary else tagged.filter(F.col("_hot")))
-             .withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= depth)
-             .withColumn("_rn", F.lit(None).cast("int")))
-    ids = [key, "_chunk", time, *ties]
-    rest = [c for c in df.columns if c not in ids] + ["_hot"]
-    # a row can be both a head and a tail (short chunks): keep it once, with both ranks
-    edge = (heads.unionByName(tails).groupBy(*ids)
-                 .agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest],
-                      F.min("_rn").alias("_rn"), F.min("_rd").alias("_rd")))
-    redone = edge.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
-    redo = redone.filter((F.col("_chunk") > 0) & (F.col("_rn") <= halo))
-    cols = list(df.columns) + [c for c in main.columns
-                               if c not in df.columns and not c.startswith("_")]
-    cols += ["_chunk"] if keep_chunk else []
-    rolled = fixed.select(*cols).unionByName(redo.select(*cols))
+    exprs = rolling_exprs(spec, sensors, part, order, key, min_periods)
+    rolled = tagged.select("*", *exprs).filter(~F.col("_ctx")).drop("_ctx")
+    # rows without a machine have no statistics: they see no window
+    stat_cols = [c for c in rolled.columns if c not in tagged.columns]
+    nameless = cold.filter(F.col(key).isNull())
+    rolled = rolled.select(*df.columns, "_row", "_chunk", *stat_cols)
+    rolled = rolled.unionByName(nameless.drop("_ctx").select("*", *[F.lit(None).cast("double").alias(c) for c in stat_cols]))
     if not with_summary:
-        return rolled
-    stat_cols = [c for c in cols if c not in df.columns and c != "_chunk"]
+        return rolled.select(*df.columns, *stat_cols, *(["_chunk"] if keep_chunk else []))
+    # The last rows of every chunk (a top-k Spark limits before the shuffle): the last
+    # halo+1 of 2*halo+1 rows have their whole window among them.
+    newest = Window.partitionBy(*part).orderBy(*_reverse_order(time, tie), F.col("_row").desc_nulls_first())
+    tails = tagged.withColumn("_rd", F.row_number().over(newest)).filter(F.col("_rd") <= 2 * halo + 1)
     columns = list(sensors) + stat_cols
-    okey = order_key(time, tie)
-    exact = redone.filter(F.col(key).isNotNull() & (F.col("_rd") <= halo + 1))
+    okey = order_key(time, [*([] if tie is None else [tie] if isinstance(tie, str) else list(tie)), "_row"])
+    exact = tails.select("*", *exprs).filter(~F.col("_ctx") & (F.col("_rd") <= halo + 1))
     summ = materialize(exact.groupBy(key, "_chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns]))
     unresolved = F.lit(False)
@@ -209,8 +193,7 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     full = rolled.join(redo_keys, [key, "_chunk"], "left_semi")
     redo_summ = full.groupBy(key, "_chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns])
-    # NULL machine ids: statistics NULL by definition; raw sensors by aggregation
-    nul = tagged.filter(F.col(key).isNull()).groupBy(key, "_chunk").agg(
+    nul = nameless.groupBy(key, "_chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in sensors],
         *[F.lit(None).cast("double").alias(c) for c in stat_cols])
     summary = summ.filter(~unresolved).unionByName(redo_summ).unionByName(nul.select(key, "_chunk", *columns))
@@ -220,7 +203,7 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
 def chunked_rolling_with_summary(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
                                  windows: Sequence[int] = S.WINDOWS, stats: Sequence[str] = S.STATS,
                                  key: str = S.KEY, time: str = S.TIME, tie=None, chunk_rows: int = CHUNK_ROWS):
-    """(rolled table with ``_chunk``, per-(machine, chunk) last non-null value of every
+    """(rolled table with ``_chunk`` and the row id ``_row``, per-(machine, chunk) last non-null value of every
     sensor and statistic) -- the summary comes from the small edge set, not from a
     second pass over the rolled table."""
     spec = default_spec(windows, stats)

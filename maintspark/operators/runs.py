@@ -35,7 +35,18 @@ def _join(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> Data
     """Join on the group keys; without a group, on a constant key (both sides are
     one row per group, so this is never a cartesian product of large inputs)."""
     if on:
-        return a.join(b, on, how)
+        # null-safe: runs without a group are a group of their own
+        named = b.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in b.columns])
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+        keys = [f"_on_{c}" for c in on]
+        j = a.join(named, cond, how)
+        if how in ("left_semi", "left_anti"):
+            return j
+        rest = [c for c in j.columns if c not in on and c not in keys]
+        pick = [F.coalesce(F.col(c), F.col(f"_on_{c}")).alias(c) if how == "full_outer" else F.col(c) for c in on]
+        return j.select(*pick, *rest)
     return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one", how).drop("_one")
 
 
@@ -90,10 +101,14 @@ def compare_active_vs_best(runs: DataFrame, group: str | None = GROUP) -> DataFr
 def promote(runs: DataFrame, chosen: DataFrame, at: str, group: str | None = GROUP) -> DataFrame:
     """New snapshot -- per group of a chosen version: the latest active run becomes
     'retired', the chosen one 'active' with ``deployment_date = at``. A chosen
-    version that is not in the table changes nothing (also nothing is retired)."""
+    version that is not in the table changes nothing (also nothing is retired); two chosen
+    versions of one group raise ``ValueError``. Runs without a group are one group."""
     g = _group(runs, group)
-    known = chosen.select(*g, F.col("version").alias("_chosen")).join(
-        runs.select(*g, F.col("version").alias("_chosen")), g + ["_chosen"], "left_semi")
+    known = _join(chosen.select(*g, F.col("version").alias("_chosen")).distinct(),
+                  runs.select(*g, F.col("version").alias("_chosen")), g + ["_chosen"], "left_semi")
+    # one version a group can be active: more choices are refused (one row a group, few rows)
+    if not known.groupBy(*g).count().filter("count > 1").isEmpty():
+        raise ValueError("more than one version chosen for a group")
     retire = _join(active_runs(runs, group), known.select(*g).distinct() if g else known.limit(1).select(),
                    g, "left_semi").select(*g, F.col("version").alias("_retire"))
     marks = _join(known, retire, g, "full_outer")
@@ -180,4 +195,5 @@ def register_run(runs: DataFrame, evaluation: DataFrame, version: str, training_
         F.lit(notes).alias("notes"), *[F.lit(v).alias(k) for k, v in (extra or {}).items()])
     e = e.select(*[F.col(c) if c in e.columns else F.lit(None).cast(runs.schema[c].dataType).alias(c)
                    for c in runs.columns])
-    return runs.join(e.select("version"), "version", "left_anti").unionByName(e)
+    # by the literal version: the evaluation isn't computed a second time to look it up
+    return runs.filter(~F.col("version").eqNullSafe(F.lit(version))).unionByName(e)

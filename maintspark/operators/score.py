@@ -117,5 +117,5 @@ def latest_per_key(df: DataFrame, key: str = S.KEY, time: str = S.TIME, tie=None
     """K6: the newest row of every machine (row_number = 1; WindowGroupLimit keeps one row
     per key before the window runs)."""
     ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
-    w = Window.partitionBy(key).orderBy(F.col(time).desc(), *[F.col(t).desc() for t in ties])
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_first() for c in [time, *ties]])  # the rolling windows' order, reversed
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

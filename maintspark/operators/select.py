@@ -33,21 +33,15 @@ def tail_per_key(df: DataFrame, n: int, key: str, order: Sequence[str], pos: str
     The window keeps a running row number and Spark's WindowGroupLimit drops rows
     beyond ``n`` before the window materialises them.
     """
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_first() for c in order])  # missing keys are last, so newest
     return df.withColumn(pos, F.row_number().over(w)).filter(F.col(pos) <= n)
 
 
-def hash_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = S.RANDOM_STATE,
-                only_if_more_than: int | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = S.RANDOM_STATE) -> DataFrame:
     """Fixed-size repeatable sample -- the ``n`` rows with the smallest
-    ``md5(seed|keys)`` (a top-n, TakeOrderedAndProject). With ``only_if_more_than``
-    the whole input is returned when it is not larger than that."""
+    ``md5(seed|keys)`` (a top-n, TakeOrderedAndProject); all rows when there are no more."""
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
-    sampled = df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
-    if only_if_more_than is None:
-        return sampled
-    # The bound check reads at most only_if_more_than+1 rows.
-    return sampled if df.limit(only_if_more_than + 1).count() > only_if_more_than else df
+    return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
 def percent_sample(df: DataFrame, percent: int, keys: Sequence[str]) -> DataFrame:

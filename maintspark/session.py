@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
     folder = tempfile.mkdtemp(prefix="maintspark-ckpt-", dir=os.environ.get("MAINTSPARK_SCRATCH", "/tmp"))
     sc.setCheckpointDir(folder)
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -59,7 +61,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of a named stream inside the shared checkpoint folder, so a
     restarted query (or one whose executors were lost) resumes its state and offsets."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    # the configured folder itself: Spark's checkpoint folder is a new subfolder for each application
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/streams/{name}"
 
 
 def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:

@@ -16,7 +16,11 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 
-TIME_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd"]
+TIME_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd",
+                "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
+#: Cell texts that stand for a missing value (after trimming, any case).
+MISSING = ["", "na", "n/a", "nan", "null", "none", "-", "#n/a"]
 
 
 def parse_time(c: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
@@ -24,27 +28,42 @@ def parse_time(c: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
-def _text_schema(schema: T.StructType, time_cols: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType() if f.name in time_cols else f.dataType, True)
-                         for f in schema.fields])
+def present(c: Column) -> Column:
+    """The cell's trimmed text, NULL for the usual missing-value texts."""
+    t = F.trim(c)
+    return F.when(~F.lower(t).isin(MISSING), t)
+
+
+def parse_number(c: Column, kind: T.DataType) -> Column:
+    """NULL when the text is no number of the type; whole numbers may be written ``1.0``."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        d = c.try_cast("decimal(38,6)")
+        return F.coalesce(c.try_cast(kind), F.when(d == F.floor(d), d.try_cast(kind)))
+    return c.try_cast(kind)
+
+
+def convert(c: Column, field: T.StructField, time_cols: Sequence[str]) -> Column:
+    """One conversion for batch and stream: a cell's text to the field's type."""
+    t = present(c)
+    if field.name in time_cols:
+        return parse_time(t)
+    return t if isinstance(field.dataType, T.StringType) else parse_number(t, field.dataType)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_cols: Sequence[str] = (S.TIME,)
              ) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows). Every column is read as text and converted with
-    ``try_cast`` / ``try_to_timestamp``; a row whose non-empty text does not convert is
-    bad. (Explicit conversion instead of the parser's corrupt-record column, which
+    ``try_cast`` / ``try_to_timestamp``; missing-value texts become NULL, and a row with
+    another text that does not convert is bad. (Explicit conversion instead of the parser's corrupt-record column, which
     CSV column pruning skips for columns a query does not read.)
     A missing path raises ``FileNotFoundError`` (S4)."""
     _require(spark, path)
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    conv = [parse_time(F.col(f.name)) if f.name in time_cols else
-            (F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType))
-            for f in schema.fields]
+    conv = [convert(F.col(f.name), f, time_cols) for f in schema.fields]
     bad = F.lit(False)
     for f, c in zip(schema.fields, conv):
-        bad = bad | (F.col(f.name).isNotNull() & (F.trim(F.col(f.name)) != "") & c.isNull())
+        bad = bad | (present(F.col(f.name)).isNotNull() & c.isNull())
     tagged = raw.select(*[c.alias(f.name) for f, c in zip(schema.fields, conv)], bad.alias("_bad"),
                         F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("_raw"))
     good = tagged.filter(~F.col("_bad")).select(*schema.names)
@@ -63,11 +82,17 @@ def read_failures_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 def load_datasets(spark: SparkSession, data_path: str, telemetry_file: str = "telemetry.csv",
                   failures_file: str = "failures.csv") -> tuple[DataFrame, DataFrame]:
     """Both tables from a folder (local, HDFS or an object store URI); either
-    one missing raises ``FileNotFoundError``."""
+    one missing raises ``FileNotFoundError``. No row is dropped: missing values are NULL, and
+    a file with rows that do not convert raises ``ValueError`` with the first of them
+    (``read_telemetry_csv`` / ``read_failures_csv`` return such rows apart instead)."""
     base = data_path.rstrip("/")
-    tel, _ = read_telemetry_csv(spark, f"{base}/{telemetry_file}")
-    fail, _ = read_failures_csv(spark, f"{base}/{failures_file}")
-    return tel, fail
+    out = []
+    for read, name in ((read_telemetry_csv, telemetry_file), (read_failures_csv, failures_file)):
+        good, bad = read(spark, f"{base}/{name}")
+        if (first := bad.limit(3).collect()):
+            raise ValueError(f"{name}: rows that do not convert, such as " + "; ".join(r.raw_record for r in first))
+        out.append(good)
+    return out[0], out[1]
 
 
 def _require(spark: SparkSession, path: str) -> None:
@@ -80,7 +105,7 @@ def _require(spark: SparkSession, path: str) -> None:
 
 def write_stage(df: DataFrame, path: str, time: str | None = S.TIME, mode: str = "overwrite") -> None:
     """Stage interchange as parquet, partitioned by month of ``time`` (not by machine:
-    machines are many, months few), so later time filters prune partitions."""
+    machines are many, months few); ``read_stage`` selects months by time."""
     w = df
     if time and time in df.columns:
         w = df.withColumn("month", F.date_format(F.col(time), "yyyy-MM"))
@@ -89,8 +114,18 @@ def write_stage(df: DataFrame, path: str, time: str | None = S.TIME, mode: str =
         w.write.mode(mode).parquet(path)
 
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_stage(spark: SparkSession, path: str, time_from: str | None = None, time_to: str | None = None,
+               time: str = S.TIME) -> DataFrame:
+    """A written stage with its own columns. ``time_from`` (included) and ``time_to``
+    (excluded) also select the months, so other partitions are not read."""
+    df = spark.read.parquet(path)
+    if "month" not in df.columns:
+        return df
+    if time_from is not None:
+        df = df.filter((F.col("month") >= time_from[:7]) & (F.col(time) >= F.lit(time_from).cast("timestamp_ntz")))
+    if time_to is not None:
+        df = df.filter((F.col("month") <= time_to[:7]) & (F.col(time) < F.lit(time_to).cast("timestamp_ntz")))
+    return df.drop("month")
 
 
 RUN_RECORD = T.StructType([f for f in S.MODEL_RUN.fields])

@@ -28,17 +28,27 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from .. import schemas as S
 from ..operators.monitor import bin_count_columns
 from ..session import stream_checkpoint
-from ..sources.io import _text_schema, parse_time
+from ..sources.io import convert, present
 
 
 def telemetry_stream(spark: SparkSession, path: str, schema: T.StructType = S.TELEMETRY,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """CSV files arriving in ``path`` -> T1 rows (timestamps parsed as in batch)."""
-    r = spark.readStream.schema(_text_schema(schema, [S.TIME])).option("header", True)
+                     max_files_per_trigger: int | None = 16, bad_rows: bool = False) -> DataFrame:
+    """CSV files arriving in ``path`` -> T1 rows, converted as in batch (every column read
+    as text). ``bad_rows``: the rows that do not convert instead (``raw_record``), for a second
+    query. A trigger takes ``max_files_per_trigger`` files at most, so a backlog is worked
+    off in bounded batches (``None``: no bound)."""
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    r = spark.readStream.schema(text).option("header", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.csv(path)
-    return raw.select(*[parse_time(F.col(c)).alias(c) if c == S.TIME else F.col(c) for c in schema.names])
+    conv = {f.name: convert(F.col(f.name), f, [S.TIME]) for f in schema.fields}
+    bad = F.lit(False)
+    for name, c in conv.items():
+        bad = bad | (present(F.col(name)).isNotNull() & c.isNull())
+    if bad_rows:
+        return raw.filter(bad).select(F.to_json(F.struct(*schema.names)).alias("raw_record"))
+    return raw.filter(~bad).select(*[c.alias(name) for name, c in conv.items()])
 
 
 # ------------------------------------------------------------------------- X1

@@ -65,3 +65,48 @@ def to_spark(spark, pdf, schema=None):
     df = spark.createDataFrame(pdf, schema=schema) if schema is not None else spark.createDataFrame(pdf)
     from maintspark.functions.expr import nan_to_null
     return nan_to_null(df)
+
+
+def rolling_oracle(pdf, windows=(3, 24), full=False):
+    """The survey's definition in plain loops: per machine the rows in time order; a statistic
+    over the last ``w`` rows looks at their present values only (``full``: needs ``w`` of them)."""
+    out = []
+    for _, machine in sorted(pdf.groupby("machineID")):
+        rows = machine.sort_values("datetime", kind="stable").to_dict("records")
+        for at, row in enumerate(rows):
+            row = dict(row)
+            for w in windows:
+                for sensor in ("volt", "rotate", "pressure", "vibration"):
+                    seen = [r[sensor] for r in rows[max(0, at - w + 1):at + 1] if not np.isnan(r[sensor])]
+                    enough = len(seen) >= (w if full else 1)
+                    row[f"{sensor}_{w}h_mean"] = sum(seen) / len(seen) if enough else np.nan
+                    row[f"{sensor}_{w}h_std"] = float(np.std(seen, ddof=1)) if enough and len(seen) > 1 else np.nan
+                    row[f"{sensor}_{w}h_max"] = max(seen) if enough else np.nan
+                    row[f"{sensor}_{w}h_min"] = min(seen) if enough else np.nan
+            out.append(row)
+    return pd.DataFrame(out)
+
+
+def label_oracle(readings, failures, days):
+    """1 for a reading with a failure of its machine after it, at most ``days`` later."""
+    due = {}
+    for machine, when in zip(failures["machineID"], failures["datetime"]):
+        due.setdefault(machine, []).append(when)
+    span = pd.Timedelta(days=days)
+    return np.array([int(any(t < f <= t + span for f in due.get(m, ())))
+                     for m, t in zip(readings["machineID"], readings["datetime"])])
+
+
+def feature_oracle(tel, fail, days=3):
+    """Rolling statistics, each column's last present value carried over machine borders, 0 before any; labels."""
+    table = rolling_oracle(tel)
+    for c in table.columns:
+        if c in ("datetime", "machineID"):
+            continue
+        last, filled = 0.0, []
+        for v in table[c]:
+            last = last if np.isnan(v) else v
+            filled.append(last)
+        table[c] = filled
+    table["failure_within_window"] = label_oracle(table, fail, days)
+    return table

@@ -146,3 +146,47 @@ def test_register_run_replaces_same_version(spark):
     missing = R.register_run(runs, ev.select("model_name", "auc_score", "confusion_matrix",
                                             "business_metrics").limit(1), "v8", "2024-02-03T00:00:00")
     assert missing.count() == 4
+
+
+def test_null_group_and_double_choice(spark):
+    import pytest
+    from maintspark.operators import runs as R
+    rows = [("v1", 0.8, "2024-01-01", "active", None), ("v2", 0.9, "2024-01-02", "candidate", None),
+            ("w1", 0.8, "2024-01-01", "active", "g"), ("w2", 0.9, "2024-01-02", "candidate", "g")]
+    runs = spark.createDataFrame([(v, "m", a, 0.5, 0.5, d, s, None, g) for v, a, d, s, g in rows],
+                                 "version string, model_name string, auc_score double, precision double, recall double, "
+                                 f"training_date string, status string, deployment_date string, {R.GROUP} string")
+    chosen = spark.createDataFrame([("v2", None)], f"version string, {R.GROUP} string")
+    out = {r.version: r.status for r in R.promote(runs, chosen, "2024-02-01").collect()}
+    assert out == {"v1": "retired", "v2": "active", "w1": "active", "w2": "candidate"}
+    auto = R.auto_promote(runs, "2024-02-01")
+    assert auto.count() == 4 and auto.filter("status = 'active'").count() == 2
+    two = spark.createDataFrame([("w1", "g"), ("w2", "g")], f"version string, {R.GROUP} string")
+    with pytest.raises(ValueError):
+        R.promote(runs, two, "2024-02-01")
+
+
+def test_missing_values_and_constant_sensors(spark):
+    from maintspark.operators import profile as P
+    nan = float("nan")
+    df = spark.createDataFrame([(1, float(i), 5.0, float(i) if i % 3 else nan, -float(i)) for i in range(1, 31)],
+                               "machineID long, volt double, rotate double, pressure double, vibration double")
+    c = {(r.sensor_a, r.sensor_b): r["corr"] for r in P.correlation(df).collect()}
+    assert abs(c["volt", "pressure"] - 1) < 1e-9 and abs(c["volt", "vibration"] + 1) < 1e-9 and c["volt", "volt"] == 1.0
+    assert c["rotate", "rotate"] is None and c["volt", "rotate"] is None
+    assert {r.sensor: r["count"] for r in P.iqr_outliers(df).collect()}["pressure"] == 0
+
+
+def test_drift_without_rows_and_error_rows(spark):
+    from pyspark.sql import functions as F
+    from maintspark.operators import monitor as M
+    log = spark.createDataFrame([("2024-01-01 00:00:00", 0.05), ("2024-01-01 00:01:00", 0.95), ("2024-01-01 00:02:00", -1.0),
+                                 ("2024-01-01 01:00:00", -1.0)], "t string, failure_probability double") \
+        .select(F.to_timestamp_ntz("t").alias("prediction_timestamp"), "failure_probability")
+    hist = {r.le: r for r in M.confidence_histogram(log).collect()}
+    assert hist["+Inf"].total_count == 2 and abs(hist["+Inf"].total_sum - 1.0) < 1e-9
+    drift = M.windowed_drift(log, log).collect()
+    assert len(drift) == 1 and abs(drift[0].js_divergence) < 1e-9
+    assert M.drift_alerts(log, log.limit(0)).count() == 0
+    none = M.histogram_drift(log.limit(0), log, ["failure_probability"]).collect()
+    assert none[0].js_divergence is None

@@ -5,23 +5,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_telemetry, to_spark
+from conftest import make_telemetry, rolling_oracle, to_spark
 from maintspark import schemas as S
 from maintspark.operators.rolling import feature_names, rolling_features, rolling_preview
 
 
-def pandas_rolling(pdf, windows=(3, 24), min_periods=1):
-    df = pdf.sort_values(["machineID", "datetime"]).copy()
-    for w in windows:
-        for s in S.SENSORS:
-            g = df.groupby("machineID")[s].rolling(window=w, min_periods=min_periods)
-            df[f"{s}_{w}h_mean"] = g.mean().reset_index(0, drop=True)
-            df[f"{s}_{w}h_std"] = g.std().reset_index(0, drop=True)
-            df[f"{s}_{w}h_max"] = g.max().reset_index(0, drop=True)
-            df[f"{s}_{w}h_min"] = g.min().reset_index(0, drop=True)
-    return df
-
-
 def assert_frames_close(a: pd.DataFrame, b: pd.DataFrame, cols, tol=1e-9):
     a = a.sort_values(["machineID", "datetime"]).reset_index(drop=True)
     b = b.sort_values(["machineID", "datetime"]).reset_index(drop=True)
@@ -35,7 +23,7 @@ def assert_frames_close(a: pd.DataFrame, b: pd.DataFrame, cols, tol=1e-9):
 def test_matches_pandas_with_nulls(spark):
     pdf = make_telemetry(1000, 10, nulls=0.3)
     out = rolling_features(to_spark(spark, pdf)).toPandas()
-    exp = pandas_rolling(pdf)
+    exp = rolling_oracle(pdf)
     assert_frames_close(out, exp, S.feature_columns()[4:])
 
 
@@ -84,7 +72,7 @@ def test_feature_order_and_names(spark):
 def test_preview_full_window(spark):
     pdf = make_telemetry(400, 3)
     out = rolling_preview(to_spark(spark, pdf), machine_id=1).orderBy("datetime").toPandas()
-    exp = pandas_rolling(pdf[pdf.machineID == 1], min_periods=None)
+    exp = rolling_oracle(pdf[pdf.machineID == 1], full=True)
     exp = exp[[c for c in exp.columns if not c.endswith(("_max", "_min"))]]
     assert_frames_close(out, exp, [c for c in exp.columns if "h_" in c])
     assert out["volt_24h_mean"].isna().sum() == 23
@@ -105,3 +93,35 @@ def test_ties_ordered_by_tie_column(spark):
     out = rolling_features(spark.createDataFrame(pdf), windows=[2], tie="tie").orderBy("tie").toPandas()
     # order by tie: 2.0 (tie 1), 4.0 (tie 2), 1.0 (tie 3)
     assert out["volt_2h_mean"].tolist() == [2.0, 3.0, 2.5]
+
+
+@pytest.mark.parametrize("tie", [None, "tie"])
+def test_chunked_plan_loses_no_row(spark, tie):
+    """Four readings a time stamp, readings without time or machine, one busy burst."""
+    rows = [(f"2024-01-01 {i // 40:02d}:{i // 4 % 10:02d}:00" if i % 17 else None, 1 + i % 2 if i % 23 else None, float(i), i) for i in range(800)]
+    rows += [("2024-01-02 00:00:00", 3, float(i), 1000 + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "t string, machineID long, volt double, tie long") \
+        .select(F.to_timestamp_ntz("t").alias("datetime"), "machineID", "volt", *[F.col("volt").alias(c) for c in ("rotate", "pressure", "vibration")], "tie")
+    plain = rolling_features(df, tie=tie).toPandas()
+    out = rolling_features(df, tie=tie, chunk_rows=100, keep_chunk=True).toPandas()
+    assert len(out) == len(plain) == 1400 and sorted(out.tie) == sorted(plain.tie)
+    sizes = out[out.machineID.notna()].groupby(["machineID", "_chunk"]).size()
+    assert sizes.max() <= 200 and len(sizes) >= 13
+    assert out[out.machineID.isna()].volt_3h_mean.isna().all()
+    if tie:
+        a, b = plain.sort_values("tie"), out.sort_values("tie")
+        for c in S.feature_columns()[4:]:
+            assert np.allclose(a[c], b[c], equal_nan=True, atol=1e-9), c
+
+
+def test_feature_table_chunked_loses_no_row(spark):
+    from maintspark.plans.features import filled_features
+    pdf = make_telemetry(600, 2, nulls=0.3)
+    pdf["datetime"] = pdf["datetime"].dt.floor("4h")
+    df = to_spark(spark, pdf).withColumn("tie", F.monotonically_increasing_id())
+    for tie in (None, "tie"):
+        assert filled_features(df, tie=tie, chunk_rows=60).count() == 600
+    a = filled_features(df, tie="tie", chunk_rows=None).toPandas().sort_values("tie")
+    b = filled_features(df, tie="tie", chunk_rows=60).toPandas().sort_values("tie")
+    for c in S.feature_columns():
+        assert np.allclose(a[c], b[c], atol=1e-9), c

@@ -27,7 +27,7 @@ def test_head_tail_and_samples(spark):
     a = SEL.hash_sample(df, 50, ["tie"]).toPandas()
     b = SEL.hash_sample(df, 50, ["tie"]).toPandas()
     assert len(a) == 50 and set(a.tie) == set(b.tie)                       # repeatable
-    assert SEL.hash_sample(df, 50, ["tie"], only_if_more_than=1000).count() == 300
+    assert SEL.hash_sample(df, 5000, ["tie"]).count() == 300
     s = SEL.percent_sample(df, 10, ["tie"]).count()
     assert 10 <= s <= 60                                                    # ~10 % of 300
 
