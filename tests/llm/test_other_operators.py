@@ -147,7 +147,7 @@ def katz_scores(docs):
                 ctx[v] += 1
                 after[v].add(w)
     n, d = sum(c1.values()), katz.discounts(Counter(c2.values()))
-    uni = katz.Unigrams(n, len(c1), Counter(c1.values()))
+    uni = katz.Unigrams(Counter(c1.values()))
     p1 = {w: float(uni.p(np.array([c]))[0]) for w, c in c1.items()}
 
     def prob(v, w):
