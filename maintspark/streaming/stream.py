@@ -92,7 +92,8 @@ def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, window
             last_t, last_tie = st[0], st[1]
             buf = {s: list(st[2 + i]) for i, s in enumerate(sensors)}
             carry = list(st[2 + len(sensors)] or [None] * len(filled_cols))
-            late = (tnum < last_t) | ((tnum == last_t) & (tienum <= last_tie))
+            # without a tie column readings of one time have no order among them, so an equal time isn't late
+            late = (tnum < last_t) | ((tnum == last_t) & (tienum <= last_tie) if tie else False)
         else:
             last_t = last_tie = None
             buf = {s: [] for s in sensors}
@@ -143,16 +144,18 @@ def score_stream(readings: DataFrame, scorer) -> DataFrame:
 
 # ------------------------------------------------------------------------- X3
 def label_stream(readings: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS,
-                 key: str = S.KEY, time: str = S.TIME, delay: str | None = None) -> DataFrame:
+                 key: str = S.KEY, time: str = S.TIME, delay: str | None = None,
+                 failure_delay: str = "1 hour") -> DataFrame:
     """Positive readings (a failure of the same machine within ``days`` after them).
 
     Both sides carry a watermark; a reading waits at most ``days`` (+ delay) for its
-    failure, so the join state stays bounded."""
+    failure, so the join state stays bounded. ``failure_delay``: how much later than newer
+    failures a failure may arrive and still label its readings."""
     hours = int(round(days * 24))
     delay = delay or f"{hours} hours"
     r = readings.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", delay)
     f = (failures.select(F.col(key).alias("_fk"), F.col(time).cast("timestamp").alias("_ft"))
-                 .withWatermark("_ft", "1 hour"))
+                 .withWatermark("_ft", failure_delay))
     cond = ((F.col(key) == F.col("_fk")) & (F.col("_t") >= F.col("_ft") - F.expr(f"INTERVAL {hours} HOURS"))
             & (F.col("_t") < F.col("_ft")))
     return r.join(f, cond, "left_semi").drop("_t")
