@@ -2,8 +2,9 @@
 
 1. Texts become blocks of about ``BLOCK_BYTES``: the block's own vocabulary (64-bit word
    hashes) and its tokens as numbers in it. Every document ends with one end token.
-2. Word counts of the training documents are summed over all blocks and handed back to the
-   blocks' vocabularies, so every token knows its count.
+2. Word counts of the training documents are summed over all blocks. Words are numbered by
+   falling count (0: unknown) and the numbers handed back to the blocks; since numbers follow
+   counts, a table of the distinct counts tells every number's count.
 3. Tokens go to parts by their context (the word before; the start before the first).
    A context with very many tokens is cut by the next word as well, so no part holds more
    than a bounded share of them. Each part's rows become one row of the model table: its
@@ -30,17 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ordered import global_row_index
 from ..session import shuffle_partitions
 from .store import drop_table, release_shuffles, write_table
-from .textbytes import NOT_SPACE, chunks, mix, words
+from .textbytes import NOT_SPACE, chunks, lean, mix, words
 
-BLOCK_BYTES = 12 << 20
-PART_TOKENS = 1_500_000
+BLOCK_BYTES = 8 << 20
+PART_TOKENS = 1_000_000
 #: Discounts apply to counts up to this (Katz's k).
 DISCOUNT_TO = 5
 #: Contexts with more than 1 / (HOT * parts) of the tokens are cut by the next word.
 HOT = 4
-END, START = np.uint64(2), np.uint64(3)
+END = np.uint64(2)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -97,31 +99,34 @@ def _vocabulary(batches):
                         i=pa.array(np.arange(len(v), dtype=np.int32)), c=pa.array(unpack(train)))
 
 
-def _counted(blocks: DataFrame):
-    """(blocks with the whole corpus' count of each vocabulary word, unigram table)."""
-    vocab = blocks.select("block", "vocab", "train").mapInArrow(_vocabulary, "word long, block long, i int, c long")
-    unigrams = write_table(vocab.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")), "unigrams")
+def _numbered(blocks: DataFrame, vocab: DataFrame, unigrams: DataFrame) -> DataFrame:
+    """Blocks with every token as the corpus-wide number of its word."""
+    order = [F.col("c").desc(), F.col("word").asc()]
+    ids = global_row_index(unigrams, order, name="i0").select("word", (F.col("i0") + 1).alias("id"))
+    ids = write_table(ids, "word-numbers")
+    known = vocab.select("word", "block", "i").join(ids, "word") \
+        .groupBy("block").agg(F.collect_list(F.struct("i", "id")).alias("known"))
     release_shuffles(blocks.sparkSession)
-    known = vocab.select("word", "block", "i").join(unigrams, "word") \
-        .groupBy("block").agg(F.collect_list(F.struct("i", "c")).alias("known"))
 
     def put(batches):
-        for b in batches:
-            got = b.column(b.schema.get_field_index("known"))
-            total = []
-            for row, v in enumerate(b.column(b.schema.get_field_index("vocab")).to_pylist()):
-                c = np.zeros(len(v) // 8, np.int64)
-                s = got[row].values
-                if s is not None and len(s):
-                    c[np.asarray(s.field("i"))] = np.asarray(s.field("c"))
-                total.append(pack(c))
-            keep = [b.column(b.schema.get_field_index(k)) for k in ("block", "vocab", "tokens", "ends", "doc_id", "held")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(total, pa.binary())],
-                                             names=["block", "vocab", "tokens", "ends", "doc_id", "held", "count"])
+        for batch in batches:
+            for row in range(batch.num_rows):
+                b = batch.slice(row, 1)
+                col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
+                got = col["known"][0].values
+                number = np.zeros(len(col["vocab"][0].as_buffer()) // 8, np.int64)
+                if got is not None and len(got):
+                    number[np.asarray(got.field("i"))] = np.asarray(got.field("id"))
+                ids = number[unpack(col["tokens"][0].as_py())]
+                kind = np.uint32 if not len(ids) or ids.max() < 2**32 else np.uint64
+                yield _rows(block=col["block"], tokens=pa.array([pack(ids.astype(kind))], pa.binary()), ends=col["ends"],
+                            doc_id=col["doc_id"], held=col["held"])
 
     out = blocks.drop("train").join(known, "block", "left") \
-        .mapInArrow(put, "block long, vocab binary, tokens binary, ends binary, doc_id array<long>, held array<boolean>, count binary")
-    return write_table(out, "counted-blocks"), unigrams
+        .mapInArrow(lean(put), "block long, tokens binary, ends binary, doc_id array<long>, held array<boolean>")
+    out = write_table(out, "numbered-blocks")
+    drop_table(ids)
+    return out
 
 
 # --- discounts ---------------------------------------------------------------------------
@@ -141,15 +146,25 @@ def discounts(counts_of_counts: dict[int, int], k: int = DISCOUNT_TO) -> np.ndar
 
 
 class Unigrams:
-    """P(w) by count: discounted shares; the unknown word has all of the rest."""
-
-    def __init__(self, total: int, distinct: int, counts_of_counts: dict[int, int]):
-        self.total, self.distinct = total, distinct
-        self.d = discounts(counts_of_counts)
-        lost = sum(counts_of_counts.get(r, 0) * r * (1 - self.d[r]) for r in range(1, DISCOUNT_TO + 1))
+    """P(w) by count: discounted shares; the unknown word has all of the rest. ``classes``:
+    {count: number of words}; a word's number tells its count."""
+
+    def __init__(self, classes: dict[int, int]):
+        self.counts = np.array(sorted(classes, reverse=True), np.int64)
+        words_ = np.array([classes[c] for c in self.counts.tolist()], np.int64)
+        self.last = np.cumsum(words_)  # numbers up to this have at least the count
+        self.total, self.distinct = int((self.counts * words_).sum()), int(words_.sum())
+        self.start = self.distinct + 1  # number of the start
+        self.d = discounts(classes)
+        lost = sum(classes.get(r, 0) * r * (1 - self.d[r]) for r in range(1, DISCOUNT_TO + 1))
         # without any discounted word, one occurrence is set aside
-        self.scale = 1.0 / total if lost > 0 else 1.0 / (total + 1)
-        self.unknown = 1.0 if not total else (lost or 1.0) * self.scale
+        self.scale = 0.0 if not self.total else 1.0 / self.total if lost > 0 else 1.0 / (self.total + 1)
+        self.unknown = 1.0 if not self.total else (lost or 1.0) * self.scale
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        known = (ids > 0) & (ids <= self.distinct)
+        at = np.searchsorted(self.last, ids, side="left")
+        return np.where(known, np.r_[self.counts, 0][np.minimum(at, len(self.counts))], 0)
 
     def p(self, c: np.ndarray) -> np.ndarray:
         return np.where(c > 0, self.d[np.minimum(c, DISCOUNT_TO + 1)] * c * self.scale, self.unknown)
@@ -157,104 +172,111 @@ class Unigrams:
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
+    def hot(self, parts: int) -> int:
+        """Words numbered up to this have more than 1 / (HOT * parts) of all tokens."""
+        return int(self.last[np.flatnonzero(self.counts > self.total / (HOT * parts))].max(initial=0))
+
 
 # --- parts -------------------------------------------------------------------------------
 
-PART = "part int, v binary, w binary, c binary, p binary, vi binary, wi binary, n binary, pair binary, block binary, doc binary"
+PART = "part int, v binary, w binary, n binary, pair binary, block binary, doc binary"
+
 
+def _deal(parts: int, uni: Unigrams):
+    """Blocks -> (part, block, v, w, doc, train): the tokens of a part sorted by context and word."""
+    hot = uni.hot(parts)
 
-def _deal(parts: int, hot: np.ndarray):
-    """Blocks -> (part, block, v, w, c, vi, wi, doc, train), each with the vocabulary it needs."""
     def run(batches):
         for b in batches:
             col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
             for row in range(b.num_rows):
-                vocab = np.frombuffer(col["vocab"][row].as_py(), np.uint64)
-                count, ids = unpack(col["count"][row].as_py()), unpack(col["tokens"][row].as_py()).astype(np.int64)
-                ends = unpack(col["ends"][row].as_py())
-                doc = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
-                train = ~np.array(col["held"][row].as_py(), bool)
-                before = np.r_[len(vocab), ids[:-1]]
-                before[np.r_[0, ends[:-1]]] = len(vocab)  # the start
-                context = np.r_[vocab, START]
-                is_hot = np.isin(context, hot)
-                by = mix(context)
-                part = by[before]
-                cut = is_hot[before]
-                part[cut] = mix(part[cut] + vocab[ids[cut]] * _STEP)
+                ids, ends = unpack(col["tokens"][row].as_py()).astype(np.int64), unpack(col["ends"][row].as_py())
+                n = np.diff(np.r_[0, ends])
+                doc = np.repeat(np.arange(len(ends)), n)
+                train = np.repeat(~np.array(col["held"][row].as_py(), bool), n)
+                before = np.r_[uni.start, ids[:-1]]
+                before[np.r_[0, ends[:-1]]] = uni.start
+                part = mix(before.astype(np.uint64) + _STEP)
+                cut = (before <= hot) | (before == uni.start)  # the unknown word too: no counts hang on it
+                part[cut] = mix(part[cut] + ids[cut].astype(np.uint64) * _STEP)
                 part = (part % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((ids, before, part))
                 bounds = np.searchsorted(part[order], np.arange(parts + 1))
-                out = {k: [] for k in ("part", "block", "v", "w", "c", "vi", "wi", "doc", "train")}
-                for q in np.flatnonzero(np.diff(bounds)):
-                    at = order[bounds[q]:bounds[q + 1]]
-                    v, vi = np.unique(before[at], return_inverse=True)
-                    w, wi = np.unique(ids[at], return_inverse=True)
-                    out["part"].append(int(q))
-                    out["block"].append(col["block"][row].as_py())
-                    for k, x in (("v", context[v]), ("w", vocab[w]), ("c", count[w]), ("vi", vi.astype(np.uint32)),
-                                 ("wi", wi.astype(np.uint32)), ("doc", doc[at].astype(np.uint32)), ("train", train[doc[at]].astype(np.uint8))):
-                        out[k].append(pack(x))
-                yield _rows(part=pa.array(out["part"], pa.int32()), block=pa.array(out["block"], pa.int64()),
-                            **{k: pa.array(out[k], pa.binary()) for k in ("v", "w", "c", "vi", "wi", "doc", "train")})
-    return run
-
-
-def _model_part(uni: Unigrams):
-    """All rows of a part -> its row of the model table: contexts v and words w (hashes), the
-    words' counts, distinct bigrams (vi, wi) with training counts n, and tokens (pair, block, doc)."""
-    def run(table: pa.Table) -> pa.Table:
-        t = table.to_pydict()
-        vs, ws = [unpack(x) for x in t["v"]], [unpack(x) for x in t["w"]]
-        v, vmap = np.unique(np.concatenate(vs), return_inverse=True)
-        w, first, wmap = np.unique(np.concatenate(ws), return_index=True, return_inverse=True)
-        c = np.concatenate([unpack(x) for x in t["c"]])[first]
-        vo, wo = np.cumsum([0, *map(len, vs)]), np.cumsum([0, *map(len, ws)])
-        vi = np.concatenate([vmap[o:][unpack(x)] for o, x in zip(vo, t["vi"])]).astype(np.int64)
-        wi = np.concatenate([wmap[o:][unpack(x)] for o, x in zip(wo, t["wi"])]).astype(np.int64)
-        docs = [unpack(x) for x in t["doc"]]
-        train = np.concatenate([unpack(x) for x in t["train"]]).astype(np.int64)
-        key = vi * len(w) + wi
-        order = np.argsort(key, kind="stable")
-        pairs, pair, = np.unique(key[order], return_inverse=True)
-        n = np.bincount(pair, train[order], len(pairs)).astype(np.int64)
-        block = np.repeat(np.array(t["block"], np.int64), [len(x) for x in docs])[order]
-        row = {"part": t["part"][0], "v": pack(v), "w": pack(w), "c": pack(c), "p": b"", "vi": pack((pairs // len(w)).astype(np.uint32)),
-               "wi": pack((pairs % len(w)).astype(np.uint32)), "n": pack(n), "pair": pack(np.diff(np.r_[0, pair]).astype(np.uint32)),
-               "block": pack(block), "doc": pack(np.concatenate(docs)[order])}
-        return pa.table({k: pa.array([x], pa.int32() if k == "part" else pa.binary()) for k, x in row.items()})
+                kind = np.uint32 if uni.start < 2**32 else np.uint64
+                for lo in range(0, parts, 64):
+                    out = {k: [] for k in ("part", "block", "v", "w", "doc", "train")}
+                    for q in range(lo, min(lo + 64, parts)):
+                        at = order[bounds[q]:bounds[q + 1]]
+                        if not len(at):
+                            continue
+                        out["part"].append(q)
+                        out["block"].append(col["block"][row].as_py())
+                        for k, x in (("v", np.diff(before[at], prepend=0).astype(kind)), ("w", ids[at].astype(kind)),
+                                     ("doc", doc[at].astype(np.uint32)), ("train", train[at].astype(np.uint8))):
+                            out[k].append(pack(x))
+                    yield _rows(part=pa.array(out["part"], pa.int32()), block=pa.array(out["block"], pa.int64()),
+                                **{k: pa.array(out[k], pa.binary()) for k in ("v", "w", "doc", "train")})
     return run
 
 
-def _each(b: pa.RecordBatch):
+def _model_part(table: pa.Table) -> pa.Table:
+    """All rows of a part -> its row of the model table: distinct bigrams (v as steps, w) with
+    training counts n, and the tokens (step to the next bigram, block, doc)."""
+    cols = {k: table.column(k) for k in ("v", "w", "doc", "train")}
+    each = {k: [unpack(x.as_py()) for x in c] for k, c in cols.items()}
+    kind = each["w"][0].dtype
+    v = np.concatenate([np.cumsum(x.astype(np.int64)) for x in each["v"]])
+    w, doc, train = (np.concatenate(each[k]) for k in ("w", "doc", "train"))
+    block = np.repeat(np.asarray(table.column("block")), [len(x) for x in each["doc"]])
+    del each
+    order = np.lexsort((doc, block, w, v))
+    v, w, doc, train, block = v[order], w[order], doc[order], train[order], block[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+    n = np.add.reduceat(train.astype(np.int64), np.flatnonzero(new))
+    row = {"part": table.column("part")[0].as_py(), "v": pack(np.diff(v[new], prepend=0).astype(kind)), "w": pack(w[new]), "n": pack(n.astype(np.uint64)),
+           "pair": pack(new.astype(np.uint8)), "block": pack(np.diff(block, prepend=0)), "doc": pack(doc)}
+    return pa.table({k: pa.array([x], pa.int32() if k == "part" else pa.binary()) for k, x in row.items()})
+
+
+class _Part:
+    """A row of the model table, with the sums of its contexts."""
+
+    def __init__(self, row: dict, uni: Unigrams):
+        get = lambda k: unpack(row[k])
+        pair_v = np.cumsum(get("v").astype(np.int64))
+        self.v, self.vi = np.unique(pair_v, return_inverse=True)
+        self.w_count = uni.count(get("w").astype(np.int64))
+        self.n = get("n").astype(np.int64)
+        self.pair = np.cumsum(get("pair").astype(np.int64)) - 1
+        self.block, self.doc = np.cumsum(get("block")), get("doc").astype(np.int64)
+        seen = self.n > 0
+        vi, n, k = self.vi[seen], self.n[seen], len(self.v)
+        #: training tokens, bigrams by count 1..k, sum of the seen words' P(w)
+        self.total = np.bincount(vi, n, k)
+        self.by = np.stack([np.bincount(vi[n == r], minlength=k) for r in range(1, DISCOUNT_TO + 1)], axis=1).astype(float)
+        self.seen_p = np.bincount(vi, uni.p(self.w_count[seen]), k)
+
+
+def _each(b: pa.RecordBatch, uni: Unigrams):
     for row in range(b.num_rows):
-        yield {k: unpack(b.column(i)[row].as_py()) for i, k in enumerate(b.schema.names) if k not in ("part", "p")}
-
-
-def _context_sums(m: dict, uni: Unigrams) -> tuple[np.ndarray, ...]:
-    """Per context of a part: training tokens, bigrams by count 1..k, sum of the seen words' P(w)."""
-    seen = m["n"] > 0
-    vi, n = m["vi"][seen].astype(np.int64), m["n"][seen]
-    k = len(m["v"])
-    total = np.bincount(vi, n, k)
-    by = np.stack([np.bincount(vi[n == r], minlength=k) for r in range(1, DISCOUNT_TO + 1)], axis=1) if k else np.zeros((0, DISCOUNT_TO))
-    p = np.bincount(vi, uni.p(m["c"])[m["wi"][seen]], k)
-    return total, by, p
+        yield _Part({k: b.column(i)[row].as_py() for i, k in enumerate(b.schema.names)}, uni)
 
 
-def _statistics(uni: Unigrams, hot: np.ndarray):
+def _statistics(uni: Unigrams, parts: int):
     """Counts of counts (kind 0: key r, a = n_r) and sums of cut contexts (kind 1: key v)."""
+    hot = uni.hot(parts)
+
     def run(batches):
         for b in batches:
-            for m in _each(b):
-                r = np.bincount(np.minimum(m["n"], DISCOUNT_TO + 2), minlength=DISCOUNT_TO + 3)[1:DISCOUNT_TO + 2]
-                total, by, p = _context_sums(m, uni)
-                at = np.flatnonzero(np.isin(m["v"], hot))
-                kind = np.r_[np.zeros(len(r), np.int32), np.ones(len(at), np.int32)]
-                key = np.r_[np.arange(1, len(r) + 1), m["v"][at].astype(np.int64)]
-                yield _rows(kind=pa.array(kind), key=pa.array(key), a=pa.array(np.r_[r, total[at]].astype(float)),
-                            p=pa.array(np.r_[np.zeros(len(r)), p[at]]),
-                            **{f"r{j + 1}": pa.array(np.r_[np.zeros(len(r)), by[at, j]].astype(float)) for j in range(DISCOUNT_TO)})
+            for m in _each(b, uni):
+                r = np.bincount(np.minimum(m.n, DISCOUNT_TO + 2), minlength=DISCOUNT_TO + 3)[1:DISCOUNT_TO + 2]
+                at = np.flatnonzero((m.v > 0) & (m.v <= hot) | (m.v == uni.start))
+                zero = np.zeros(len(r))
+                yield _rows(kind=pa.array(np.r_[np.zeros(len(r), np.int32), np.ones(len(at), np.int32)].astype(np.int32)),
+                            key=pa.array(np.r_[np.arange(1, len(r) + 1), m.v[at]]), a=pa.array(np.r_[r, m.total[at]].astype(float)),
+                            p=pa.array(np.r_[zero, m.seen_p[at]]),
+                            **{f"r{j + 1}": pa.array(np.r_[zero, m.by[at, j]]) for j in range(DISCOUNT_TO)})
     return run
 
 
@@ -262,25 +284,23 @@ def _evaluate(uni: Unigrams, d: np.ndarray, cut: dict):
     """Model rows -> (block, doc, s): log10 probabilities of the tokens, summed per document in a part."""
     def run(batches):
         for b in batches:
-            for m in _each(b):
-                total, by, seen_p = _context_sums(m, uni)
-                for i in np.flatnonzero(np.isin(m["v"], cut["v"])):
-                    j = np.searchsorted(cut["v"], m["v"][i])
-                    total[i], by[i], seen_p[i] = cut["total"][j], cut["by"][j], cut["p"][j]
-                lost = (by * (np.arange(1, DISCOUNT_TO + 1) * (1 - d[1:DISCOUNT_TO + 1]))).sum(axis=1)
+            for m in _each(b, uni):
+                at = np.flatnonzero(np.isin(m.v, cut["v"]))
+                j = np.searchsorted(cut["v"], m.v[at])
+                m.total[at], m.by[at], m.seen_p[at] = cut["total"][j], cut["by"][j], cut["p"][j]
+                lost = (m.by * (np.arange(1, DISCOUNT_TO + 1) * (1 - d[1:DISCOUNT_TO + 1]))).sum(axis=1)
                 # a context without discounted bigrams sets one occurrence aside
-                whole = np.where(lost > 0, total, total + 1)
-                left = np.where(lost > 0, lost, 1.0) / np.maximum(whole, 1)
-                alpha = np.where(total > 0, left / np.maximum(1 - seen_p, 1e-300), 1.0)
-                vi, wi, n = m["vi"], m["wi"], m["n"]
-                p_seen = d[np.minimum(n, DISCOUNT_TO + 1)] * n / np.maximum(whole, 1)[vi]
-                logp = np.log10(np.where(n > 0, p_seen, alpha[vi] * uni.p(m["c"])[wi]))
-                token = logp[np.cumsum(m["pair"].astype(np.int64))]
-                order = np.lexsort((m["doc"], m["block"]))
-                blk, doc = m["block"][order], m["doc"][order].astype(np.int64)
-                new = np.flatnonzero(np.r_[True, (blk[1:] != blk[:-1]) | (doc[1:] != doc[:-1])]) if len(blk) else np.zeros(0, np.int64)
-                s = np.add.reduceat(token[order], new) if len(new) else np.zeros(0)
-                yield _rows(block=pa.array(blk[new]), doc=pa.array(doc[new].astype(np.int32)), s=pa.array(s))
+                whole = np.maximum(np.where(lost > 0, m.total, m.total + 1), 1)
+                alpha = np.where(m.total > 0, np.where(lost > 0, lost, 1.0) / whole / np.maximum(1 - m.seen_p, 1e-300), 1.0)
+                seen = d[np.minimum(m.n, DISCOUNT_TO + 1)] * m.n / whole[m.vi]
+                logp = np.log10(np.where(m.n > 0, seen, alpha[m.vi] * uni.p(m.w_count)))
+                token = logp[m.pair]
+                order = np.lexsort((m.doc, m.block))
+                blk, doc = m.block[order], m.doc[order]
+                new = np.ones(len(blk), bool)
+                new[1:] = (blk[1:] != blk[:-1]) | (doc[1:] != doc[:-1])
+                new = np.flatnonzero(new)
+                yield _rows(block=pa.array(blk[new]), doc=pa.array(doc[new].astype(np.int32)), s=pa.array(np.add.reduceat(token[order], new)))
     return run
 
 
@@ -289,15 +309,13 @@ def _documents(uni: Unigrams):
         for b in batches:
             col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
             for row in range(b.num_rows):
-                count = unpack(col["count"][row].as_py())
-                ids, ends = unpack(col["tokens"][row].as_py()), unpack(col["ends"][row].as_py())
+                count, ends = uni.count(unpack(col["tokens"][row].as_py()).astype(np.int64)), unpack(col["ends"][row].as_py())
                 start = np.r_[0, ends[:-1]]
-                known = np.add.reduceat((count > 0)[ids].astype(np.int64), start)
-                base = np.add.reduceat(uni.base(count)[ids], start)
                 n = len(ends)
                 yield _rows(block=pa.array(np.full(n, col["block"][row].as_py())), doc=pa.array(np.arange(n, dtype=np.int32)),
                             doc_id=pa.array(col["doc_id"][row].as_py(), pa.int64()), held_out=pa.array(col["held"][row].as_py(), pa.bool_()),
-                            n_tokens=pa.array(ends - start), n_known=pa.array(known), base_score=pa.array(base))
+                            n_tokens=pa.array(ends - start), n_known=pa.array(np.add.reduceat((count > 0).astype(np.int64), start)),
+                            base_score=pa.array(np.add.reduceat(uni.base(count), start)))
     return run
 
 
@@ -307,30 +325,29 @@ def score_documents(docs: DataFrame, held_out: Callable, id_col: str = "doc_id",
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    raw = write_table(src.mapInArrow(_blocks, BLOCKS), "blocks")
-    blocks, unigrams = _counted(raw)
+    raw = write_table(src.mapInArrow(lean(_blocks), BLOCKS), "blocks")
+    vocab = raw.select("block", "vocab", "train").mapInArrow(lean(_vocabulary), "word long, block long, i int, c long")
+    unigrams = write_table(vocab.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")), "unigrams")
+    release_shuffles(spark)
+    # distinct counts: their sum is the number of tokens at most, so there are few (its square root)
+    uni = Unigrams({r.c: r.n for r in unigrams.groupBy("c").agg(F.count("*").alias("n")).collect()})
+    blocks = _numbered(raw, vocab, unigrams)
     drop_table(raw)
     release_shuffles(spark)
-    total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = unigrams.where(F.col("c") <= DISCOUNT_TO + 1).groupBy("c").agg(F.count("*").alias("n")).collect()  # 6 rows
-    uni = Unigrams(total, distinct, {r.c: r.n for r in rows})
-    tokens = docs.sparkSession.sparkContext.broadcast(uni).value.total
-    parts = max(shuffle_partitions(spark), -(-int(tokens) // PART_TOKENS))
-    # at most HOT * parts words can be above the bar
-    words_hot = [r.word for r in unigrams.where(F.col("c") > tokens / (HOT * parts)).select("word").collect()]
-    hot = np.sort(np.r_[np.array(words_hot, np.int64).astype(np.uint64), START])
-    model = blocks.mapInArrow(_deal(parts, hot), "part int, block long, v binary, w binary, c binary, vi binary, wi binary, doc binary, train binary") \
-        .groupBy("part").applyInArrow(_model_part(uni), PART)
+    parts = max(shuffle_partitions(spark), -(-uni.total // PART_TOKENS))
+    model = blocks.mapInArrow(lean(_deal(parts, uni)), "part int, block long, v binary, w binary, doc binary, train binary") \
+        .groupBy("part").applyInArrow(_model_part, PART)
     model = write_table(model, "bigrams")
     release_shuffles(spark)
-    stats = model.mapInArrow(_statistics(uni, hot), "kind int, key long, a double, p double, " + ", ".join(f"r{j + 1} double" for j in range(DISCOUNT_TO))) \
-        .groupBy("kind", "key").agg(*[F.sum(k).alias(k) for k in ("a", "p", *[f"r{j + 1}" for j in range(DISCOUNT_TO)])]).collect()
+    sums = ["a", "p", *[f"r{j + 1}" for j in range(DISCOUNT_TO)]]
+    # one row a count and at most HOT * parts rows of cut contexts
+    stats = model.mapInArrow(lean(_statistics(uni, parts)), "kind int, key long, " + ", ".join(f"{k} double" for k in sums)) \
+        .groupBy("kind", "key").agg(*[F.sum(k).alias(k) for k in sums]).collect()
     d = discounts({r.key: int(r.a) for r in stats if r.kind == 0})
-    cut = sorted((r for r in stats if r.kind == 1), key=lambda r: r.key % 2**64)
-    cut = {"v": np.array([r.key for r in cut], np.int64).astype(np.uint64), "total": np.array([r.a for r in cut]),
-           "by": np.array([[r[f"r{j + 1}"] for j in range(DISCOUNT_TO)] for r in cut]).reshape(len(cut), DISCOUNT_TO),
-           "p": np.array([r.p for r in cut])}
-    sums = model.mapInArrow(_evaluate(uni, d, cut), "block long, doc int, s double").groupBy("block", "doc").agg(F.sum("s").alias("score"))
-    told = blocks.mapInArrow(_documents(uni), "block long, doc int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double")
-    return told.join(sums, ["block", "doc"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-                                                    "base_score", "score")
+    cut = sorted((r for r in stats if r.kind == 1), key=lambda r: r.key)
+    cut = {"v": np.array([r.key for r in cut], np.int64), "total": np.array([r.a for r in cut], float), "p": np.array([r.p for r in cut], float),
+           "by": np.array([[r[k] for k in sums[2:]] for r in cut], float).reshape(len(cut), DISCOUNT_TO)}
+    score = model.mapInArrow(lean(_evaluate(uni, d, cut)), "block long, doc int, s double").groupBy("block", "doc").agg(F.sum("s").alias("score"))
+    told = blocks.mapInArrow(lean(_documents(uni)), "block long, doc int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double")
+    return told.join(score, ["block", "doc"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.total).cast("long").alias("train_tokens"),
+                                                     "base_score", "score")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ordered import global_row_index
 from .store import drop_table, release_shuffles, write_table
-from .textbytes import _INVERSE, NOT_SPACE, buffers, chunks, mix, powers, Words
+from .textbytes import _INVERSE, NOT_SPACE, Words, buffers, chunks, lean, mix, powers
 
 MIN_WORDS = 5
 FUZZY_WORDS = 10
@@ -145,7 +145,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and how many of its lines are eligible."""
     spark = docs.sparkSession
     src = _source(docs, id_col, text_col)
-    seen = write_table(src.mapInArrow(_occurrences, "doc_id long, h long, line int, d1 long, d2 long, n int, a1 long, a2 long, a3 long, a4 long"), "lines")
+    seen = write_table(src.mapInArrow(lean(_occurrences), "doc_id long, h long, line int, d1 long, d2 long, n int, a1 long, a2 long, a3 long, a4 long"), "lines")
     order = F.struct(F.isnull("doc_id").alias("z"), "doc_id", "h", "line")
     distinct = write_table(seen.groupBy("d1", "d2").agg(F.min(order).alias("o"), F.count("*").alias("m"), F.min("n").alias("n"),
                                                         *[F.min(a).alias(a) for a in HALVES]), "distinct-lines")
@@ -160,7 +160,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                           .agg(F.collect_list(F.struct("line", "id")).alias("lines")), "per-document")
     rows = _by_document(src, per_doc, F.col("doc_id"), F.col("h"), "lines", "inner") \
         .select("text", "lines")
-    near_lines = write_table(rows.mapInArrow(_line_words, "id long, words array<long>, own long, variants array<long>")
+    near_lines = write_table(rows.mapInArrow(lean(_line_words), "id long, words array<long>, own long, variants array<long>")
                              .dropDuplicates(["id"]), "neighbourhood")
     release_shuffles(spark)
     keys = near_lines.select("id", F.posexplode("variants").alias("at", "key"))

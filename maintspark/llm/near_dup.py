@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .shingles import SHINGLE, band_keys, set_digest, shingle_sets, signatures
 from .store import drop_table, release_shuffles, write_table
-from .textbytes import chunks
+from .textbytes import chunks, lean
 
 BANDS, ROWS = 48, 5
 PERCENT = 75
@@ -57,7 +57,7 @@ def sketch(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                      pa.array([x if k else None for x, k in zip(_nodes(s, off), n)], pa.binary()), flat],
                     names=["doc_id", "h", "n", "node", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, h long, n long, node binary, bands array<long>")
+    return docs.mapInArrow(lean(run), "doc_id long, h long, n long, node binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -78,7 +78,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     names=["node", "n", "set"])
 
     # a node's row may occur several times as equal rows: keep one
-    return picked.mapInArrow(run, "node binary, n long, set array<long>").dropDuplicates(["node"])
+    return picked.mapInArrow(lean(run), "node binary, n long, set array<long>").dropDuplicates(["node"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

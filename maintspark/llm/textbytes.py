@@ -6,7 +6,8 @@ All word rules here are sets of ASCII bytes, and every byte of a multi-byte char
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,20 @@ def chunks(batch: pa.RecordBatch, col: str, max_bytes: int = 2 << 20) -> Iterato
         at = to
 
 
+def lean(fn: Callable) -> Callable:
+    """A batch function that gives its worker's free memory back when its task ends, so that
+    idle workers don't hold it beside the next stage's."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+    return run
+
+
 class Words:
     """The words of some texts: byte ranges, 64-bit hashes, and per text the range of words."""
 

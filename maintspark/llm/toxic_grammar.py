@@ -32,10 +32,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import drop_table, write_table
 from .shingles import shingle_sets
-from .textbytes import chunks, mix
+from .textbytes import chunks, lean, mix
 
 #: Bound of the learned lexicon.
 MAX_FORMS = 4096
@@ -210,7 +211,7 @@ def _voters(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
                     keys.append(np.where(some, least, np.uint64(0)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([c.column(0), c.column(1), *map(pa.array, keys)], names=["text", "y", "k1", "k2"])
 
-    v = lab.mapInArrow(least_shingles, "text string, y int, k1 long, k2 long")
+    v = lab.mapInArrow(lean(least_shingles), "text string, y int, k1 long, k2 long")
     return v.dropDuplicates(["y", "k1"]).dropDuplicates(["y", "k2"]).select("text", "y")
 
 
@@ -251,7 +252,7 @@ def learn_lexicon(voters: DataFrame, max_forms: int = MAX_FORMS) -> Lexicon:
     if not 0 < n1 < n:
         return Lexicon({})
     base = n1 / n
-    counts = voters.mapInArrow(_form_counts, "form string, uses int, n0 long, n1 long") \
+    counts = voters.mapInArrow(lean(_form_counts), "form string, uses int, n0 long, n1 long") \
         .groupBy("form", "uses").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     told = write_table(counts.where("n1 > 0"), "forms")
     tried = told.where("n1 >= 3").count()
@@ -301,7 +302,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     voters = write_table(_voters(docs, labels, id_col, text_col), "voters")
     lexicon = learn_lexicon(voters)
     held = sc.broadcast(lexicon)
-    seen = voters.mapInArrow(_kind_counts(held), "kind string, n0 long, n1 long").groupBy("kind") \
+    seen = voters.mapInArrow(lean(_kind_counts(held)), "kind string, n0 long, n1 long").groupBy("kind") \
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()  # four kinds
     share = {r.kind: (r.n1 + 1, r.n0 + r.n1 + 2) for r in seen}
     weights = dict(PRIOR)
@@ -326,7 +327,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                           pa.array([x[1] for x in n.values()], pa.int64())], names=["e", "n0", "n1"])
 
     # evidence in tenths: a few hundred rows whatever the input
-    rows = voters.mapInArrow(evidence_counts, "e double, n0 long, n1 long").groupBy("e") \
+    rows = voters.mapInArrow(lean(evidence_counts), "e double, n0 long, n1 long").groupBy("e") \
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("e").collect()
     drop_table(voters)
     e = np.array([r.e for r in rows] or [0.0])
@@ -355,16 +356,23 @@ def _logistic(e, n0, n1) -> tuple[float, float]:
 
 # --- operators ---------------------------------------------------------------------------
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a score column."""
+def _scores(rows: pa.RecordBatch, text_col: str, model: Model) -> np.ndarray:
+    return np.array([model.score(t) for t in rows.column(rows.schema.get_field_index(text_col)).to_pylist()], float)
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score",
+          keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``docs`` (or its ``keep`` columns) with a score column; one of that name is replaced."""
     told = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in (docs.columns if keep is None else keep) if c != name]
 
-    @F.pandas_udf("double")
-    def of(texts):
-        m = told.value
-        return texts.map(m.score)
+    def run(batches):
+        for batch in batches:
+            for c in chunks(batch, text_col):
+                cols = [c.column(c.schema.get_field_index(k)) for k in kept]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(_scores(c, text_col, told.value))], names=[*kept, name])
 
-    return docs.withColumn(name, of(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs.mapInArrow(lean(run), T.StructType([*(docs.schema[c] for c in kept), T.StructField(name, T.DoubleType())]))
 
 
 def held_out(id_col):
@@ -373,4 +381,11 @@ def held_out(id_col):
 
 def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
-    return score(docs, model, text_col, "_toxic").where(F.col("_toxic") < threshold).drop("_toxic")
+    told = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for c in chunks(batch, text_col):
+                yield c.filter(pa.array(_scores(c, text_col, told.value) < threshold))
+
+    return docs.mapInArrow(lean(run), docs.schema)
