@@ -106,7 +106,9 @@ def _numbered(blocks: DataFrame, vocab: DataFrame, unigrams: DataFrame) -> DataF
     ids = write_table(ids, "word-numbers")
     known = vocab.select("word", "block", "i").join(ids, "word") \
         .groupBy("block").agg(F.collect_list(F.struct("i", "id")).alias("known"))
-    release_shuffles(blocks.sparkSession)
+    known = write_table(known, "known-words")
+    drop_table(ids)
+    release_shuffles(blocks.sparkSession)  # before the blocks themselves are shuffled
 
     def put(batches):
         for batch in batches:
@@ -125,7 +127,7 @@ def _numbered(blocks: DataFrame, vocab: DataFrame, unigrams: DataFrame) -> DataF
     out = blocks.drop("train").join(known, "block", "left") \
         .mapInArrow(lean(put), "block long, tokens binary, ends binary, doc_id array<long>, held array<boolean>")
     out = write_table(out, "numbered-blocks")
-    drop_table(ids)
+    drop_table(known)
     return out
 
 
@@ -199,10 +201,12 @@ def _deal(parts: int, uni: Unigrams):
                 part = mix(before.astype(np.uint64) + _STEP)
                 cut = (before <= hot) | (before == uni.start)  # the unknown word too: no counts hang on it
                 part[cut] = mix(part[cut] + ids[cut].astype(np.uint64) * _STEP)
-                part = (part % np.uint64(parts)).astype(np.int64)
-                order = np.lexsort((ids, before, part))
-                bounds = np.searchsorted(part[order], np.arange(parts + 1))
+                part = (part % np.uint64(parts)).astype(np.int32)
+                del cut, n
                 kind = np.uint32 if uni.start < 2**32 else np.uint64
+                ids, before, doc = ids.astype(kind), before.astype(kind), doc.astype(np.uint32)
+                order = np.lexsort((ids, before, part))
+                bounds = np.searchsorted(part, np.arange(parts + 1), sorter=order)
                 for lo in range(0, parts, 64):
                     out = {k: [] for k in ("part", "block", "v", "w", "doc", "train")}
                     for q in range(lo, min(lo + 64, parts)):
@@ -211,8 +215,8 @@ def _deal(parts: int, uni: Unigrams):
                             continue
                         out["part"].append(q)
                         out["block"].append(col["block"][row].as_py())
-                        for k, x in (("v", np.diff(before[at], prepend=0).astype(kind)), ("w", ids[at].astype(kind)),
-                                     ("doc", doc[at].astype(np.uint32)), ("train", train[at].astype(np.uint8))):
+                        for k, x in (("v", np.diff(before[at], prepend=kind(0)).astype(kind)), ("w", ids[at]),
+                                     ("doc", doc[at]), ("train", train[at].astype(np.uint8))):
                             out[k].append(pack(x))
                     yield _rows(part=pa.array(out["part"], pa.int32()), block=pa.array(out["block"], pa.int64()),
                                 **{k: pa.array(out[k], pa.binary()) for k in ("v", "w", "doc", "train")})
