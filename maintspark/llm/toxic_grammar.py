@@ -11,8 +11,8 @@ from a prior that discounts negation and report. A document's evidence adds up t
 strongest form of each word beginning at its number of uses, times their mean clause weight; a logistic curve fitted on all labelled
 documents makes it a score between 0 and 1.
 
-All counts are sums over all labelled training documents, where near copies (equal MinHash of
-their word shingles) vote once; only forms whose counts could not come about by chance among all forms
+All counts are sums over all labelled training documents, where copies (equal text and label)
+vote once and every other row counts; only forms whose counts could not come about by chance among all forms
 tried are kept, at most ``MAX_FORMS`` of them.
 
 Defined results: null, empty and wordless texts have no matched clause and so the score of no
@@ -35,8 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import drop_table, write_table
-from .shingles import shingle_sets
-from .textbytes import chunks, lean, mix
+from .textbytes import chunks, lean
 
 #: Bound of the learned lexicon.
 MAX_FORMS = 4096
@@ -192,27 +191,13 @@ class Model:
 # --- learning ----------------------------------------------------------------------------
 
 def _voters(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(text, y) of the labelled documents; near copies with one label vote once."""
+    """(text, y) of the labelled documents; those of equal text and label vote once."""
     y = labels.where("toxic is not null").groupBy(F.col(id_col).alias("_y_id")).agg(F.max("toxic").cast("int").alias("y"))
     d = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     # labels are 12 bytes a row: within the bound they travel to the texts, not the other way
     y = F.broadcast(y) if labels.count() <= BROADCAST_LABELS else y
-    lab = d.join(y, F.col("_id") == F.col("_y_id")).select("text", "y")
-
-    def least_shingles(batches):
-        """k1, k2: two MinHash values of the text's word shingles (0 without words)."""
-        for batch in batches:
-            for c in chunks(batch, "text"):
-                s, off = shingle_sets(c.column(0))
-                some = np.diff(off) > 0
-                keys = []
-                for h in (s, mix(s ^ np.uint64(0x9E3779B9))):
-                    least = np.minimum.reduceat(np.r_[h, np.uint64(0)], off[:-1]) if c.num_rows else h[:0]
-                    keys.append(np.where(some, least, np.uint64(0)).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([c.column(0), c.column(1), *map(pa.array, keys)], names=["text", "y", "k1", "k2"])
-
-    v = lab.mapInArrow(lean(least_shingles), "text string, y int, k1 long, k2 long")
-    return v.dropDuplicates(["y", "k1"]).dropDuplicates(["y", "k2"]).select("text", "y")
+    lab = d.join(y, F.col("_id") == F.col("_y_id")).select("text", "y", F.sha2("text", 256).alias("digest"))
+    return lab.dropDuplicates(["y", "digest"]).select("text", "y")
 
 
 #: Entries of a task's table of forms after which it is handed on.
