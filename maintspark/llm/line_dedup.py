@@ -141,8 +141,7 @@ def _by_document(docs: DataFrame, side: DataFrame, d_id: Column, d_hash: Column,
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k_id, k_h, drop, eligible): per document with dropped lines their numbers (from 0),
-    and how many of its lines are eligible."""
+    """(k_id, k_h, drop): per document with dropped lines their numbers (from 0)."""
     spark = docs.sparkSession
     src = _source(docs, id_col, text_col)
     seen = write_table(src.mapInArrow(lean(_occurrences), "doc_id long, h long, line int, d1 long, d2 long, n int, a1 long, a2 long, a3 long, a4 long"), "lines")
@@ -184,10 +183,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     many = distinct.where("m > 1").select("d1", "d2", "o")
     bad = write_table(many.join(late.withColumn("late", F.lit(True)), ["d1", "d2"], "full").select("d1", "d2", "o", "late"), "bad-lines")
     x = seen.join(bad, ["d1", "d2"]).where(F.coalesce("late", F.lit(False)) | (order != F.col("o")))
-    drop = x.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("line")).alias("drop"))
-    eligible = seen.groupBy("doc_id", "h").agg(F.count_distinct("line").alias("eligible"))
-    out = write_table(drop.alias("a").join(eligible.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h") == F.col("b.h")))
-                      .select(F.col("a.doc_id").alias("k_id"), F.col("a.h").alias("k_h"), "drop", F.col("eligible").cast("int").alias("eligible")), "dropped")
+    drop = x.groupBy(F.col("doc_id").alias("k_id"), F.col("h").alias("k_h")).agg(F.sort_array(F.collect_set("line")).alias("drop"))
+    out = write_table(drop, "dropped")
     for t in (seen, distinct, shared, picked, ranked, per_doc, near_lines, least, late, bad):
         drop_table(t)
     release_shuffles(spark)
@@ -210,13 +207,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = True) -> DataFrame:
     """``docs`` with duplicate lines cut out of the text. ``drop_emptied``: a document that
-    had eligible lines and lost all of them is a copy and goes."""
+    lost lines and has no line with a word left is a copy and goes."""
     d = dropped_lines(docs, id_col, text_col)
     names = list(docs.columns)
     inner = docs.select(F.struct("*").alias("row"))  # own columns can't clash with those of the join
     text, key = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`").cast("long")
     j = _by_document(inner, d, key, F.xxhash64(F.coalesce(text, F.lit(""))), "drop", "left")
     if drop_emptied:
-        j = j.where(F.col("drop").isNull() | (F.size("drop") < F.col("eligible")))
+        j = j.where(F.col("drop").isNull() | _kept(text).rlike(r"[^\x20\x09-\x0D]"))
     kept = F.when(F.col("drop").isNull(), text).otherwise(_kept(text))
     return j.select(*[(kept if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names])

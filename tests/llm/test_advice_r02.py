@@ -2,7 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from maintspark.llm import toxic_grammar
+from maintspark.llm import line_dedup, toxic_grammar
+
+
+# --- 3 -----------------------------------------------------------------------------------
+
+def test_documents_with_short_lines_left_stay(spark):
+    notice = "all rights of this text are reserved"
+    rows = [(1, notice), (2, notice), (3, f"{notice}\nO rose\nthou art sick"), (4, f" \n{notice}\n\t"), (5, "日本語の詩\n" + notice), (6, "short one"), (7, ""), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {1: notice, 3: "O rose\nthou art sick", 5: "日本語の詩", 6: "short one", 7: "", 8: None}
 
 
 # --- 10 ----------------------------------------------------------------------------------
