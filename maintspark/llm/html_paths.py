@@ -5,8 +5,11 @@ Subtrees whose element, role, class or id says menu, header, footer, sidebar, no
 form, comment and the like are set aside. For each path the text outside links and the
 punctuation are added up and divided by its nodes; both ratios are smoothed over the nodes in
 page order, fused by their product, and paths whose fused mean stays below a share of the
-page's spread are dropped. The element that holds the kept paths is the article; its
-remaining nodes (headings, short lines, lists) belong to it.
+page's spread are dropped. The least element that holds all nodes of kept paths is the
+article; its remaining nodes (headings, short lines, lists) belong to it. An <article> or
+<main> that holds most of the kept text is the article whatever stands beside it. If only
+the page's body holds them all, each of its children is gone into by itself, and links in
+a block go with the block.
 
 Defined results: a null or empty page has an empty text; a page without any content path too;
 character references are decoded; white space inside a block becomes one space; blocks are
@@ -48,8 +51,10 @@ _SCOPE = frozenset("table ul ol dl article section div main body td th".split())
 KERNEL = np.array([0.25, 0.5, 0.25])
 #: Share of the fused ratios' mean that a path must reach.
 THRESHOLD = 0.2
-#: Share of the kept text that one element must hold to be gone into.
+#: Share of the kept text that an <article> or <main> must hold to be the only place looked at.
 HOLDS = 0.7
+TOP = frozenset(("#", "html", "body"))
+LISTS = frozenset(("ul", "ol", "dl"))
 
 
 class Page:
@@ -178,47 +183,69 @@ def main_text(markup: str | None) -> str:
     kept = [i for i, p in enumerate(paths) if p in kept_paths]
     if not kept:
         return ""
-    # the element that holds them
+    # kept text and kept nodes within each element
     held: dict = defaultdict(float)
+    n_kept: dict = defaultdict(int)
     children: dict = defaultdict(set)
     heading: dict = defaultdict(bool)
     for i, (e, _, _, _) in enumerate(real):
-        w = weight[i] if paths[i] in kept_paths else 0.0
+        k = paths[i] in kept_paths
         h1 = False
         while e >= 0:
             h1 = h1 or page.name[e] == "h1"
-            held[e] += w
+            held[e] += weight[i] if k else 0.0
+            n_kept[e] += k
             heading[e] = heading[e] or h1
             if page.parent[e] >= 0:
                 children[page.parent[e]].add(e)
             e = page.parent[e]
-    at = 0
-    while True:
-        best = max(children[at], key=lambda c: held[c], default=None)
-        if best is None or held[best] < HOLDS * held[at] or page.name[best] in LEAF or page.name[best] in INLINE:
-            break
-        if page.name[at] in ("article", "main") and page.name[best] not in ("article", "main"):
-            break
-        if page.name[at] not in ("#", "html", "body") and heading[at] and not heading[best]:
-            break  # the headline stands beside the text
-        at = best
-    whole = page.name[at] not in ("#", "html", "body")
+
+    def holder(at):
+        """The least element within ``at`` that holds all its kept nodes, above leaves and beside headlines."""
+        while True:
+            best = max(children[at], key=lambda c: n_kept[c], default=None)
+            if best is None or n_kept[best] < n_kept[at] or page.name[best] in LEAF or page.name[best] in INLINE:
+                return at
+            if page.name[at] in ("article", "main") and page.name[best] not in ("article", "main"):
+                return at
+            if page.name[at] not in TOP and heading[at] and not heading[best]:
+                return at  # the headline stands beside the text
+            at = best
+
+    marked = (e for e in sorted(held) if page.name[e] in ("article", "main") and held[e] >= HOLDS * held[0])
+    at = holder(next(marked, 0))  # parents come first
+    whole = page.name[at] not in TOP
+    roots = {at} if whole else {holder(c) for c in children[at] if n_kept[c]}
     inside = [False] * len(page.name)
-    for e in range(len(inside)):  # parents come first
-        inside[e] = e == at or e > 0 and inside[page.parent[e]]
+    for e in range(len(inside)):
+        inside[e] = e in roots or e > 0 and inside[page.parent[e]]
+    leaves = any(page.name[e] in LEAF and page.parent[e] == at for e in roots)
+
+    def up(e, names):
+        while page.name[e] in names:
+            e = page.parent[e]
+        return e
+
     first, last = kept[0], kept[-1]
+    ok = [inside[e] for e, _, _, _ in real]
+    block = [up(e, INLINE) for e, _, _, _ in real]
+    if not whole:
+        # no single element holds the article: kept paths, what stands among them, and blocks beside kept blocks
+        for i, (_, _, link, _) in enumerate(real):
+            b = block[i]
+            ok[i] = ok[i] or paths[i] in kept_paths or page.name[b] == "h1" or not link and (
+                first < i < last or leaves and page.name[b] in LEAF and up(b, LEAF | LISTS) == at)
+        taken = {b for b, (_, _, link, _), k in zip(block, real, ok) if k and not link}
+        ok = [k or link and (page.path[b] in kept_paths or b in taken) for b, (_, _, link, _), k in zip(block, real, ok)]
     order = {id(n): i for i, n in enumerate(real)}
     out = []
     for n in nodes:
         i = order.get(id(n))
-        if whole:
-            ok = inside[n[0]]
-        elif i is None:
-            ok = bool(out) and out[-1][3] == n[3]
+        if i is None:  # white space
+            keep = inside[n[0]] if whole else bool(out) and out[-1][3] == n[3]
         else:
-            # no single element holds the article: kept paths, and what stands among them outside links
-            ok = paths[i] in kept_paths or first < i < last and not n[2] or page.name[n[0]] == "h1"
-        if ok:
+            keep = ok[i]
+        if keep:
             out.append(n)
     return _joined(out)
 

@@ -1,8 +1,26 @@
 """Rows, lines and page text that were left out before."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from maintspark.llm import line_dedup, toxic_grammar
+from maintspark.llm import html_paths, line_dedup, toxic_grammar
+
+
+# --- 2 -----------------------------------------------------------------------------------
+
+LEAD = "The lead is long, it has most of the text, and it goes on, and on. " * 8
+MORE = "More of it, in another box, with some text. " * 3
+MENU = "<ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul>"
+
+
+@pytest.mark.parametrize("body,text", [
+    (f"<div id=post><div class=lead>{LEAD}</div><div class=more>{MORE}</div></div>", LEAD + MORE),
+    (f"<div class=lead>{LEAD}</div><div class=more>{MORE}</div>", LEAD + MORE),
+    (f"<div><div><h1>Head</h1><div class=lead><p>{LEAD}</div></div><div class=more><p>{MORE}</div></div>", "Head " + LEAD + MORE),
+    (f"{MENU}<p>{LEAD}<p>See <a href=/r>the <b>report</b></a> for details, please.<p class=end>So <a href=/e>it</a> ends.{MENU}", LEAD + "See the report for details, please. So it ends."),
+    (f"{MENU}<h1><a href=/>Head</a></h1><p>{LEAD}<p class=s>As <a href=/t>told</a>.<p>{MORE}", "Head " + LEAD + "As told. " + MORE)])
+def test_no_kept_text_is_left_out(body, text):
+    assert html_paths.main_text(f"<body>{body}</body>") == " ".join(text.split())
 
 
 # --- 3 -----------------------------------------------------------------------------------
