@@ -13,7 +13,7 @@ documents makes it a score between 0 and 1.
 
 All counts are sums over all labelled training documents, where copies (equal text and label)
 vote once and every other row counts; only forms whose counts could not come about by chance among all forms
-tried are kept, at most ``MAX_FORMS`` of them.
+tried are kept, and all of those.
 
 Defined results: null, empty and wordless texts have no matched clause and so the score of no
 evidence; rows are scored one by one, so repeated rows score alike; labels that are null are
@@ -37,8 +37,6 @@ from pyspark.sql import types as T
 from .store import drop_table, write_table
 from .textbytes import chunks, lean
 
-#: Bound of the learned lexicon.
-MAX_FORMS = 4096
 #: Label rows that may be broadcast.
 BROADCAST_LABELS = 2_000_000
 FORM_LENGTHS = (3, 4, 5, 6, 7)
@@ -229,7 +227,7 @@ def _form_counts(batches):
     yield rows(n)
 
 
-def learn_lexicon(voters: DataFrame, max_forms: int = MAX_FORMS) -> Lexicon:
+def learn_lexicon(voters: DataFrame) -> Lexicon:
     """Forms whose documents are toxic far more often than all documents: by the tail bound
     exp(-n KL(share, base)), so that among all forms tried 0.2 would pass by chance."""
     n1, n = voters.agg(F.sum("y"), F.count("*")).first()
@@ -245,8 +243,8 @@ def learn_lexicon(voters: DataFrame, max_forms: int = MAX_FORMS) -> Lexicon:
     q = F.col("n1") / (F.col("n0") + F.col("n1"))
     kl = q * F.log(q / base) + F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - base))).otherwise(0.0)
     chosen = told.where("n1 >= 3").where(q > base).withColumn("g", (F.col("n0") + F.col("n1")) * kl).where(F.col("g") > floor) \
-        .groupBy("form").agg(F.max("g").alias("g")).orderBy(F.desc("g"), "form").limit(max_forms).select("form")
-    rows = told.join(chosen, "form").select("form", "uses", "n0", "n1").collect()  # max_forms * USES at most
+        .select("form").distinct()
+    rows = told.join(chosen, "form").select("form", "uses", "n0", "n1").collect()  # the lexicon's forms, USES rows each at most
     drop_table(told)
     at_least = {(r.form, r.uses): (r.n0, r.n1) for r in rows}
     forms: dict[str, list[float]] = {}

@@ -43,3 +43,12 @@ def test_every_labelled_text_votes(spark):
     got = sorted((r.text, r.y) for r in toxic_grammar._voters(docs, labels, "doc_id", "text").collect())
     # a text votes once a label
     assert got == sorted([(t, 0) for _, t in rows] + [(rows[7][1], 1), ("", 0), (" ", 0)])
+
+
+def test_every_telling_form_is_kept(spark):
+    # 40 toxic documents share 6000 words of 4 letters; 80 more toxic ones share a word that ranks before them all
+    letters = "abcdefghijklmnopqrst"
+    many = [a + b + c + d for a in letters for b in letters for c in letters for d in "xy"][:6000]
+    rows = [(" ".join(many), 1)] * 40 + [("grobian", 1)] * 80 + [("zzz", 0)] * 120
+    found = toxic_grammar.learn_lexicon(spark.createDataFrame(rows, "text string, y int")).forms
+    assert set(many) <= set(found) and "grobian" in found and "zzz" not in found
