@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_paths, katz, line_dedup, near_dup, pareto_mix, prefix_hash, tool_chat, toxic_grammar, url_rules
+from . import (decontam, html_paths, katz, license_scan, line_dedup, merkle, near_dup, pareto_mix, prefix_hash, tool_chat,
+               toxic_grammar, url_rules, vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,3 +192,114 @@ def op9_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of the conversations formatted: calls linked, ordered, validated, in canonical JSON."""
     schemas = spark.createDataFrame(tool_chat.SCHEMAS, tool_chat.SCHEMA_COLUMNS)
     return tool_chat.format_conversations(table(spark, sf_dir, "conversations"), schemas)
+
+
+def _crc32(text: str) -> str:
+    """SQL: unsigned crc32 of an ASCII text, bit by bit."""
+    shift = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return (f"xor(list_reduce([4294967295] || list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(({text})[i]) AS BIGINT)), "
+            f"lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: {shift})), 4294967295)")
+
+
+def _field(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR) END"
+
+
+_LEAF = " || ".join(_field(v) for v in merkle.FIELDS[:-1])
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, sha256({_LEAF} || {_field('text')}) AS leaf,
+    CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN sha256({_LEAF} || {_field("replace(text, chr(10), '')")})
+         ELSE sha256({_LEAF} || {_field('text')}) END AS claimed FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS cnt FROM d),
+n AS (SELECT source, 0 AS lvl, pos, leaf AS h, cnt FROM l
+      UNION ALL
+      SELECT source, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (cnt + 2) // 3 FROM n WHERE cnt > 1
+      GROUP BY source, lvl, pos // 3, cnt),
+s AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
+t AS (SELECT 0 AS lvl, pos, subroot AS h, cnt FROM s
+      UNION ALL
+      SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (cnt + 2) // 3 FROM t WHERE cnt > 1 GROUP BY lvl, pos // 3, cnt),
+runs AS (SELECT l.doc_id, n.lvl, n.pos, n.h, CAST(floor(l.pos / power(3, n.lvl)) AS BIGINT) AS own
+         FROM l JOIN n ON n.source IS NOT DISTINCT FROM l.source AND n.cnt > 1 AND n.pos // 3 = CAST(floor(l.pos / power(3, n.lvl + 1)) AS BIGINT)
+         UNION ALL
+         SELECT l.doc_id, 1000 + t.lvl, t.pos, t.h, CAST(floor(s.pos / power(3, t.lvl)) AS BIGINT) FROM l JOIN s ON s.source IS NOT DISTINCT FROM l.source
+         JOIN t ON t.cnt > 1 AND t.pos // 3 = CAST(floor(s.pos / power(3, t.lvl + 1)) AS BIGINT)),
+steps AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY lvl) AS k,
+                 coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < own), '') AS a, coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > own), '') AS b
+          FROM runs GROUP BY doc_id, lvl),
+f AS (SELECT doc_id, 0 AS k, claimed AS h FROM d
+      UNION ALL SELECT f.doc_id, f.k + 1, sha256(a || f.h || b) FROM f JOIN steps ON steps.doc_id = f.doc_id AND steps.k = f.k + 1),
+folded AS (SELECT doc_id, arg_max(h, k) AS folded_root FROM f GROUP BY doc_id),
+p AS (SELECT d.doc_id, sha256(coalesce(string_agg(a || b, '' ORDER BY k), '')) AS proof_sha256 FROM d LEFT JOIN steps USING (doc_id) GROUP BY d.doc_id)
+SELECT d.doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.source JOIN p USING (doc_id) JOIN folded USING (doc_id), (SELECT h AS root FROM t WHERE cnt = 1)
+"""
+
+
+@query(OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document after the tampering."""
+    return merkle.tampering_report(table(spark, sf_dir, "documents"))
+
+
+def _op12_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    ctes = [f"""v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding, label) AS rn, vec_id, label,
+        list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""x AS MATERIALIZED (SELECT rn, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x
+        FROM v, (SELECT unnest(range({parts})) AS p))""",
+            f"b0 AS MATERIALIZED (SELECT p, rn - 1 AS e, x AS c FROM x WHERE rn <= {entries})"]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT rn, p, any_value(x) AS x, min(struct_pack(d := d, e := e)) AS m FROM (SELECT rn, x.p, x, e,
+            coalesce(CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT), 0) AS d
+            FROM x JOIN b{i} ON b{i}.p = x.p) GROUP BY rn, p)""")
+        if i < rounds:
+            ctes.append(f"""b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{i} b LEFT JOIN
+            (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM
+             (SELECT p, e, i, sum(y) AS s, count(*) AS n FROM (SELECT p, m.e AS e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a{i}) GROUP BY p, e, i)
+             GROUP BY p, e) s USING (p, e))""")
+    return "WITH " + ",\n".join(ctes) + f""",
+c AS (SELECT rn, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rn)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN c USING (rn)
+"""
+
+
+@query(_op12_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every whole vector under codebooks trained on all of them."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+_TEMPLATES = ", ".join(f"({k}, '{label}', {base}, '{text}')" for k, (label, text, base) in enumerate(
+    [(*t, True) for t in license_scan.PHRASES] + [(*t, False) for t in license_scan.TEMPLATES]))
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+OP13_SQL = f"""
+WITH raw(k, label, base, s) AS (VALUES {_TEMPLATES}),
+t AS (SELECT k, label, base, w, len(list_distinct(w)) AS size, CAST(greatest({license_scan.CLASS}, power(2, ceil(log2(len(w))))) AS BIGINT) AS width
+      FROM (SELECT *, regexp_extract_all(translate(s, {_AZ}), {_WORDS}) AS w FROM raw)),
+tw AS (SELECT DISTINCT k, width, unnest(w) AS word FROM t),
+sub AS (SELECT a.k, b.k AS j FROM t a JOIN t b ON a.width = b.width AND NOT a.base AND NOT b.base AND a.size < b.size AND list_has_all(b.w, a.w)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), {_WORDS}) AS w FROM documents),
+dw AS (SELECT r, i, word FROM (SELECT r, unnest(range(len(w))) AS i, unnest(w) AS word FROM d) WHERE word IN (SELECT word FROM tw)),
+cell AS (SELECT DISTINCT r, k, (i // width) - o AS block, word FROM dw JOIN tw USING (word), (VALUES (0), (1)) AS h(o) WHERE i // width >= o),
+m AS (SELECT r, k, block, count(*) AS common FROM cell GROUP BY r, k, block),
+hit AS (SELECT r, k, block, label, common / size AS share FROM m JOIN t USING (k)
+        WHERE NOT base AND common >= greatest(1, (size * {license_scan.PERCENT} + 99) // 100)),
+blocks AS (SELECT r, label, share FROM hit WHERE NOT EXISTS (SELECT 1 FROM sub JOIN hit o ON o.k = sub.j
+           WHERE sub.k = hit.k AND o.r = hit.r AND o.block = hit.block)),
+place AS (SELECT dw.r, label, i FROM dw JOIN t ON base AND dw.word = t.w[1] JOIN d USING (r) WHERE d.w[i + 1:i + len(t.w)] = t.w),
+p AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM place GROUP BY r),
+e AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+      FROM (SELECT r, label, share FROM blocks UNION ALL SELECT r, label, 1.0 FROM place) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(p.labels, '') AS base_labels, coalesce(e.labels, '') AS labels, coalesce(CAST(score AS DOUBLE), 0.0) AS score
+FROM d LEFT JOIN p USING (r) LEFT JOIN e USING (r)
+"""
+
+
+@query(OP13_SQL)
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and license sentences in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.template_table(spark))
