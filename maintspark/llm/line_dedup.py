@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ordered import global_row_index
 from .store import drop_table, release_shuffles, write_table
-from .textbytes import _INVERSE, NOT_SPACE, Words, buffers, chunks, lean, mix, powers
+from .textbytes import NOT_SPACE, Words, buffers, chunks, lean, mix
 
 MIN_WORDS = 5
 FUZZY_WORDS = 10
@@ -41,22 +41,55 @@ HALVES = ("a1", "a2", "a3", "a4")
 BROADCAST_ROWS = 400_000
 
 
+#: Modulus of the spans' polynomial hashes: a prime, so that sums of different words don't cancel by structure.
+PRIME = np.uint64((1 << 61) - 1)
+_STEP = 0x1D8AF066F2B2E6C7 % ((1 << 61) - 1)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _reduce(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, by halves of 31 bits."""
+    k, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    ah, al, bh, bl = a >> k, a & low, b >> k, b & low
+    mid = ah * bl + al * bh
+    return _reduce(np.uint64(2) * (ah * bh) + (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << k) + _reduce(al * bl))
+
+
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """At least ``n`` powers of the step, or of its inverse, modulo the prime."""
+    base = pow(_STEP, -1, int(PRIME)) if inverse else _STEP
+    p = _powers.setdefault(base, np.ones(1, np.uint64))
+    while len(p) < n:
+        p = np.r_[p, _times(p, np.uint64(pow(base, len(p), int(PRIME))))]
+    _powers[base] = p
+    return p
+
+
 class Spans:
     """Hashes of any span of a sequence of 64-bit values, by prefix sums."""
 
     def __init__(self, values: np.ndarray):
-        self.p, self.inv = powers(len(values) + 1)
-        self.run = np.r_[np.zeros(1, np.uint64), np.cumsum(values * self.p[:len(values)], dtype=np.uint64)]
+        self.p, self.inv = powers(len(values) + 1), powers(len(values) + 2, inverse=True)
+        term = _times(_reduce(values), self.p[:len(values)])
+        low, high = np.cumsum(term & np.uint64((1 << 31) - 1)), np.cumsum(term >> np.uint64(31))
+        self.run = np.r_[np.zeros(1, np.uint64), _reduce(_times(_reduce(high), np.uint64(1 << 31)) + _reduce(low))]
 
     def raw(self, s, e):
-        return (self.run[e] - self.run[s]) * self.inv[s]
+        return _times(_reduce(self.run[e] + PRIME - self.run[s]), self.inv[s])
 
     def of(self, s, e):
-        return mix(self.raw(s, e) + (e - s).astype(np.uint64))
+        return mix(self.raw(s, e) + ((e - s).astype(np.uint64) << np.uint64(40)))
 
     def without(self, s, e, at):
         """Hash of span s..e with the value at ``at`` left out; the same as that of the shorter sequence."""
-        return mix(self.raw(s, at) + (self.run[e] - self.run[at + 1]) * self.inv[s] * _INVERSE + (e - s - 1).astype(np.uint64))
+        rest = _times(_reduce(self.run[e] + PRIME - self.run[at + 1]), self.inv[s + 1])
+        return mix(_reduce(self.raw(s, at) + rest) + ((e - s - 1).astype(np.uint64) << np.uint64(40)))
 
 
 class Lines:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -23,8 +24,9 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+#: Words of more bytes are hashed one by one.
+_LONG = 64
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,22 +38,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least ``n`` powers of the hash base and of its inverse, modulo 2**64."""
-    global _powers
-    if len(_powers[0]) < n:
-        made = []
-        for b in (_BASE, _INVERSE):
-            p = np.full(max(n, 1 << 16), b, dtype=np.uint64)
-            p[0] = 1
-            made.append(np.cumprod(p, dtype=np.uint64))
-        _powers = made[0], made[1]
-    return _powers
-
-
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets of n+1) of a string array; a null text has no bytes."""
     a = texts.cast(pa.large_string()).fill_null("")
@@ -108,11 +94,21 @@ class Words:
         self.offsets = np.searchsorted(self.start, offsets)
 
     def hashes(self) -> np.ndarray:
-        """One hash a word; never 0."""
-        p, inv = powers(len(self.data) + 1)
-        run = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.data] * p[:len(self.data)], out=run[1:])
-        h = mix((run[self.end] - run[self.start]) * inv[self.start] + (self.end - self.start).astype(np.uint64))
+        """One hash a word; never 0. Eight bytes at a time go through a mixing step that can be
+        undone, so equally long words of up to eight bytes never collide, and no sum of
+        powers can cancel out as it does in a polynomial modulo 2**64."""
+        size = self.end - self.start
+        h = mix(size.astype(np.uint64) * _BASE)
+        padded = np.lib.stride_tricks.sliding_window_view(np.r_[self.data, np.zeros(8, np.uint8)], 8)
+        live = np.flatnonzero(size <= _LONG)
+        for at in range(0, _LONG, 8):
+            live = live[size[live] > at]
+            if not len(live):
+                break
+            eight = padded[self.start[live] + at].view("<u8").ravel() & _KEEP[np.minimum(size[live] - at, 8)]
+            h[live] = mix(h[live] * _BASE + eight)
+        for i in np.flatnonzero(size > _LONG):
+            h[i] = xxhash.xxh3_64_intdigest(self.text(i))
         return np.where(h == 0, np.uint64(1), h)
 
     def text(self, i: int) -> bytes:
