@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textbytes import ALNUM, chunks, ranges, words
+from .textbytes import ALNUM, chunks, lean, ranges, words
 
 WINDOW = 13
 #: Words of a shard; a longer document makes a shard of its own.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 #: Text bytes of the benchmark in one broadcast block.
 BLOCK_BYTES = 32 << 20
 
@@ -237,7 +237,7 @@ def _scan(block, text_col: str, finish, schema: T.StructType):
             for rows, hashes, start, n in _shards(batch, text_col):
                 hit, doc, item = _document_hits(hashes, start, n, b)
                 yield finish(rows, hit, start, n, doc, [b.ids[i] for i in item])
-    return lambda df: df.mapInArrow(run, schema)
+    return lambda df: df.mapInArrow(lean(run), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

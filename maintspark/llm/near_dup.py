@@ -119,7 +119,7 @@ def _exact_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row a document: ``doc_id, h`` (text hash), ``n_shingles, component_id`` (least id
-    of its component) and ``node`` (digest of its shingle set)."""
+    of its component), ``node`` (digest of its shingle set) and ``comp`` (least node of its component)."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"),
                       F.col(text_col).alias("text"))
@@ -153,21 +153,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = least.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     # single sets are most of the nodes: only nodes with copies or links are looked up
-    lookup = write_table(named.join(ids, "comp").select("node", "component_id"), "named")
+    lookup = write_table(named.join(ids, "comp").select("node", "component_id", "comp"), "named")
     return told.join(lookup, "node", "left").select(
         "doc_id", "h", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node")
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node", "comp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, all columns as they were: the
-    row with the group's least id (of rows that share that id and text, each stays). Rows
+    row with the group's least id (null last), of several texts with that id the one of least
+    hash, and of rows that agree in both the least in all columns that can be ordered. Rows
     without shingles all stay."""
-    told = near_duplicates(docs, id_col, text_col, **options)
-    gone = told.where("n_shingles > 0 and not (doc_id <=> component_id)") \
-        .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    gone = write_table(gone, "gone")
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_h")), "left_anti")
+    told = write_table(near_duplicates(docs, id_col, text_col, **options).where("n_shingles > 0")
+                       .groupBy("comp", "doc_id", "h").agg(F.count("*").alias("m")), "members")
+    order = F.struct(F.isnull("doc_id").alias("z"), "doc_id", "h")
+    first = told.groupBy("comp").agg(F.min(order).alias("first"))
+    ranked = told.join(first, "comp").select("doc_id", "h", "m", (order == F.col("first")).alias("stays"))
+    # (id, hash) in the documents' rows: those that go, and those that stay once of several rows
+    marked = write_table(ranked.where("not stays or m > 1").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "stays"), "gone")
+    drop_table(told)
+    gone, twins = marked.where("not stays"), marked.where("stays")
+    if marked.count() <= BROADCAST_ROWS:
+        gone, twins = F.broadcast(gone), F.broadcast(twins)
+    key = docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    same = key[0].eqNullSafe(F.col("_id")) & (key[1] == F.col("_h"))
+    rest = docs.join(gone, same, "left_anti")
+    if marked.where("stays").isEmpty():
+        return rest
+    sortable = [c for c in docs.columns if "map<" not in (kind := docs.schema[c].dataType.simpleString()) and kind != "variant"]
+    by = F.struct(*[F.col(f"`{c}`") for c in sortable])
+    # one row of each (id, hash): the rows of a group meet in the map-side aggregate first
+    one = docs.join(twins, same, "left_semi").groupBy(key[0].alias("_id"), key[1].alias("_h")) \
+        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), by).alias("_row"))
+    return rest.join(twins, same, "left_anti").unionByName(one.select("_row.*"))
