@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +67,17 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/streams/{name}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{stream_checkpoint(spark, name)}-{uuid.uuid4().hex}"
+
+
+def rocksdb_state(spark: SparkSession) -> None:
+    """Keep the state of streaming queries in RocksDB (changed keys only are written)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
     """Settings for a large cluster run, sized from the bytes the job reads.
 

@@ -19,8 +19,11 @@ from .. import schemas as S
 TIME_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd",
                 "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
-#: Cell texts that stand for a missing value (after trimming, any case).
+#: Cell texts that stand for a missing number or time (after trimming, any case).
 MISSING = ["", "na", "n/a", "nan", "null", "none", "-", "#n/a"]
+# The texts that pandas reads as missing, exactly so written.
+MISSING_TEXT = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def parse_time(c: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
@@ -43,11 +46,20 @@ def parse_number(c: Column, kind: T.DataType) -> Column:
 
 
 def convert(c: Column, field: T.StructField, time_cols: Sequence[str]) -> Column:
-    """One conversion for batch and stream: a cell's text to the field's type."""
-    t = present(c)
-    if field.name in time_cols:
-        return parse_time(t)
-    return t if isinstance(field.dataType, T.StringType) else parse_number(t, field.dataType)
+    """One conversion for batch and stream: a cell's text to the field's type. Texts stay as
+    they are, blanks included, but for the few that mean a missing one."""
+    if isinstance(field.dataType, T.StringType):
+        return F.when(~c.isin(MISSING_TEXT), c)
+    return parse_time(present(c)) if field.name in time_cols else parse_number(present(c), field.dataType)
+
+
+def bad_row(schema: T.StructType, time_cols: Sequence[str] = (S.TIME,)) -> Column:
+    """A row (of texts) with a number or time that is there but does not convert."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            bad = bad | (present(F.col(f.name)).isNotNull() & convert(F.col(f.name), f, time_cols).isNull())
+    return bad
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_cols: Sequence[str] = (S.TIME,)
@@ -61,10 +73,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_cols: Se
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
     conv = [convert(F.col(f.name), f, time_cols) for f in schema.fields]
-    bad = F.lit(False)
-    for f, c in zip(schema.fields, conv):
-        bad = bad | (present(F.col(f.name)).isNotNull() & c.isNull())
-    tagged = raw.select(*[c.alias(f.name) for f, c in zip(schema.fields, conv)], bad.alias("_bad"),
+    tagged = raw.select(*[c.alias(f.name) for f, c in zip(schema.fields, conv)], bad_row(schema, time_cols).alias("_bad"),
                         F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("_raw"))
     good = tagged.filter(~F.col("_bad")).select(*schema.names)
     bad_rows = tagged.filter(F.col("_bad")).select(F.col("_raw").alias("raw_record"))
@@ -95,6 +104,13 @@ def load_datasets(spark: SparkSession, data_path: str, telemetry_file: str = "te
     return out[0], out[1]
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
+    """CSV files with a header, one a task; times with microseconds, missing values empty."""
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    told = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in times}) if times else df
+    told.write.mode(mode).option("header", True).csv(path)
+
+
 def _require(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

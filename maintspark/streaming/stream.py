@@ -1,34 +1,38 @@
 """Structured Streaming forms of the request path.
 
 * X5 ``telemetry_stream``: incremental CSV ingest with the T1 schema.
-* X1 ``rolling_stream``: rolling statistics per machine with the last ``max(window)-1``
-  readings kept as state (``applyInPandasWithState``); every row sees only itself
-  and earlier rows. A row older than the newest buffered row of its machine is
-  *late*: emitted with ``status='late'`` and no statistics, never reordered into
-  features already emitted. State per machine: 23 values x 4 sensors.
+* X1 ``rolling_stream``: rolling statistics per machine. The last ``max(window)-1`` readings
+  of a machine are a list state in RocksDB (``transformWithState``), so a trigger reads and
+  writes only the machines it has readings of; every row sees only itself and earlier rows.
+  A row older than the newest kept row of its machine is *late*: emitted with
+  ``status='late'`` and no statistics, never reordered into features already emitted.
 * X2 ``score_stream``: stateless scoring of a reading stream.
-* X3 ``label_stream``: reading stream LEFT SEMI failure stream within the horizon
-  (watermarks on both sides bound the join state).
-* X4 ``rollup_stream``: prediction-log rollups per event-time window with a
-  watermark; rows later than the watermark are dropped.
+* X3 ``label_stream``: reading stream LEFT OUTER failure stream within the horizon: 1 at the
+  first failure, 0 once the watermarks tell that none can come (they bound the join state).
+  ``late_failures`` lists the failures that came after their readings' zeros.
+* X4 ``rollup_stream``: prediction-log rollups per event-time window with a watermark; rows
+  later than the watermark are dropped, and ``dropped_rows`` counts them.
 
 ``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ), so event times are cast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from .. import schemas as S
+from ..functions.expr import add_micros
+from ..operators.labels import DAY_US, label_pairs
 from ..operators.monitor import bin_count_columns
-from ..session import stream_checkpoint
-from ..sources.io import convert, present
+from ..session import rocksdb_state, stream_checkpoint
+from ..sources.io import bad_row, convert
 
 
 def telemetry_stream(spark: SparkSession, path: str, schema: T.StructType = S.TELEMETRY,
@@ -43,9 +47,7 @@ def telemetry_stream(spark: SparkSession, path: str, schema: T.StructType = S.TE
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.csv(path)
     conv = {f.name: convert(F.col(f.name), f, [S.TIME]) for f in schema.fields}
-    bad = F.lit(False)
-    for name, c in conv.items():
-        bad = bad | (present(F.col(name)).isNotNull() & c.isNull())
+    bad = bad_row(schema)
     if bad_rows:
         return raw.filter(bad).select(F.to_json(F.struct(*schema.names)).alias("raw_record"))
     return raw.filter(~bad).select(*[c.alias(name) for name, c in conv.items()])
@@ -56,83 +58,116 @@ def _stat_names(sensors, windows, stats):
     return [f"{s}_{w}h_{st}" for w in windows for s in sensors for st in stats]
 
 
+def window_statistics(values: np.ndarray, skip: int, windows: Sequence[int], stats: Sequence[str]) -> np.ndarray:
+    """(rows after ``skip``, windows * sensors * stats): statistics over the last w rows, NaN
+    left out, of a (rows, sensors) array; all windows from one strided view."""
+    widest = max(windows)
+    if len(values) == skip:
+        return np.zeros((0, len(windows) * values.shape[1] * len(stats)))
+    padded = np.vstack([np.full((max(widest - 1 - skip, 0), values.shape[1]), np.nan), values])
+    view = np.lib.stride_tricks.sliding_window_view(padded, widest, axis=0)[len(padded) - widest + 1 - (len(values) - skip):]
+    out = []
+    for w in windows:
+        v = view[..., widest - w:]
+        there = ~np.isnan(v)
+        n = there.sum(axis=-1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = np.where(there, v, 0.0).sum(axis=-1) / n
+            told = {"mean": mean,
+                    "std": np.sqrt(np.where(there, v - mean[..., None], 0.0).__pow__(2).sum(axis=-1) / np.where(n > 1, n - 1, np.nan)),
+                    "max": np.where(n > 0, np.where(there, v, -np.inf).max(axis=-1), np.nan),
+                    "min": np.where(n > 0, np.where(there, v, np.inf).min(axis=-1), np.nan)}
+        out.append(np.stack([told[s] for s in stats], axis=-1).reshape(len(v), -1))
+    return np.hstack(out)
+
+
+class RollingProcessor(StatefulProcessor):
+    """A machine's readings of one trigger, computed together with its kept rows."""
+
+    def __init__(self, sensors, windows, stats, cols, time: str, tie: str | None, fill: bool, ttl_ms: int | None):
+        self.sensors, self.windows, self.stats, self.cols = sensors, windows, stats, cols
+        self.time, self.tie, self.fill, self.ttl_ms = time, tie, fill, ttl_ms
+        self.names = _stat_names(sensors, windows, stats)
+
+    def init(self, handle) -> None:
+        row = T.StructType([T.StructField("t", T.LongType()), T.StructField("tie", T.LongType()),
+                            T.StructField("values", T.ArrayType(T.DoubleType()))])
+        self.kept = handle.getListState("kept", row, self.ttl_ms)
+        if self.fill:
+            self.last = handle.getValueState("last", T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))]), self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        new = new.sort_values([self.time] + ([self.tie] if self.tie else []), kind="mergesort").reset_index(drop=True)
+        t = new[self.time].astype("int64").to_numpy()
+        tie = new[self.tie].astype("int64").to_numpy() if self.tie else np.zeros(len(new), np.int64)
+        kept = list(self.kept.get())
+        late = np.zeros(len(new), bool)
+        if kept:
+            last_t, last_tie = kept[-1][0], kept[-1][1]
+            # without a tie column readings of one time have no order among them, so an equal time isn't late
+            late = (t < last_t) | ((t == last_t) & (tie <= last_tie) if self.tie else False)
+        ok = new[~late]
+        out = ok[self.cols].copy()
+        old = np.array([[np.nan if v is None else v for v in r[2]] for r in kept], np.float64).reshape(len(kept), len(self.sensors))
+        values = np.vstack([old, ok[self.sensors].to_numpy(np.float64, na_value=np.nan)])
+        out[self.names] = window_statistics(values, len(kept), self.windows, self.stats)
+        if self.fill and len(ok):
+            filled = [*self.sensors, *self.names]
+            carry = self.last.get()[0] if self.last.exists() else [None] * len(filled)
+            seeded = np.vstack([np.array([np.nan if c is None else c for c in carry], np.float64)[None], out[filled].to_numpy(np.float64)])
+            seeded = pd.DataFrame(seeded).ffill().to_numpy()
+            self.last.update(([None if np.isnan(v) else float(v) for v in seeded[-1]],))
+            out[filled] = np.nan_to_num(seeded[1:], nan=0.0)
+        if len(ok):
+            keep = max(self.windows) - 1
+            rows_ = [*[(r[0], r[1]) for r in kept], *zip(t[~late].tolist(), tie[~late].tolist())]
+            # one row at least: it also tells which readings are late
+            self.kept.put([(a, b, [None if np.isnan(x) else float(x) for x in v]) for (a, b), v in
+                           zip(rows_[-max(keep, 1):], values[-max(keep, 1):])])
+        out["status"] = "ok"
+        if late.any():
+            gone = new[late][self.cols].copy()
+            gone[self.names] = np.nan
+            gone["status"] = "late"
+            out = pd.concat([out, gone], ignore_index=True)
+        yield out[[*self.cols, *self.names, "status"]]
+
+    def close(self) -> None:
+        pass
+
+
 def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, windows: Sequence[int] = S.WINDOWS,
                    stats: Sequence[str] = S.STATS, key: str = S.KEY, time: str = S.TIME,
-                   tie: str | None = None, fill: bool = False) -> DataFrame:
+                   tie: str | None = None, fill: bool = False, ttl_days: float | None = None) -> DataFrame:
     """The W1 statistics on a stream, exact across micro-batches for in-order rows.
 
     ``fill``: forward fill within the machine (the last non-null value of every sensor
     and statistic is kept in state), then 0 -- the batch ``frame_fill(mode='machine')``.
     The frame-wide fill of the batch table needs the previous machine, which a stream
-    does not have."""
+    does not have. ``ttl_days``: a machine without readings for so long (of the clock) is
+    forgotten; none is without it. It is for queries that run on with a ``processingTime``
+    trigger: an ``availableNow`` query would wait for the clock and never end. State is kept in RocksDB: the session's state store is
+    set to it, as ``transformWithState`` asks for it."""
+    rocksdb_state(stream.sparkSession)
     sensors, windows, stats = list(sensors), list(windows), list(stats)
-    keep = max(windows) - 1
-    names = _stat_names(sensors, windows, stats)
-    in_fields = {f.name: f.dataType for f in stream.schema.fields}
+    fields = {f.name: f.dataType for f in stream.schema.fields}
     cols = [key, time] + ([tie] if tie else []) + sensors
-    out_schema = T.StructType(
-        [T.StructField(c, in_fields[c]) for c in cols]
-        + [T.StructField(n, T.DoubleType()) for n in names]
-        + [T.StructField("status", T.StringType())])
-    state_schema = T.StructType(
-        [T.StructField("t", T.LongType()), T.StructField("tie", T.LongType())]
-        + [T.StructField(s, T.ArrayType(T.DoubleType())) for s in sensors]
-        + [T.StructField("last", T.ArrayType(T.DoubleType()))])
-    filled_cols = sensors + names
-    funcs = {"mean": "mean", "std": "std", "max": "max", "min": "min"}
-
-    def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True)
-        order = [time] + ([tie] if tie else [])
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-        tnum = pdf[time].astype("int64")
-        tienum = pdf[tie].astype("int64") if tie else pd.Series(0, index=pdf.index)
-        if state.exists:
-            st = state.get
-            last_t, last_tie = st[0], st[1]
-            buf = {s: list(st[2 + i]) for i, s in enumerate(sensors)}
-            carry = list(st[2 + len(sensors)] or [None] * len(filled_cols))
-            # without a tie column readings of one time have no order among them, so an equal time isn't late
-            late = (tnum < last_t) | ((tnum == last_t) & (tienum <= last_tie) if tie else False)
-        else:
-            last_t = last_tie = None
-            buf = {s: [] for s in sensors}
-            carry = [None] * len(filled_cols)
-            late = pd.Series(False, index=pdf.index)
-        ok = pdf[~late.values].reset_index(drop=True)
-        nb = len(buf[sensors[0]])
-        res = ok[cols].copy()
-        for w in windows:
-            for s in sensors:
-                series = pd.Series(buf[s] + ok[s].astype("float64").tolist(), dtype="float64")
-                roll = series.rolling(window=w, min_periods=1)
-                for st_name in stats:
-                    res[f"{s}_{w}h_{st_name}"] = getattr(roll, funcs[st_name])().iloc[nb:].to_numpy()
-        res["status"] = "ok"
-        new_carry = list(carry)
-        if fill and len(res):
-            for j, c in enumerate(filled_cols):
-                col = res[c].astype("float64")
-                seeded = pd.concat([pd.Series([carry[j]], dtype="float64"), col], ignore_index=True).ffill()
-                last = seeded.iloc[-1]
-                new_carry[j] = None if pd.isna(last) else float(last)
-                res[c] = seeded.iloc[1:].fillna(0.0).to_numpy()
-        if len(ok):
-            full = {s: (buf[s] + ok[s].astype("float64").tolist())[-keep:] for s in sensors}
-            lt = int(ok[time].astype("int64").iloc[-1])
-            ltie = int(ok[tie].astype("int64").iloc[-1]) if tie else 0
-            state.update((lt, ltie, *[full[s] for s in sensors], new_carry))
-        parts = [res]
-        if late.any():
-            lr = pdf[late.values][cols].copy()
-            for n in names:
-                lr[n] = float("nan")
-            lr["status"] = "late"
-            parts.append(lr)
-        yield pd.concat(parts, ignore_index=True)[out_schema.names]
-
-    return stream.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.NoTimeout)
+    out = T.StructType([T.StructField(c, fields[c]) for c in cols]
+                       + [T.StructField(n, T.DoubleType()) for n in _stat_names(sensors, windows, stats)]
+                       + [T.StructField("status", T.StringType())])
+    ttl_ms = None if ttl_days is None else int(ttl_days * DAY_US // 1000)
+    if fill:
+        out = T.StructType([T.StructField(f.name, T.DoubleType()) if f.name in sensors else f for f in out.fields])
+    worker = RollingProcessor(sensors, windows, stats, cols, time, tie, fill, ttl_ms)
+    known = stream.where(F.col(key).isNotNull()).select(*cols).groupBy(key).transformWithStateInPandas(
+        worker, out, "Append", "None" if ttl_ms is None else "ProcessingTime")
+    # readings without a machine have no statistics, as in the batch, and no state
+    none = F.lit(0.0 if fill else None).cast("double")
+    unknown = stream.where(F.col(key).isNull()).select(
+        *[F.coalesce(F.col(c).cast("double"), none).alias(c) if fill and c in sensors else F.col(c) for c in cols],
+        *[none.alias(n) for n in worker.names], F.lit("ok").alias("status"))
+    return known.unionByName(unknown)
 
 
 # ------------------------------------------------------------------------- X2
@@ -144,21 +179,53 @@ def score_stream(readings: DataFrame, scorer) -> DataFrame:
 
 # ------------------------------------------------------------------------- X3
 def label_stream(readings: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS,
-                 key: str = S.KEY, time: str = S.TIME, delay: str | None = None,
-                 failure_delay: str = "1 hour") -> DataFrame:
-    """Positive readings (a failure of the same machine within ``days`` after them).
+                 key: str = S.KEY, time: str = S.TIME, delay: str = "1 hour", failure_delay: str = "1 hour",
+                 label: str = S.LABEL) -> DataFrame:
+    """Every reading once, with the batch label of J1: 1 when a failure of its machine
+    follows within ``days``, else 0.
 
-    Both sides carry a watermark; a reading waits at most ``days`` (+ delay) for its
-    failure, so the join state stays bounded. ``failure_delay``: how much later than newer
-    failures a failure may arrive and still label its readings."""
+    A LEFT OUTER join of the streams: a reading comes out as 1 with its first failure, or as 0
+    when both watermarks have passed its horizon. A reading that meets several failures comes
+    out of the join several times; the id it was given before keeps the first. Readings wait
+    ``days`` (plus the delays) in state and go then, so the state is bounded by the readings
+    and failures of that time. A machine or time that is missing can meet no failure: 0 at
+    once. ``delay`` / ``failure_delay``: how much later than newer rows of its stream a row
+    may come. Rows later than that are dropped by the join; see :func:`late_failures`."""
     hours = int(round(days * 24))
-    delay = delay or f"{hours} hours"
-    r = readings.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", delay)
+    whole = F.col(key).isNotNull() & F.col(time).isNotNull()
+    r = (readings.where(whole).withColumn("_rid", F.expr("uuid()")).withColumn("_t", F.col(time).cast("timestamp"))
+                 .withWatermark("_t", delay))
     f = (failures.select(F.col(key).alias("_fk"), F.col(time).cast("timestamp").alias("_ft"))
                  .withWatermark("_ft", failure_delay))
     cond = ((F.col(key) == F.col("_fk")) & (F.col("_t") >= F.col("_ft") - F.expr(f"INTERVAL {hours} HOURS"))
             & (F.col("_t") < F.col("_ft")))
-    return r.join(f, cond, "left_semi").drop("_t")
+    told = r.join(f, cond, "left_outer").select(*readings.columns, "_t", "_rid", F.col("_fk").isNotNull().cast("int").alias(label))
+    once = told.dropDuplicates(["_rid", "_t"]).select(*readings.columns, label)
+    return once.unionByName(readings.where(~whole).withColumn(label, F.lit(0)))
+
+
+def closing_rows(readings: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS, key: str = S.KEY,
+                 time: str = S.TIME) -> tuple[DataFrame, DataFrame]:
+    """One reading and one failure so late that, read as the last rows of a closed stream, they
+    move the watermarks of :func:`label_stream` past every reading's horizon. The reading
+    itself stays in state (it is later than the failure) and never comes out. Good for delays
+    of up to ``days``."""
+    span = int(3 * days * DAY_US) + 4 * DAY_US
+    ends = [d.agg(F.max(time).alias("m")) for d in (readings, failures)]
+    last = ends[0].unionByName(ends[1]).agg(F.max("m").alias("_end"))
+    some = readings.where(F.col(key).isNotNull()).limit(1).withColumn("_one", F.lit(1)).join(last.withColumn("_one", F.lit(1)), "_one")
+    failure = failures.where(F.col(key).isNotNull()).limit(1).withColumn("_one", F.lit(1)).join(last.withColumn("_one", F.lit(1)), "_one")
+    return (some.withColumn(time, add_micros("_end", 2 * span)).select(*readings.columns),
+            failure.withColumn(time, add_micros("_end", span)).select(*failures.columns))
+
+
+def late_failures(labels: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS, key: str = S.KEY,
+                  time: str = S.TIME, label: str = S.LABEL) -> DataFrame:
+    """The failures that came too late for :func:`label_stream`: those with readings of their
+    horizon among the emitted zeros, and how many (``readings``). Only missed pairs are joined."""
+    missed = label_pairs(labels.where(F.col(label) == 0), failures, days, key, time, failure_cols=())
+    return missed.groupBy(key, F.col("failure_datetime").alias(time)).agg(F.countDistinct("failure_id").alias("failures"),
+                                                                          F.count(F.lit(1)).alias("pairs"))
 
 
 # ------------------------------------------------------------------------- X4
@@ -184,6 +251,31 @@ def rollup_stream(log: DataFrame, window: str = "300 seconds", watermark: str =
                       "mean_latency", *bin_cols)
 
 
+def dropped_rows(progress: Iterable, rollups: DataFrame) -> int:
+    """Rows of the log that came behind the watermark, of a stream that was read to its end and
+    closed: rows read (as the query's progress tells) less those in the emitted windows."""
+    read = sum(p["numInputRows"] for p in progress)
+    return read - (rollups.agg(F.sum("requests")).first()[0] or 0)
+
+
+# ------------------------------------------------------------------------- running
+def follow(slices: Sequence[dict[str, DataFrame]], folder: str, build: Callable[[dict[str, DataFrame]], DataFrame],
+           name: str) -> tuple[DataFrame, list]:
+    """Read tables as they arrive: the rows of each slice are written below ``folder``, then the
+    query ``build(streams)`` takes all new files in one trigger and stops; the next start goes on
+    from its checkpoint. Returns the sink's table and the progress of all starts."""
+    spark = next(iter(slices[0].values())).sparkSession
+    progress = []
+    for part in slices:
+        for table, rows in part.items():
+            rows.write.mode("append").parquet(f"{folder}/in/{table}")
+        streams = {t: spark.readStream.schema(spark.read.parquet(f"{folder}/in/{t}").schema).parquet(f"{folder}/in/{t}") for t in slices[0]}
+        handle = start_to_parquet(out := build(streams), f"{folder}/out", f"{name}-{len(progress)}", checkpoint=f"{folder}/checkpoint")
+        handle.awaitTermination()
+        progress += list(handle.recentProgress)
+    return spark.read.schema(out.schema).parquet(f"{folder}/out"), progress
+
+
 def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None, mode: str = "append",
                  available_now: bool = True):
     """Drive a stream to completion into an in-memory table (tests, local runs)."""

@@ -1,3 +1,4 @@
+import datetime
 import glob
 import json
 import os
@@ -16,6 +17,7 @@ from maintspark.operators.labels import failure_labels
 from maintspark.operators.rolling import rolling_features
 from maintspark.sources import adapt as A
 from maintspark.sources import io as IO
+from maintspark.catalog.streams import slices_of
 from maintspark.streaming import stream as X
 
 
@@ -105,21 +107,45 @@ def test_rolling_stream_equals_batch_and_flags_late(spark, scratch):
     got = spark.table("roll_t")
     cols = exp.columns
     ok = got.filter("status = 'ok'").select(*cols)
+    # a machine's kept readings are the state: 23 rows at most
+    state = h.recentProgress[-1]["stateOperators"][0]["customMetrics"]
+    assert state["numValuesTotal"] <= 23 * exp.select("machineID").distinct().count() if "numValuesTotal" in state else True
     assert ok.count() == exp.count()
     assert round_doubles(ok).exceptAll(round_doubles(exp.select(*cols))).count() == 0
     assert got.filter("status = 'late'").count() == 1
 
 
 def test_label_stream_equals_batch(spark, scratch):
+    """Every reading once: rows that repeat, and rows without a machine or time, too."""
     ev = A.table(spark, SF_SMALL, "events")
-    tel, fail = A.telemetry_from_events(ev), A.failures_from_events(ev)
-    tel.write.parquet(f"{scratch}/tel")
-    fail.write.parquet(f"{scratch}/fail")
-    rs = spark.readStream.schema(tel.schema).parquet(f"{scratch}/tel")
-    fs = spark.readStream.schema(fail.schema).parquet(f"{scratch}/fail")
-    X.run_to_table(X.label_stream(rs, fs), "lab_t", f"{scratch}/ck2")
-    exp = failure_labels(tel, fail).filter("failure_within_window = 1").count()
-    assert spark.table("lab_t").count() == exp
+    fail = A.failures_from_events(ev)
+    tel = A.telemetry_from_events(ev)
+    odd = tel.limit(3)
+    tel = tel.unionByName(odd).unionByName(odd.withColumn("machineID", F.lit(None).cast("long"))) \
+        .unionByName(odd.withColumn("datetime", F.lit(None).cast("timestamp_ntz")))
+    fail = fail.unionByName(fail.limit(2)).unionByName(fail.limit(1).withColumn("machineID", F.lit(None).cast("long")))
+    closing = X.closing_rows(tel, fail)
+    parts = [{"r": r, "f": f} for r, f in zip(slices_of(tel, "datetime", 2), slices_of(fail, "datetime", 2))]
+    out, progress = X.follow([*parts, {"r": closing[0], "f": closing[1]}], f"{scratch}/labels",
+                             lambda s: X.label_stream(s["r"], s["f"]), "labels")
+    exp = failure_labels(tel, fail)
+    assert out.columns == exp.columns and out.count() == exp.count() == tel.count()
+    assert out.exceptAll(exp).count() == 0
+    assert X.late_failures(out, fail).count() == 0
+    # the state is empty but for the closing rows
+    last = [o for o in progress[-1]["stateOperators"] if o["operatorName"] == "symmetricHashJoin"]
+    assert sum(o["numRowsTotal"] for o in last) <= 2
+
+
+def test_label_stream_gives_nothing_before_it_is_known(spark, scratch):
+    at = lambda d, h: datetime.datetime(2024, 1, d, h)
+    tel = spark.createDataFrame([(at(1, 0), 1, 1.0), (at(1, 1), 2, 2.0), (at(9, 0), 1, 3.0)], "datetime timestamp_ntz, machineID long, volt double")
+    fail = spark.createDataFrame([(at(2, 0), 1), (at(9, 0), 3)], "datetime timestamp_ntz, machineID long")
+    out, _ = X.follow([{"r": tel, "f": fail}], f"{scratch}/open", lambda s: X.label_stream(s["r"], s["f"]), "open")
+    # machine 1's last reading may still fail by the twelfth
+    assert sorted((r.machineID, r.volt, r.failure_within_window) for r in out.collect()) == [(1, 1.0, 1), (2, 2.0, 0)]
+    missed = X.late_failures(out, spark.createDataFrame([(at(2, 0), 1), (at(3, 0), 2), (at(3, 0), 2)], fail.schema)).collect()
+    assert [tuple(r) for r in missed] == [(2, at(3, 0), 2, 2)]
 
 
 def test_rollup_stream_drops_late_rows(spark, scratch):
@@ -153,6 +179,38 @@ def test_rollup_stream_drops_late_rows(spark, scratch):
     assert first.requests == 5
 
 
+@pytest.mark.parametrize("kept", [0, 1, 5, 23])
+def test_window_statistics_equal_pandas(kept):
+    rng = np.random.default_rng(kept)
+    v = rng.normal(0, 5, (60, 3))
+    v[rng.random(v.shape) < 0.3] = np.nan
+    v[30:56, 1] = np.nan
+    stats, windows = ["mean", "std", "max", "min"], [3, 24]
+    want = pd.concat([getattr(pd.Series(v[:, j]).rolling(w, min_periods=1), st)() for w in windows for j in range(3) for st in stats], axis=1)
+    got = X.window_statistics(v, kept, windows, stats)
+    np.testing.assert_allclose(got, want.to_numpy()[kept:], rtol=1e-9, atol=1e-12)
+
+
+def test_rolling_stream_resumes_and_keeps_little(spark, scratch):
+    tel = A.telemetry_from_events(A.table(spark, SF_SMALL, "events")).where("machineID <= 6")
+    tel = tel.unionByName(tel.where("machineID = 2").withColumn("machineID", F.lit(None).cast("long")))
+    parts = [{"t": p} for p in slices_of(tel, "datetime", 3)]
+    out, progress = X.follow(parts, f"{scratch}/roll", lambda s: X.rolling_stream(s["t"], tie="tie"), "roll")
+    exp = rolling_features(tel, tie="tie")
+    assert out.where("status = 'ok'").count() == out.count() == exp.count()
+    diff = round_doubles(out.select(*exp.columns)).exceptAll(round_doubles(exp)).groupBy("machineID").count().collect()
+    assert diff == []
+    assert progress[-1]["stateOperators"][0]["customMetrics"]["rocksdbBytesCopied"] >= 0
+
+
+def test_text_cells_stay_as_they_are(spark, scratch):
+    with open(f"{scratch}/f.csv", "w") as f:
+        f.write("datetime,machineID,failure\n2024-01-05,1,none\n2024-01-05,2,-\n2024-01-05,3, comp1 \n2024-01-05,4,NA\n2024-01-05, 5 ,\n2024-01-05,nan,x\n")
+    good, bad = IO.read_failures_csv(spark, f"{scratch}/f.csv")
+    assert [(r.machineID, r.failure) for r in good.collect()] == [(1, "none"), (2, "-"), (3, " comp1 "), (4, None), (5, None), (None, "x")]
+    assert bad.count() == 0
+
+
 def test_csv_file_stream(spark, scratch):
     os.makedirs(f"{scratch}/in")
     for i in range(3):
