@@ -125,10 +125,9 @@ n AS (SELECT *, row_number() OVER (PARTITION BY machineID ORDER BY datetime DESC
 SELECT * EXCLUDE (rn) FROM n WHERE rn = 1""")
 def latest_features_q(spark, sf):
     """K6: features of the newest reading per machine, from real history."""
-    from ..plans.features import feature_table
+    from ..plans.features import latest_features
     ev = A.table(spark, sf, "events")
-    ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie")
-    return SC.latest_per_key(ft)
+    return latest_features(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie")
 
 
 SHARES = AS.traffic_split(["v1", "v2"], "v3", 10)

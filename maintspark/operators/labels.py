@@ -20,12 +20,12 @@ join that AQE can split when one (machine, bucket) is hot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.expr import add_micros, epoch_micros
-from ..plans.sizing import BROADCAST_ROWS, has_at_most
+from ..plans.sizing import BROADCAST_ROWS, has_at_most, materialize
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -101,11 +101,43 @@ def label_pairs(telemetry: DataFrame, failures: DataFrame, days: float = S.PREDI
     return r.join(f, cond, "inner").drop("_b", "_fkey")
 
 
+def marked_total(telemetry: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS, key: str = S.KEY,
+                 time: str = S.TIME, bucket_us: int = HOUR_US) -> DataFrame:
+    """Number of (reading, failure) pairs with ``f - H <= t < f``, without making them.
+
+    A failure counts its machine's readings before ``f`` less those before ``f - H``. The number
+    before an instant is that of the earlier buckets (a running sum over one row a machine and
+    bucket) and that of its own bucket's earlier readings (a running count over the bucket's
+    readings and instants). Only buckets with an instant are ordered."""
+    H = int(round(days * DAY_US))
+    at = F.floor(epoch_micros("_t") / F.lit(bucket_us)).cast("long")
+    r = (telemetry.select(F.col(key).alias("_k"), F.col(time).alias("_t")).where("_k is not null and _t is not null")
+         .withColumn("_b", at))
+    f = failures.select(F.col(key).alias("_k"), F.col(time).alias("_f")).where("_k is not null and _f is not null")
+    ends = f.select("_k", F.explode(F.array(F.struct(F.col("_f").alias("t"), F.lit(1).alias("s")),
+                                            F.struct(add_micros("_f", -H).alias("t"), F.lit(-1).alias("s")))).alias("e"))
+    # equal instants of a machine count together; those that cancel out tell nothing
+    ends = (ends.groupBy("_k", F.col("e.t").alias("_t")).agg(F.sum("e.s").alias("_s")).where("_s <> 0").withColumn("_b", at))
+    ends = materialize(ends, "instants")
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    per_bucket = r.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"), F.lit(0).cast("long").alias("_w")) \
+        .unionByName(ends.groupBy("_k", "_b").agg(none.alias("_n"), F.sum("_s").alias("_w")))
+    per_bucket = per_bucket.groupBy("_k", "_b").agg(F.sum("_n").alias("_n"), F.sum("_w").alias("_w"))
+    earlier = F.sum("_n").over(Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    whole = per_bucket.select((F.coalesce(earlier, none) * F.col("_w")).alias("c"))
+    some = r.join(ends.select("_k", "_b").distinct(), ["_k", "_b"], "left_semi")
+    mixed = some.select("_k", "_b", "_t", one.alias("_n"), none.alias("_s")) \
+        .unionByName(ends.select("_k", "_b", "_t", none.alias("_n"), "_s"))
+    # an instant comes before the readings of its own time: they are not before it
+    before = F.sum("_n").over(Window.partitionBy("_k", "_b").orderBy("_t", "_n").rowsBetween(Window.unboundedPreceding, 0))
+    inside = mixed.select("_s", before.alias("_c")).where("_s <> 0").select((F.col("_c") * F.col("_s")).alias("c"))
+    return whole.unionByName(inside).agg(F.coalesce(F.sum("c"), none).alias("marked_total"))
+
+
 def label_counts(telemetry: DataFrame, failures: DataFrame, days: float = S.PREDICTION_WINDOW_DAYS,
                  key: str = S.KEY, time: str = S.TIME, label: str = S.LABEL) -> DataFrame:
     """Pairs marked (overlaps counted again) vs distinct positive readings, and the rate."""
-    pairs = label_pairs(telemetry, failures, days, key, time, failure_cols=()).agg(
-        F.count(F.lit(1)).alias("marked_total"))
+    pairs = marked_total(telemetry, failures, days, key, time)
     labeled = failure_labels(telemetry, failures, days, key, time, label).agg(
         F.count(F.lit(1)).cast("long").alias("total_rows"),
         F.sum(label).cast("long").alias("positive_rows"),

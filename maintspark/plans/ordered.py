@@ -4,7 +4,7 @@
 task. The plan here is the classic two-pass scan:
 
 1. range-partition the input on the order key and tag each row with its
-   partition id; the tagged table is checkpointed so both passes below see the
+   partition id; the tagged table is written so that both passes below see the
    same partition of every row (also after an executor loss);
 2. one summary row per partition (sum, or last non-null value) -> the exclusive
    prefix over at most ``n`` partition rows, joined back by broadcast
@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import shuffle_partitions
+from .sizing import materialize
 
 _PID = "_scan_pid"
 # Inputs with a proven row count up to this size are scanned in one task.
@@ -37,29 +37,17 @@ def _order_cols(order: Sequence) -> list[Column]:
 def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
     """Range-partitioned, partition-tagged and checkpointed copy of ``df``.
 
-    The input is persisted (memory, spilling to disk) for the jobs that read it --
-    its count, the range sampling, the checkpoint's count and its write -- so it is
-    computed once; the copies are released once the checkpoint exists. The number
-    of range partitions follows the row count (about ``ROWS_PER_PARTITION`` each);
+    The input is written once; its count, the range sampling and the shuffle read that table.
+    The number of range partitions follows the row count (about ``ROWS_PER_PARTITION`` each);
     an input of at most ``SINGLE_TASK_ROWS`` rows is one partition."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = None
-    try:
-        rows = src.count()
-        if rows <= SINGLE_TASK_ROWS:
-            return src.coalesce(1).withColumn(_PID, F.lit(0)).checkpoint(eager=True)
-        n = num_partitions or min(shuffle_partitions(spark), -(-rows // ROWS_PER_PARTITION))
-        ranged = (src.repartitionByRange(max(n, 2), *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
-                     .persist(StorageLevel.MEMORY_AND_DISK))
-        return ranged.checkpoint(eager=True)
-    finally:
-        if ranged is not None:
-            ranged.unpersist()
-        src.unpersist()
-
-
+    src = materialize(df, "scan")
+    rows = src.count()
+    if rows <= SINGLE_TASK_ROWS:
+        return src.coalesce(1).withColumn(_PID, F.lit(0))
+    n = num_partitions or min(shuffle_partitions(spark), -(-rows // ROWS_PER_PARTITION))
+    ranged = src.repartitionByRange(max(n, 2), *_order_cols(order)).withColumn(_PID, F.spark_partition_id())
+    return materialize(ranged, "ranges")
 
 
 def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Rows of a narrow side table that may be broadcast (a few tens of MB at most).
 BROADCAST_ROWS = 2_000_000
 
@@ -21,14 +24,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (in ``spark.checkpoint.dir``) computing ``df`` once: it is
-    persisted for the checkpoint's count and write, then released. Use it for tables
-    read by two branches of a plan, which Spark would otherwise compute twice."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet below the shared checkpoint folder and read back: its
+    lineage ends there, and nothing is kept on the executors. Use it for tables read by
+    several jobs or branches of a plan, which Spark would otherwise compute for each."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL, make_telemetry, to_spark
 from maintspark import schemas as S
@@ -263,7 +264,7 @@ def test_rolling_stream_with_machine_fill_equals_batch(spark, scratch):
     from maintspark.operators.fill import frame_fill
     pdf = make_telemetry(400, 4, nulls=0.2)
     pdf["tie"] = np.arange(len(pdf))
-    tel = to_spark(spark, pdf, S.TELEMETRY.add("tie", "long"))
+    tel = to_spark(spark, pdf, T.StructType([*S.TELEMETRY.fields, T.StructField("tie", T.LongType())]))
     src = _file_stream_dir(spark, tel, scratch)
     st = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
     X.run_to_table(X.rolling_stream(st, tie="tie", fill=True), "roll_fill", f"{scratch}/ck6")
