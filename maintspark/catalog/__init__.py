@@ -39,7 +39,7 @@ def r6(expr: str, alias: str | None = None) -> str:
 
 
 def load_all() -> None:
-    from . import (features, profile, prep, evaluation, scoring, monitoring, runs, streams, training)  # noqa: F401
+    from . import (features, profile, prep, evaluation, scoring, monitoring, runs, sources, streams, training)  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,6 +8,7 @@ apart instead of failing the job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +109,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     """CSV files with a header, one a task; times with microseconds, missing values empty."""
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     told = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in times}) if times else df
-    told.write.mode(mode).option("header", True).csv(path)
+    told.write.mode(mode).options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def _require(spark: SparkSession, path: str) -> None:
@@ -119,13 +120,33 @@ def _require(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(path)
 
 
+#: Partition column of stages; a table's own column ``month`` is left alone.
+STAGE_MONTH = "_stage_month"
+
+
+def stage_name(name: str) -> str:
+    """A table name of this session that is not yet taken."""
+    return f"stage_{name}_{uuid.uuid4().hex}"
+
+
+def write_stage_table(df: DataFrame, name: str, path: str, key: str = S.KEY, time: str = S.TIME, buckets: int | None = None) -> None:
+    """S5 as the table ``name`` at ``path``: by month, within it bucketed by machine and sorted by
+    time. Windows and joins by machine over the table need no exchange, and a filter on
+    ``STAGE_MONTH`` reads its months only. ``buckets``: the session's shuffle partitions by default.
+    The rows are dealt by machine before they are written, so a bucket of a month is one file."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn(STAGE_MONTH, F.date_format(F.col(time), "yyyy-MM")).repartition(n, key)
+    dealt.write.partitionBy(STAGE_MONTH).bucketBy(n, key).sortBy(key, time).option("path", path).format("parquet").saveAsTable(name)
+
+
 def write_stage(df: DataFrame, path: str, time: str | None = S.TIME, mode: str = "overwrite") -> None:
     """Stage interchange as parquet, partitioned by month of ``time`` (not by machine:
     machines are many, months few); ``read_stage`` selects months by time."""
     w = df
     if time and time in df.columns:
-        w = df.withColumn("month", F.date_format(F.col(time), "yyyy-MM"))
-        w.write.mode(mode).partitionBy("month").parquet(path)
+        w = df.withColumn(STAGE_MONTH, F.date_format(F.col(time), "yyyy-MM"))
+        w.write.mode(mode).partitionBy(STAGE_MONTH).parquet(path)
     else:
         w.write.mode(mode).parquet(path)
 
@@ -135,13 +156,13 @@ def read_stage(spark: SparkSession, path: str, time_from: str | None = None, tim
     """A written stage with its own columns. ``time_from`` (included) and ``time_to``
     (excluded) also select the months, so other partitions are not read."""
     df = spark.read.parquet(path)
-    if "month" not in df.columns:
+    if STAGE_MONTH not in df.columns:
         return df
     if time_from is not None:
-        df = df.filter((F.col("month") >= time_from[:7]) & (F.col(time) >= F.lit(time_from).cast("timestamp_ntz")))
+        df = df.filter((F.col(STAGE_MONTH) >= time_from[:7]) & (F.col(time) >= F.lit(time_from).cast("timestamp_ntz")))
     if time_to is not None:
-        df = df.filter((F.col("month") <= time_to[:7]) & (F.col(time) < F.lit(time_to).cast("timestamp_ntz")))
-    return df.drop("month")
+        df = df.filter((F.col(STAGE_MONTH) <= time_to[:7]) & (F.col(time) < F.lit(time_to).cast("timestamp_ntz")))
+    return df.drop(STAGE_MONTH)
 
 
 RUN_RECORD = T.StructType([f for f in S.MODEL_RUN.fields])

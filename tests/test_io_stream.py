@@ -322,4 +322,29 @@ def test_stage_round_trip_keeps_columns(spark, scratch):
     assert IO.read_stage(spark, path).columns == df.columns
     part = IO.read_stage(spark, path, "2024-02-01", "2024-02-10 12:00:00")
     assert part.count() == 9 * 24 + 12
-    assert "PartitionFilters: [isnotnull(month" in part._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_stage_month" in part._jdf.queryExecution().toString()
+
+
+def test_stage_keeps_its_own_month(spark, scratch):
+    df = to_spark(spark, make_telemetry(100, 3)).withColumn("month", F.lit("mine"))
+    IO.write_stage(df, f"{scratch}/stage")
+    back = IO.read_stage(spark, f"{scratch}/stage")
+    assert back.columns == df.columns and back.select("month").distinct().collect() == [("mine",)]
+
+
+def test_stage_table_needs_no_exchange(spark, scratch):
+    pdf = make_telemetry(2000, 7)
+    pdf["month"] = "mine"
+    df = spark.createDataFrame(pdf)
+    df = df.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+    name = IO.stage_name("t")
+    IO.write_stage_table(df, name, f"{scratch}/t")
+    table = spark.table(name)
+    assert table.drop(IO.STAGE_MONTH).exceptAll(df).count() == 0 and table.count() == 2000
+    rolled = rolling_features(table.drop(IO.STAGE_MONTH, "month"))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    assert round_doubles(rolled).exceptAll(round_doubles(rolling_features(df.drop("month")))).count() == 0
+    some = table.where(F.col(IO.STAGE_MONTH) == "2024-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_stage_month" in some
+    spark.sql(f"DROP TABLE {name}")
