@@ -129,7 +129,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     parsed = F.try_parse_json("arguments")
     record = F.struct(parsed.alias("arguments"), "call_id", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"),
                       "errors", "name", "result", F.lit("call").alias("role"), "seq", "status")
-    return x.select(*KEY, "seq", "status", "n_results", "errors", F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
+    return x.select(*KEY, "seq", "status", "n_results", "errors", F.to_json(record, {"ignoreNullFields": "false"}).alias("json"), "arguments")
 
 
 # --- calls and results of plain conversations ---------------------------------------------
@@ -151,7 +151,8 @@ def format_conversations(turns: DataFrame, schemas: DataFrame) -> DataFrame:
     Each user turn is a call (``search`` up to 40 words, ``summarise`` beyond) that depends on
     the call two turns before, and on the first call of the conversation's turn 0 or 1 if its
     text has an even number of characters; the assistant turn after it is its result. Other
-    turns are plain messages."""
+    turns are plain messages. Of user rows that repeat a turn with different texts the linked
+    call is one; the others have status ``repeated`` and their own text as ``content``."""
     t = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     n = F.size(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
     short = n <= SEARCH_WORDS
@@ -165,16 +166,17 @@ def format_conversations(turns: DataFrame, schemas: DataFrame) -> DataFrame:
                                            F.when(short, "search").otherwise("summarise").alias("name"), args.alias("arguments"), depends.alias("depends_on"))
     answers = t.where("role = 'assistant'").select("conv_id", call_id(F.col("conv_id"), F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     linked = write_table(link_tool_calls(user, answers, schemas), "linked")
-    x = t.withColumn("call_id", F.when(F.col("role") == "user", call_id(F.col("conv_id"), F.col("turn")))
+    x = t.withColumn("_own", args).withColumn("call_id", F.when(F.col("role") == "user", call_id(F.col("conv_id"), F.col("turn")))
                      .when(F.col("role") == "assistant", call_id(F.col("conv_id"), F.col("turn") - 1)))
     # turns without an identifier are dealt out by a key that no call has
     x = x.withColumn("_key", F.coalesce("call_id", F.concat(F.lit("~"), F.xxhash64("conv_id", "turn", "text").cast("string"))))
-    x = x.join(linked.select(F.col("call_id").alias("_key"), "seq", F.col("status").alias("call_status"), "errors", F.col("json").alias("call_json")), "_key", "left")
+    x = x.join(linked.select(F.col("call_id").alias("_key"), "seq", F.col("status").alias("call_status"), "errors", F.col("json").alias("call_json"), F.col("arguments").alias("_linked")), "_key", "left")
     is_call, is_result = F.coalesce(F.col("role") == "user", F.lit(False)), F.coalesce(F.col("role") == "assistant", F.lit(False))
-    status = F.when((is_call | is_result) & F.col("call_id").isNull(), "unidentified").when(is_call, F.col("call_status")) \
+    linked_call = is_call & F.col("_own").eqNullSafe(F.col("_linked"))
+    status = F.when((is_call | is_result) & F.col("call_id").isNull(), "unidentified").when(linked_call, F.col("call_status")).when(is_call, "repeated") \
         .when(is_result, F.when(F.col("seq").isNull(), "orphan").otherwise("result")).otherwise("message")
     x = x.withColumn("status", status)
     plain = F.to_json(F.struct("call_id", F.col("text").alias("content"), "role", "status"), {"ignoreNullFields": "false"})
     return x.select("conv_id", "turn", "role", "call_id", F.when(is_call, F.col("seq")).alias("seq"), "status",
                     F.when(is_call, F.array_join("errors", ",")).alias("errors"),
-                    F.when(is_call, F.coalesce("call_json", plain)).otherwise(plain).alias("json"))
+                    F.when(linked_call, F.coalesce("call_json", plain)).otherwise(plain).alias("json"))

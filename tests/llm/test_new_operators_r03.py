@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from maintspark.llm import license_scan, line_dedup, merkle, vector_codes
+from maintspark.llm import license_scan, line_dedup, merkle, tool_chat, vector_codes
 from maintspark.llm.textbytes import ALNUM, words
 
 from . import brute
@@ -328,3 +328,17 @@ def test_structured_lines_do_not_collide(spark):
         docs = [(1, " ".join(thue_morse(n, "left", "right"))), (2, " ".join(thue_morse(n, "right", "left")))]
         df = spark.createDataFrame(docs, "doc_id long, text string")
         assert line_dedup.dedup_lines(df).count() == 2
+
+
+# --- 9 -----------------------------------------------------------------------------------
+
+def test_no_text_of_a_repeated_turn_is_lost(spark):
+    turns = [(1, 0, "user", "first text"), (1, 0, "user", "second text"), (1, 0, "user", "second text"), (1, 1, "assistant", "yes"),
+             (1, 1, "assistant", "no"), (2, 0, "user", None), (2, 0, "user", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = tool_chat.format_conversations(df, spark.createDataFrame(tool_chat.SCHEMAS, tool_chat.SCHEMA_COLUMNS)).collect()
+    assert len(got) == len(turns)
+    for text, n in (("first text", 1), ("second text", 2), ('"yes"', 1), ('"no"', 1), ('"x"', 1)):
+        told = [r for r in got if text in r.json and (r.role == "user" or text in ('"yes"', '"no"'))]
+        assert len(told) >= n, text
+    assert sorted(r.status for r in got if r.conv_id == 1 and r.role == "user") in (["ok", "repeated", "repeated"], ["ok", "ok", "repeated"])
