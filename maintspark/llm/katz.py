@@ -2,19 +2,23 @@
 
 1. Texts become blocks of about ``BLOCK_BYTES``: the block's own vocabulary (64-bit word
    hashes) and its tokens as numbers in it. Every document ends with one end token.
-2. Word counts of the training documents are summed over all blocks. Words are numbered by
-   falling count (0: unknown) and the numbers handed back to the blocks; since numbers follow
-   counts, a table of the distinct counts tells every number's count.
-3. Tokens go to parts by their context (the word before; the start before the first).
-   A context with very many tokens is cut by the next word as well, so no part holds more
-   than a bounded share of them. Each part's rows become one row of the model table: its
-   distinct bigrams with training counts, and the tokens of all documents that ask for them.
-4. Counts of counts are summed over the parts; they give the Good-Turing discounts.
-5. Each token is evaluated recursively: a seen bigram has its discounted share; an unseen one
+2. Vocabularies go to parts by ranges of hashes, which add up the words' training counts. Words
+   are numbered by falling count (0: unknown), part by part, and the numbers handed back to the
+   blocks; since numbers follow counts, a table of the distinct counts tells every number's count.
+3. A block's distinct bigrams, each once with its training count, go to parts by their context
+   (the word before; the start before the first). A context with very many tokens is cut by the
+   next word as well, in pieces by its count, so no part holds more than a bounded share. A
+   frequent bigram is one entry a block, however often it occurs there. Each part's rows become
+   one row of the model table: its distinct bigrams with training counts, and which of them
+   every block asks for.
+4. Counts of counts are summed over the parts; they give the Good-Turing discounts. The sums of
+   cut contexts are summed by context and joined back to their parts.
+5. Each bigram is evaluated recursively: a seen bigram has its discounted share; an unseen one
    gets the context's backoff weight times the word's probability; an unknown context leaves
    the word's probability; an unknown word has the whole unseen mass of the unigrams. Weights
    are exact: ``alpha = (1 - sum of seen P(w|v)) / (1 - sum of their P(w))``.
-6. Log probabilities are summed per document.
+6. The answers go back to the blocks, whose tokens look them up; log probabilities are summed
+   per document.
 
 Defined results: a null text is empty and has its end token only; without training documents
 every token is unknown; documents with a null id are held in training (they have no
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordered import global_row_index
+from ..plans.ordered import global_scan
 from ..session import shuffle_partitions
 from .store import drop_table, release_shuffles, write_table
 from .textbytes import NOT_SPACE, chunks, lean, mix, words
@@ -40,7 +44,7 @@ BLOCK_BYTES = 8 << 20
 PART_TOKENS = 1_000_000
 #: Discounts apply to counts up to this (Katz's k).
 DISCOUNT_TO = 5
-#: Contexts with more than 1 / (HOT * parts) of the tokens are cut by the next word.
+#: Contexts are cut by the next word into one piece for every 1 / (HOT * parts) of the tokens.
 HOT = 4
 END = np.uint64(2)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -67,7 +71,7 @@ def _rows(**cols) -> pa.RecordBatch:
 
 # --- blocks ------------------------------------------------------------------------------
 
-BLOCKS = "block long, vocab binary, train binary, tokens binary, ends binary, doc_id array<long>, held array<boolean>"
+BLOCKS = "block long, n_vocab long, vocab binary, train binary, tokens binary, ends binary, doc_id array<long>, held array<boolean>"
 
 
 def _blocks(batches):
@@ -85,50 +89,111 @@ def _blocks(batches):
             vocab, ids = np.unique(h, return_inverse=True)
             held = np.asarray(c.column(1).fill_null(False)).astype(bool)
             train = np.bincount(ids, np.repeat(~held, n + 1), len(vocab)).astype(np.int64)
-            yield _rows(block=pa.array([block]), vocab=pa.array([vocab.tobytes()], pa.binary()), train=pa.array([pack(train)], pa.binary()),
+            yield _rows(block=pa.array([block]), n_vocab=pa.array([len(vocab)]), vocab=pa.array([pack(np.diff(vocab, prepend=np.uint64(0)))], pa.binary()), train=pa.array([pack(train)], pa.binary()),
                         tokens=pa.array([pack(ids.astype(np.uint32))], pa.binary()), ends=pa.array([pack(ends)], pa.binary()),
                         doc_id=pa.array([c.column(0).to_pylist()], pa.list_(pa.int64())), held=pa.array([held.tolist()], pa.list_(pa.bool_())))
             block += 1
 
 
-def _vocabulary(batches):
+def _each(batches):
     for b in batches:
-        for block, vocab, train in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            v = np.frombuffer(vocab, np.uint64)
-            yield _rows(word=pa.array(v.astype(np.int64)), block=pa.array(np.full(len(v), block)),
-                        i=pa.array(np.arange(len(v), dtype=np.int32)), c=pa.array(unpack(train)))
-
-
-def _numbered(blocks: DataFrame, vocab: DataFrame, unigrams: DataFrame) -> DataFrame:
-    """Blocks with every token as the corpus-wide number of its word."""
-    order = [F.col("c").desc(), F.col("word").asc()]
-    ids = global_row_index(unigrams, order, name="i0").select("word", (F.col("i0") + 1).alias("id"))
-    ids = write_table(ids, "word-numbers")
-    known = vocab.select("word", "block", "i").join(ids, "word") \
-        .groupBy("block").agg(F.collect_list(F.struct("i", "id")).alias("known"))
-    known = write_table(known, "known-words")
-    drop_table(ids)
-    release_shuffles(blocks.sparkSession)  # before the blocks themselves are shuffled
-
-    def put(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                b = batch.slice(row, 1)
-                col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
-                got = col["known"][0].values
-                number = np.zeros(len(col["vocab"][0].as_buffer()) // 8, np.int64)
-                if got is not None and len(got):
-                    number[np.asarray(got.field("i"))] = np.asarray(got.field("id"))
-                ids = number[unpack(col["tokens"][0].as_py())]
-                kind = np.uint32 if not len(ids) or ids.max() < 2**32 else np.uint64
-                yield _rows(block=col["block"], tokens=pa.array([pack(ids.astype(kind))], pa.binary()), ends=col["ends"],
-                            doc_id=col["doc_id"], held=col["held"])
-
-    out = blocks.drop("train").join(known, "block", "left") \
-        .mapInArrow(lean(put), "block long, tokens binary, ends binary, doc_id array<long>, held array<boolean>")
+        for row in range(b.num_rows):
+            yield {k: b.column(i)[row].as_py() for i, k in enumerate(b.schema.names)}
+
+
+# --- words -------------------------------------------------------------------------------
+
+def _words_asked(parts: int):
+    """Blocks -> (part, block, word, n): the words of a part, a range of hashes, with their training counts."""
+    def run(batches):
+        for row in _each(batches):
+            word, n = np.cumsum(unpack(row["vocab"]), dtype=np.uint64), unpack(row["train"])
+            part = ((word >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+            at = np.flatnonzero(np.diff(part, prepend=-1))
+            cut = list(zip(at, np.r_[at[1:], len(part)]))
+            yield _rows(part=pa.array(part[at]), block=pa.array(np.full(len(at), row["block"])),
+                        word=pa.array([pack(np.diff(word[i:j], prepend=np.uint64(0))) for i, j in cut], pa.binary()),
+                        n=pa.array([pack(n[i:j]) for i, j in cut], pa.binary()))
+    return run
+
+
+WORDS = "part int, n binary, starts long, block binary, size binary, pair binary"
+
+
+def _word_part(table: pa.Table) -> pa.Table:
+    """All rows of a part -> its row: the counts of its words, those of the end token, and what
+    every block asks for (its words' places, as steps)."""
+    each, n = ([unpack(x.as_py()) for x in table.column(k)] for k in ("word", "n"))
+    size = np.array([len(x) for x in each], np.int64)
+    word, pair = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in each]), return_inverse=True)
+    n = np.bincount(pair, np.concatenate(n), len(word)).astype(np.int64)
+    row = {"n": pack(n), "block": pack(np.asarray(table.column("block"))), "size": pack(size), "pair": pack(np.diff(pair, prepend=0))}
+    return pa.table({"part": table.column("part")[:1], "starts": pa.array([int(n[word == END].sum())]),
+                     **{k: pa.array([x], pa.binary()) for k, x in row.items()}}).select(["part", "n", "starts", "block", "size", "pair"])
+
+
+def _classes(batches):
+    """(part, c, k): how many words of a part have the count c."""
+    for row in _each(batches):
+        n = unpack(row["n"])
+        c, k = np.unique(n[n > 0], return_counts=True)
+        yield _rows(part=pa.array(np.full(len(c), row["part"], np.int32)), c=pa.array(c), k=pa.array(k.astype(np.int64)))
+
+
+def _asked(row: dict):
+    """(block, places) of every block that asks a part."""
+    pair, size = np.cumsum(unpack(row["pair"])), unpack(row["size"])
+    for block, to, k in zip(unpack(row["block"]).tolist(), np.cumsum(size).tolist(), size.tolist()):
+        yield block, pair[to - k:to]
+
+
+def _word_numbers(batches):
+    """(block, part, ids): the numbers of a block's words. ``first``: number of the part's first word of a count."""
+    for row in _each(batches):
+        n = unpack(row["n"])
+        first = {r["c"]: r["first"] for r in row["first"] or ()}
+        order = np.argsort(-n, kind="stable")
+        c, at, k = np.unique(-n[order], return_index=True, return_counts=True)
+        ids = np.zeros(len(n), np.int64)
+        ids[order] = np.where(n[order] > 0, np.repeat(np.array([first.get(-x, 0) for x in c.tolist()], np.int64) - at, k) + np.arange(len(n)), 0)
+        for block, places in _asked(row):
+            yield _rows(block=pa.array([block]), part=pa.array([row["part"]], pa.int32()), ids=pa.array([pack(ids[places])], pa.binary()))
+
+
+NUMBERED = "block long, tokens binary, ends binary, doc_id array<long>, held array<boolean>"
+
+
+def _put(block: pa.Table, answers: pa.Table) -> pa.Table:
+    told = sorted(zip(answers.column("part").to_pylist(), answers.column("ids").to_pylist()))
+    number = np.concatenate([unpack(ids) for _, ids in told])  # parts are ranges of the sorted vocabulary
+    ids = number[unpack(block.column("tokens")[0].as_py())]
+    ids = ids.astype(np.uint32 if ids.max() < 2**32 else np.uint64)
+    return pa.table({"block": block.column("block"), "tokens": pa.array([pack(ids)], pa.binary()),
+                     **{k: block.column(k) for k in ("ends", "doc_id", "held")}})
+
+
+def _numbered(blocks: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
+    """Blocks with every token as the corpus-wide number of its word; {count: number of words};
+    training documents."""
+    spark = blocks.sparkSession
+    entries = blocks.agg(F.sum("n_vocab")).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-entries // PART_TOKENS))
+    words_ = blocks.select("block", "vocab", "train").mapInArrow(lean(_words_asked(parts)), "part int, block long, word binary, n binary") \
+        .groupBy("part").applyInArrow(_word_part, WORDS)
+    words_ = write_table(words_, "words")
+    release_shuffles(spark)
+    classes = write_table(words_.select("part", "n").mapInArrow(lean(_classes), "part int, c long, k long"), "word-classes")
+    # distinct counts: their sum is the number of tokens at most, so there are few (its square root)
+    told = {r.c: r.k for r in classes.groupBy("c").agg(F.sum("k").alias("k")).collect()}
+    starts = words_.agg(F.sum("starts")).first()[0] or 0
+    first = global_scan(classes, [F.col("c").desc(), F.col("part").asc()], sums=["k"]) \
+        .groupBy("part").agg(F.collect_list(F.struct("c", (F.col("k_cum") - F.col("k") + 1).alias("first"))).alias("first"))
+    answers = words_.join(first, "part", "left").mapInArrow(lean(_word_numbers), "block long, part int, ids binary")
+    out = blocks.select("block", "tokens", "ends", "doc_id", "held").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_put, NUMBERED)
     out = write_table(out, "numbered-blocks")
-    drop_table(known)
-    return out
+    drop_table(words_)
+    drop_table(classes)
+    return out, told, starts
 
 
 # --- discounts ---------------------------------------------------------------------------
@@ -149,9 +214,10 @@ def discounts(counts_of_counts: dict[int, int], k: int = DISCOUNT_TO) -> np.ndar
 
 class Unigrams:
     """P(w) by count: discounted shares; the unknown word has all of the rest. ``classes``:
-    {count: number of words}; a word's number tells its count."""
+    {count: number of words}; a word's number tells its count. ``starts``: training documents."""
 
-    def __init__(self, classes: dict[int, int]):
+    def __init__(self, classes: dict[int, int], starts: int = 0):
+        self.starts = starts
         self.counts = np.array(sorted(classes, reverse=True), np.int64)
         words_ = np.array([classes[c] for c in self.counts.tolist()], np.int64)
         self.last = np.cumsum(words_)  # numbers up to this have at least the count
@@ -174,86 +240,102 @@ class Unigrams:
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-    def hot(self, parts: int) -> int:
-        """Words numbered up to this have more than 1 / (HOT * parts) of all tokens."""
-        return int(self.last[np.flatnonzero(self.counts > self.total / (HOT * parts))].max(initial=0))
+    def pieces(self, v: np.ndarray, parts: int) -> np.ndarray:
+        """Parts that a context goes to: HOT for every mean part's worth of tokens. No counts hang
+        on the unknown word, so it goes to all."""
+        n = np.where(v == self.start, self.starts, self.count(v))
+        return np.where(v == 0, parts, np.clip(-(-n * HOT * parts // max(self.total, 1)), 1, parts))
 
 
 # --- parts -------------------------------------------------------------------------------
 
-PART = "part int, v binary, w binary, n binary, pair binary, block binary, doc binary"
-
-
-def _deal(parts: int, uni: Unigrams):
-    """Blocks -> (part, block, v, w, doc, train): the tokens of a part sorted by context and word."""
-    hot = uni.hot(parts)
-
+class _Pairs:
+    """A block's distinct bigrams in the order (part, v, w): all parts get theirs and answer in that order."""
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, uni: Unigrams, parts: int):
+        self.start = np.r_[0, ends[:-1]]
+        before = np.r_[uni.start, ids[:-1]]
+        before[self.start] = uni.start
+        if uni.start < 2**32:
+            order = np.argsort(before.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64), kind="stable")
+        else:
+            order = np.lexsort((ids, before))
+        v, w = before[order], ids[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+        self.first = np.flatnonzero(new)
+        v, w = v[new], w[new]
+        pieces = uni.pieces(v, parts).astype(np.uint64)
+        part = mix(v.astype(np.uint64) + _STEP)
+        cut = pieces > 1
+        part[cut] = mix(part[cut] + mix(w[cut].astype(np.uint64) + _STEP) % pieces[cut] * _STEP)
+        part = (part % np.uint64(parts)).astype(np.int32)
+        by = np.argsort(part, kind="stable")
+        self.part, self.v, self.w, self.order, self.by = part[by], v[by], w[by], order, by
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        #: a token's place among the bigrams
+        self.of = np.empty(len(ids), np.int64)
+        self.of[order] = place[np.cumsum(new) - 1]
+
+    def count(self, train: np.ndarray) -> np.ndarray:
+        """Tokens of training documents a bigram."""
+        return np.add.reduceat(train[self.order].astype(np.int64), self.first)[self.by]
+
+
+def _requests(parts: int, uni: Unigrams):
+    """Blocks -> (part, block, v, w, n): a block's distinct bigrams of a part, with its training counts."""
     def run(batches):
         for b in batches:
             col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
             for row in range(b.num_rows):
                 ids, ends = unpack(col["tokens"][row].as_py()).astype(np.int64), unpack(col["ends"][row].as_py())
-                n = np.diff(np.r_[0, ends])
-                doc = np.repeat(np.arange(len(ends)), n)
-                train = np.repeat(~np.array(col["held"][row].as_py(), bool), n)
-                before = np.r_[uni.start, ids[:-1]]
-                before[np.r_[0, ends[:-1]]] = uni.start
-                part = mix(before.astype(np.uint64) + _STEP)
-                cut = (before <= hot) | (before == uni.start)  # the unknown word too: no counts hang on it
-                part[cut] = mix(part[cut] + ids[cut].astype(np.uint64) * _STEP)
-                part = (part % np.uint64(parts)).astype(np.int32)
-                del cut, n
+                pairs = _Pairs(ids, ends, uni, parts)
+                n = pairs.count(np.repeat(~np.array(col["held"][row].as_py(), bool), np.diff(np.r_[0, ends])))
                 kind = np.uint32 if uni.start < 2**32 else np.uint64
-                ids, before, doc = ids.astype(kind), before.astype(kind), doc.astype(np.uint32)
-                order = np.lexsort((ids, before, part))
-                bounds = np.searchsorted(part, np.arange(parts + 1), sorter=order)
-                for lo in range(0, parts, 64):
-                    out = {k: [] for k in ("part", "block", "v", "w", "doc", "train")}
-                    for q in range(lo, min(lo + 64, parts)):
-                        at = order[bounds[q]:bounds[q + 1]]
-                        if not len(at):
-                            continue
-                        out["part"].append(q)
-                        out["block"].append(col["block"][row].as_py())
-                        for k, x in (("v", np.diff(before[at], prepend=kind(0)).astype(kind)), ("w", ids[at]),
-                                     ("doc", doc[at]), ("train", train[at].astype(np.uint8))):
-                            out[k].append(pack(x))
-                    yield _rows(part=pa.array(out["part"], pa.int32()), block=pa.array(out["block"], pa.int64()),
-                                **{k: pa.array(out[k], pa.binary()) for k in ("v", "w", "doc", "train")})
+                at = np.flatnonzero(np.diff(pairs.part, prepend=-1))
+                to = np.r_[at[1:], len(pairs.part)]
+                for lo in range(0, len(at), 64):
+                    cut = list(zip(at[lo:lo + 64], to[lo:lo + 64]))
+                    yield _rows(part=pa.array(pairs.part[at[lo:lo + 64]]), block=pa.array([col["block"][row].as_py()] * len(cut), pa.int64()),
+                                v=pa.array([pack(np.diff(pairs.v[i:j], prepend=0).astype(kind)) for i, j in cut], pa.binary()),
+                                w=pa.array([pack(pairs.w[i:j].astype(kind)) for i, j in cut], pa.binary()),
+                                n=pa.array([pack(n[i:j]) for i, j in cut], pa.binary()))
     return run
 
 
+PART = "part int, v binary, w binary, n binary, block binary, size binary, pair binary"
+
+
 def _model_part(table: pa.Table) -> pa.Table:
     """All rows of a part -> its row of the model table: distinct bigrams (v as steps, w) with
-    training counts n, and the tokens (step to the next bigram, block, doc)."""
-    cols = {k: table.column(k) for k in ("v", "w", "doc", "train")}
-    each = {k: [unpack(x.as_py()) for x in c] for k, c in cols.items()}
+    training counts n, and what every block asks for (its bigrams' numbers, as steps)."""
+    each = {k: [unpack(x.as_py()) for x in table.column(k)] for k in ("v", "w", "n")}
+    size = np.array([len(x) for x in each["w"]], np.int64)
     kind = each["w"][0].dtype
     v = np.concatenate([np.cumsum(x.astype(np.int64)) for x in each["v"]])
-    w, doc, train = (np.concatenate(each[k]) for k in ("w", "doc", "train"))
-    block = np.repeat(np.asarray(table.column("block")), [len(x) for x in each["doc"]])
+    w, n = np.concatenate(each["w"]), np.concatenate(each["n"])
     del each
-    order = np.lexsort((doc, block, w, v))
-    v, w, doc, train, block = v[order], w[order], doc[order], train[order], block[order]
+    order = np.lexsort((w, v))
+    v, w = v[order], w[order]
     new = np.ones(len(v), bool)
     new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-    n = np.add.reduceat(train.astype(np.int64), np.flatnonzero(new))
-    row = {"part": table.column("part")[0].as_py(), "v": pack(np.diff(v[new], prepend=0).astype(kind)), "w": pack(w[new]), "n": pack(n.astype(np.uint64)),
-           "pair": pack(new.astype(np.uint8)), "block": pack(np.diff(block, prepend=0)), "doc": pack(doc)}
+    pair = np.empty(len(v), np.int64)
+    pair[order] = np.cumsum(new) - 1
+    n = np.add.reduceat(n[order], np.flatnonzero(new))
+    row = {"part": table.column("part")[0].as_py(), "v": pack(np.diff(v[new], prepend=0).astype(kind)), "w": pack(w[new]), "n": pack(n),
+           "block": pack(np.asarray(table.column("block"))), "size": pack(size), "pair": pack(np.diff(pair, prepend=0))}
     return pa.table({k: pa.array([x], pa.int32() if k == "part" else pa.binary()) for k, x in row.items()})
 
 
 class _Part:
-    """A row of the model table, with the sums of its contexts."""
+    """The bigrams of a row of the model table, with the sums of its contexts."""
 
     def __init__(self, row: dict, uni: Unigrams):
         get = lambda k: unpack(row[k])
-        pair_v = np.cumsum(get("v").astype(np.int64))
-        self.v, self.vi = np.unique(pair_v, return_inverse=True)
+        self.v, self.vi = np.unique(np.cumsum(get("v").astype(np.int64)), return_inverse=True)
         self.w_count = uni.count(get("w").astype(np.int64))
-        self.n = get("n").astype(np.int64)
-        self.pair = np.cumsum(get("pair").astype(np.int64)) - 1
-        self.block, self.doc = np.cumsum(get("block")), get("doc").astype(np.int64)
+        self.n = get("n")
         seen = self.n > 0
         vi, n, k = self.vi[seen], self.n[seen], len(self.v)
         #: training tokens, bigrams by count 1..k, sum of the seen words' P(w)
@@ -262,64 +344,72 @@ class _Part:
         self.seen_p = np.bincount(vi, uni.p(self.w_count[seen]), k)
 
 
-def _each(b: pa.RecordBatch, uni: Unigrams):
-    for row in range(b.num_rows):
-        yield _Part({k: b.column(i)[row].as_py() for i, k in enumerate(b.schema.names)}, uni)
+def _counts_of_counts(batches):
+    for row in _each(batches):
+        at = np.bincount(np.minimum(unpack(row["n"]), DISCOUNT_TO + 2), minlength=DISCOUNT_TO + 2)
+        yield _rows(r=pa.array(np.arange(1, DISCOUNT_TO + 2)), n=pa.array(at[1:DISCOUNT_TO + 2].astype(np.int64)))
+
 
+SUMS = ["total", "p", *[f"r{r}" for r in range(1, DISCOUNT_TO + 1)]]
 
-def _statistics(uni: Unigrams, parts: int):
-    """Counts of counts (kind 0: key r, a = n_r) and sums of cut contexts (kind 1: key v)."""
-    hot = uni.hot(parts)
 
+def _cut_sums(uni: Unigrams, parts: int):
+    """A part's share of the sums of the contexts that lie in several parts."""
     def run(batches):
-        for b in batches:
-            for m in _each(b, uni):
-                r = np.bincount(np.minimum(m.n, DISCOUNT_TO + 2), minlength=DISCOUNT_TO + 3)[1:DISCOUNT_TO + 2]
-                at = np.flatnonzero((m.v > 0) & (m.v <= hot) | (m.v == uni.start))
-                zero = np.zeros(len(r))
-                yield _rows(kind=pa.array(np.r_[np.zeros(len(r), np.int32), np.ones(len(at), np.int32)].astype(np.int32)),
-                            key=pa.array(np.r_[np.arange(1, len(r) + 1), m.v[at]]), a=pa.array(np.r_[r, m.total[at]].astype(float)),
-                            p=pa.array(np.r_[zero, m.seen_p[at]]),
-                            **{f"r{j + 1}": pa.array(np.r_[zero, m.by[at, j]]) for j in range(DISCOUNT_TO)})
+        for row in _each(batches):
+            m = _Part(row, uni)
+            at = np.flatnonzero((m.v > 0) & (uni.pieces(m.v, parts) > 1))
+            yield _rows(part=pa.array(np.full(len(at), row["part"], np.int32)), v=pa.array(m.v[at]), total=pa.array(m.total[at].astype(float)),
+                        p=pa.array(m.seen_p[at]), **{f"r{j + 1}": pa.array(m.by[at, j]) for j in range(DISCOUNT_TO)})
     return run
 
 
-def _evaluate(uni: Unigrams, d: np.ndarray, cut: dict):
-    """Model rows -> (block, doc, s): log10 probabilities of the tokens, summed per document in a part."""
+def _whole_contexts(model: DataFrame, uni: Unigrams, parts: int) -> DataFrame:
+    """(part, cut): the whole sums of those contexts of a part that lie in other parts too. A
+    context is cut by its count, so there are a few rows a part."""
+    cut = model.select("part", "v", "w", "n").mapInArrow(lean(_cut_sums(uni, parts)), "part int, v long, " + ", ".join(f"{k} double" for k in SUMS))
+    cut = write_table(cut, "cut-contexts")
+    whole = cut.groupBy("v").agg(*[F.sum(k).alias(k) for k in SUMS])
+    out = cut.select("part", "v").join(whole, "v").groupBy("part").agg(F.collect_list(F.struct("v", *SUMS)).alias("cut"))
+    out = write_table(out, "whole-contexts")
+    drop_table(cut)
+    return out
+
+
+def _answers(uni: Unigrams, d: np.ndarray):
+    """Model rows -> (block, part, value, code): log10 P of the bigrams that a block asked the part for."""
     def run(batches):
-        for b in batches:
-            for m in _each(b, uni):
-                at = np.flatnonzero(np.isin(m.v, cut["v"]))
-                j = np.searchsorted(cut["v"], m.v[at])
-                m.total[at], m.by[at], m.seen_p[at] = cut["total"][j], cut["by"][j], cut["p"][j]
-                lost = (m.by * (np.arange(1, DISCOUNT_TO + 1) * (1 - d[1:DISCOUNT_TO + 1]))).sum(axis=1)
-                # a context without discounted bigrams sets one occurrence aside
-                whole = np.maximum(np.where(lost > 0, m.total, m.total + 1), 1)
-                alpha = np.where(m.total > 0, np.where(lost > 0, lost, 1.0) / whole / np.maximum(1 - m.seen_p, 1e-300), 1.0)
-                seen = d[np.minimum(m.n, DISCOUNT_TO + 1)] * m.n / whole[m.vi]
-                logp = np.log10(np.where(m.n > 0, seen, alpha[m.vi] * uni.p(m.w_count)))
-                token = logp[m.pair]
-                order = np.lexsort((m.doc, m.block))
-                blk, doc = m.block[order], m.doc[order]
-                new = np.ones(len(blk), bool)
-                new[1:] = (blk[1:] != blk[:-1]) | (doc[1:] != doc[:-1])
-                new = np.flatnonzero(new)
-                yield _rows(block=pa.array(blk[new]), doc=pa.array(doc[new].astype(np.int32)), s=pa.array(np.add.reduceat(token[order], new)))
+        for row in _each(batches):
+            m = _Part(row, uni)
+            for c in row["cut"] or ():
+                j = np.searchsorted(m.v, c["v"])
+                m.total[j], m.seen_p[j], m.by[j] = c["total"], c["p"], [c[k] for k in SUMS[2:]]
+            lost = (m.by * (np.arange(1, DISCOUNT_TO + 1) * (1 - d[1:DISCOUNT_TO + 1]))).sum(axis=1)
+            # a context without discounted bigrams sets one occurrence aside
+            whole = np.maximum(np.where(lost > 0, m.total, m.total + 1), 1)
+            alpha = np.where(m.total > 0, np.where(lost > 0, lost, 1.0) / whole / np.maximum(1 - m.seen_p, 1e-300), 1.0)
+            seen = d[np.minimum(m.n, DISCOUNT_TO + 1)] * m.n / whole[m.vi]
+            logp = np.log10(np.where(m.n > 0, seen, alpha[m.vi] * uni.p(m.w_count)))
+            for block, places in _asked(row):
+                value, code = np.unique(logp[places], return_inverse=True)
+                yield _rows(block=pa.array([block]), part=pa.array([row["part"]], pa.int32()), value=pa.array([pack(value)], pa.binary()),
+                            code=pa.array([pack(code.astype(np.uint32))], pa.binary()))
     return run
 
 
-def _documents(uni: Unigrams):
-    def run(batches):
-        for b in batches:
-            col = {k: b.column(i) for i, k in enumerate(b.schema.names)}
-            for row in range(b.num_rows):
-                count, ends = uni.count(unpack(col["tokens"][row].as_py()).astype(np.int64)), unpack(col["ends"][row].as_py())
-                start = np.r_[0, ends[:-1]]
-                n = len(ends)
-                yield _rows(block=pa.array(np.full(n, col["block"][row].as_py())), doc=pa.array(np.arange(n, dtype=np.int32)),
-                            doc_id=pa.array(col["doc_id"][row].as_py(), pa.int64()), held_out=pa.array(col["held"][row].as_py(), pa.bool_()),
-                            n_tokens=pa.array(ends - start), n_known=pa.array(np.add.reduceat((count > 0).astype(np.int64), start)),
-                            base_score=pa.array(np.add.reduceat(uni.base(count), start)))
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _block_scores(uni: Unigrams, parts: int):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        ids, ends = unpack(row["tokens"]).astype(np.int64), unpack(row["ends"])
+        pairs, count = _Pairs(ids, ends, uni, parts), uni.count(ids)
+        told = sorted(zip(*(answers.column(k).to_pylist() for k in ("part", "value", "code"))))
+        logp = np.concatenate([unpack(value)[unpack(code)] for _, value, code in told])
+        return pa.table({"doc_id": pa.array(row["doc_id"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
+                         "n_tokens": ends - pairs.start, "n_known": np.add.reduceat((count > 0).astype(np.int64), pairs.start),
+                         "base_score": np.add.reduceat(uni.base(count), pairs.start), "score": np.add.reduceat(logp[pairs.of], pairs.start)})
     return run
 
 
@@ -330,28 +420,18 @@ def score_documents(docs: DataFrame, held_out: Callable, id_col: str = "doc_id",
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     raw = write_table(src.mapInArrow(lean(_blocks), BLOCKS), "blocks")
-    vocab = raw.select("block", "vocab", "train").mapInArrow(lean(_vocabulary), "word long, block long, i int, c long")
-    unigrams = write_table(vocab.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")), "unigrams")
-    release_shuffles(spark)
-    # distinct counts: their sum is the number of tokens at most, so there are few (its square root)
-    uni = Unigrams({r.c: r.n for r in unigrams.groupBy("c").agg(F.count("*").alias("n")).collect()})
-    blocks = _numbered(raw, vocab, unigrams)
+    blocks, classes, starts = _numbered(raw)
+    uni = Unigrams(classes, starts)
     drop_table(raw)
     release_shuffles(spark)
     parts = max(shuffle_partitions(spark), -(-uni.total // PART_TOKENS))
-    model = blocks.mapInArrow(lean(_deal(parts, uni)), "part int, block long, v binary, w binary, doc binary, train binary") \
+    model = blocks.mapInArrow(lean(_requests(parts, uni)), "part int, block long, v binary, w binary, n binary") \
         .groupBy("part").applyInArrow(_model_part, PART)
     model = write_table(model, "bigrams")
     release_shuffles(spark)
-    sums = ["a", "p", *[f"r{j + 1}" for j in range(DISCOUNT_TO)]]
-    # one row a count and at most HOT * parts rows of cut contexts
-    stats = model.mapInArrow(lean(_statistics(uni, parts)), "kind int, key long, " + ", ".join(f"{k} double" for k in sums)) \
-        .groupBy("kind", "key").agg(*[F.sum(k).alias(k) for k in sums]).collect()
-    d = discounts({r.key: int(r.a) for r in stats if r.kind == 0})
-    cut = sorted((r for r in stats if r.kind == 1), key=lambda r: r.key)
-    cut = {"v": np.array([r.key for r in cut], np.int64), "total": np.array([r.a for r in cut], float), "p": np.array([r.p for r in cut], float),
-           "by": np.array([[r[k] for k in sums[2:]] for r in cut], float).reshape(len(cut), DISCOUNT_TO)}
-    score = model.mapInArrow(lean(_evaluate(uni, d, cut)), "block long, doc int, s double").groupBy("block", "doc").agg(F.sum("s").alias("score"))
-    told = blocks.mapInArrow(lean(_documents(uni)), "block long, doc int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double")
-    return told.join(score, ["block", "doc"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.total).cast("long").alias("train_tokens"),
-                                                     "base_score", "score")
+    told = model.select("n").mapInArrow(lean(_counts_of_counts), "r long, n long").groupBy("r").agg(F.sum("n").alias("n"))
+    d = discounts({r.r: r.n for r in told.collect()})  # DISCOUNT_TO + 1 rows
+    asked = model.join(_whole_contexts(model, uni, parts), "part", "left")
+    answers = asked.mapInArrow(lean(_answers(uni, d)), "block long, part int, value binary, code binary")
+    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_block_scores(uni, parts), SCORES)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.total).cast("long").alias("train_tokens"), "base_score", "score")
