@@ -2,11 +2,13 @@
 
 Per page: the markup becomes text nodes with their root-to-leaf tag paths (names and classes).
 Subtrees whose element, role, class or id says menu, header, footer, sidebar, notice, advert,
-form, comment and the like are set aside. For each path the text outside links and the
+form, comment and the like are set aside; by class, role or id only if the subtree doesn't hold
+most of the text. For each path the text outside links and the
 punctuation are added up and divided by its nodes; both ratios are smoothed over the nodes in
 page order, fused by their product, and paths whose fused mean stays below a share of the
 page's spread are dropped. The least element that holds all nodes of kept paths is the
-article; its remaining nodes (headings, short lines, lists) belong to it. An <article> or
+article; its remaining nodes (headings, short lines, lists) belong to it, but not bare boxes
+of paths below the bar. An <article> or
 <main> that holds most of the kept text is the article whatever stands beside it. If only
 the page's body holds them all, each of its children is gone into by itself, and links in
 a block go with the block.
@@ -40,8 +42,12 @@ NOT_ARTICLE = frozenset((
     "alert popup modal overlay dialog toast newsletter subscribe subscription signup login register search searchbox form "
     "comment comments commentlist respond disqus reply replies discussion share sharing social follow related recommended recommendations "
     "trending popular widget widgets toolbar pagination pager skip contentinfo complementary copyright legal disclaimer hidden").split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"""([^\s=/"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s>\"'][^\s>]*|[^>])*+)>", re.S)
+_ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+#: Of ``no-sidebar`` or ``hasComments`` the second word names what the element is not.
+_ABOUT = re.compile(r"(?:\b|(?<=[-_]))(?:no|has|have|with|without|hide|show)[-_]?(?=[-_A-Z])[-_]?[A-Za-z]+")
+#: Listed words that name readers' words.
+READERS = frozenset("comment comments commentlist respond disqus reply replies discussion".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PUNCT = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 #: What starts closes an open element of these.
@@ -55,6 +61,7 @@ THRESHOLD = 0.2
 HOLDS = 0.7
 TOP = frozenset(("#", "html", "body"))
 LISTS = frozenset(("ul", "ol", "dl"))
+BOXES = frozenset(("div", "section"))
 
 
 class Page:
@@ -62,36 +69,68 @@ class Page:
 
     def __init__(self, markup: str):
         self.parent, self.name, self.aside, self.path = [-1], ["#"], [False], [0]
+        self.listed: list[str] = [""]  # why an element is aside by itself: "" (not), "name", "word" or "readers"
+        self.inside, self.link = [False], [False]  # within an <article> or <main>; within a link
         self.paths: dict[tuple[int, str], int] = {}  # (path above, label) -> number of the path
         self.nodes: list[tuple[int, str, bool, int]] = []
         self.block = 0
         self._read(markup)
+        self._set_aside()
 
     def _open(self, stack, name, attrs):
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip(" /") else {}
-        words = {w.lower() for k in ("class", "id", "role") for w in _PART.findall(found.get(k, ""))}
-        whole = {w.lower() for k in ("class", "id", "role") for w in found.get(k, "").split()}
-        inside = any(self.name[e] in ("article", "main") for e in stack)
-        top = name not in ("html", "body", "article", "main")
-        aside = top and (name in ASIDE or bool((words | whole) & NOT_ARTICLE) or "hidden" in found or found.get("aria-hidden") == "true"
-                         or "display:none" in found.get("style", "").replace(" ", "").lower()
-                         or not inside and (name == "header" or "header" in words))
+        told = [_ABOUT.sub(" ", found[k]) for k in ("class", "id", "role") if k in found]
+        words = {w.lower() for t in told for w in _PART.findall(t)}
+        listed = (words | {w.lower() for t in told for w in t.split()}) & NOT_ARTICLE
+        inside = self.inside[stack[-1]]
+        why = ""
+        if name not in ("html", "body", "article", "main"):
+            if (name in ASIDE or "hidden" in found or found.get("aria-hidden") == "true"
+                    or "display:none" in found.get("style", "").replace(" ", "").lower() or not inside and name == "header"):
+                why = "name"
+            elif listed or not inside and "header" in words:
+                why = "readers" if listed & READERS else "word"
+        self.listed.append(why)
+        self.inside.append(inside or name in ("article", "main"))
+        self.link.append(self.link[stack[-1]] or name == "a")
         self.parent.append(stack[-1])
         self.name.append(name)
         kind = ".".join(sorted(found.get("class", "").split()))
         above = self.path[stack[-1]]
         self.path.append(above if name in INLINE and name != "a" else
                          self.paths.setdefault((above, f"{name}.{kind}" if kind else name), len(self.paths) + 1))
-        self.aside.append(aside or self.aside[stack[-1]])
         stack.append(len(self.name) - 1)
 
     def _text(self, stack, text):
         if text and not text.isspace():
-            link = any(self.name[e] == "a" for e in stack)
-            self.nodes.append((stack[-1], html.unescape(text), link, self.block))
+            self.nodes.append((stack[-1], html.unescape(text), self.link[stack[-1]], self.block))
         elif text and self.nodes:
             self.nodes.append((stack[-1], " ", False, self.block))
 
+    def _set_aside(self):
+        """What is aside: elements by name always; by a listed word, those that don't hold most
+        of the text outside the former, or that stand beside an <article> with text of its own.
+        Readers' words go unless a headline or the article is in them."""
+        n = len(self.name)
+        gone = [False] * n
+        for e in range(1, n):
+            gone[e] = gone[self.parent[e]] or self.listed[e] == "name"
+        held, own = [0] * n, [0] * n  # text; that of an <article> or <main>, without its headline
+        head = [name in ("h1", "article", "main") for name in self.name]
+        for e, text, link, _ in self.nodes:
+            if not gone[e] and not link:
+                held[e] += len(text.strip())
+                own[e] += len(text.strip()) * (self.inside[e] and self.name[e] != "h1")
+        for e in range(n - 1, 0, -1):  # children come after their parents
+            above = self.parent[e]
+            held[above] += held[e]
+            own[above] += own[e]
+            head[above] = head[above] or head[e]
+        self.aside = gone
+        for e in range(1, n):
+            most = 2 * held[e] > held[0] and (head[e] or self.listed[e] != "readers" and own[e] == own[0])
+            self.aside[e] = self.aside[e] or self.aside[self.parent[e]] or bool(self.listed[e]) and not most
+
     def _close_p(self, stack):
         for i in range(len(stack) - 1, 0, -1):
             if self.name[stack[i]] == "p":
@@ -162,9 +201,17 @@ def main_text(markup: str | None) -> str:
     real = [n for n in nodes if n[1].strip()]
     paths = [page.path[e] for e, _, _, _ in real]
     size = [len(t.strip()) for _, t, _, _ in real]
-    for p, (e, t, link, _), k in zip(paths, real, size):
+    def up(e, names):
+        while page.name[e] in names:
+            e = page.parent[e]
+        return e
+
+    block = [up(e, INLINE) for e, _, _, _ in real]
+    # an article may consist of links: where there is no other text, those in paragraphs count
+    only = all(link for _, _, link, _ in real)
+    for p, (e, t, link, _), k, b in zip(paths, real, size, block):
         count[p] += 1
-        if not link:
+        if not link or only and page.name[b] == "p":
             length[p] += k
             punct[p] += len(_PUNCT.findall(t))
     text_ratio = np.array([length[p] / count[p] for p in paths], float)
@@ -189,16 +236,16 @@ def main_text(markup: str | None) -> str:
     children: dict = defaultdict(set)
     heading: dict = defaultdict(bool)
     for i, (e, _, _, _) in enumerate(real):
-        k = paths[i] in kept_paths
-        h1 = False
-        while e >= 0:
-            h1 = h1 or page.name[e] == "h1"
-            held[e] += weight[i] if k else 0.0
-            n_kept[e] += k
-            heading[e] = heading[e] or h1
-            if page.parent[e] >= 0:
-                children[page.parent[e]].add(e)
-            e = page.parent[e]
+        held[e] += weight[i] if paths[i] in kept_paths else 0.0
+        n_kept[e] += paths[i] in kept_paths
+    for e in range(len(page.name) - 1, 0, -1):  # children come after their parents
+        if e in held:
+            above = page.parent[e]
+            heading[e] = heading[e] or page.name[e] == "h1"
+            held[above] += held[e]
+            n_kept[above] += n_kept[e]
+            heading[above] = heading[above] or heading[e]
+            children[above].add(e)
 
     def holder(at):
         """The least element within ``at`` that holds all its kept nodes, above leaves and beside headlines."""
@@ -221,14 +268,12 @@ def main_text(markup: str | None) -> str:
         inside[e] = e in roots or e > 0 and inside[page.parent[e]]
     leaves = any(page.name[e] in LEAF and page.parent[e] == at for e in roots)
 
-    def up(e, names):
-        while page.name[e] in names:
-            e = page.parent[e]
-        return e
-
     first, last = kept[0], kept[-1]
-    ok = [inside[e] for e, _, _, _ in real]
-    block = [up(e, INLINE) for e, _, _, _ in real]
+    # within the article a bare box whose path's own ratios are below the bar is no text of it (smoothing has
+    # lent it its neighbours'); headings, lists, cells are
+    plain = {p for p in kept_paths if length[p] / count[p] * np.log1p(1 + punct[p] / count[p]) >= bar}
+    full = {b for b, p in zip(block, paths) if p in plain}
+    ok = [inside[e] and (p in plain or page.name[b] not in BOXES or b in full or b == at) for (e, _, _, _), p, b in zip(real, paths, block)]
     if not whole:
         # no single element holds the article: kept paths, what stands among them, and blocks beside kept blocks
         for i, (_, _, link, _) in enumerate(real):
