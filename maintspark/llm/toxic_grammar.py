@@ -5,9 +5,10 @@ the evidence that one, two, three or more uses of the form in a document carry),
 lists of threats, targets, negations and reporting verbs. Four small transducers are composed
 into one machine that runs over every clause: negation marks what follows within a few words,
 reported speech marks what follows in its clause, an addressed target marks what follows it,
-and threats count only at a target. A matched clause has a kind (threat, negated, reported,
+and threats count only at a target, before or after them. A matched clause has a kind (threat, negated, reported,
 targeted); how much a clause of that kind counts is learned from the same labels, starting
-from a prior that discounts negation and report. A document's evidence adds up the
+from a prior that discounts negation and report; so is the evidence of a threat, from a prior of
+five documents. A document's evidence adds up the
 strongest form of each word beginning at its number of uses, times their mean clause weight; a logistic curve fitted on all labelled
 documents makes it a score between 0 and 1.
 
@@ -45,6 +46,10 @@ USES = 8
 #: A form whose documents are as toxic as all documents still tells this much (log of odds)
 #: against documents without any form.
 WEAK = 2.3
+#: What a threat at a target counts as among the forms.
+THREAT = "<threat>"
+#: Documents with such a clause that the prior stands for: toxic, and all.
+THREAT_PRIOR = (4.5, 5.0)
 #: Fixed word lists of the grammar, per language en, de, fr, es.
 THREATS = ("kill", "hurt", "destroy", "beat", "burn", "töten", "umbringen", "schlagen", "tuer", "frapper", "matar", "golpear")
 TARGETS = ("you", "your", "yourself", "du", "dich", "dir", "dein", "euch", "tu", "te", "toi", "vous", "ti", "usted", "vosotros")
@@ -149,20 +154,27 @@ def clause_uses(text: str, lexicon: Lexicon, machine: Transducer) -> tuple[dict[
         read = [known.get(t, ("O", ())) for t in tokens]
         if not any(c in "IH" for c, _ in read):
             continue
+        aimed = max((i for i, (c, _) in enumerate(read) if c == "Y"), default=-1)
         for i, out, w in machine.run([c for c, _ in read]):
+            if out[0] == "H" and "t" not in out and i < aimed:
+                out += "t"  # a threat's target may follow it
             if out[0] == "I" or out[0] == "H" and "t" in out:
                 kinds[out] += 1
-                for f in read[i][1] or ("<threat>",):
+                for f in read[i][1] or (THREAT,):
                     seen = uses.setdefault(f, [0, 0.0])
                     seen[0] += 1
                     seen[1] += math.exp(w)
     return uses, kinds
 
 
-def evidence(uses: dict[str, list[float]], lexicon: Lexicon) -> float:
+def evidence(uses: dict[str, list[float]], lexicon: Lexicon, threat: float = 0.0) -> float:
     """The evidence of the strongest form of each beginning, added up: that of its number of
-    uses, times their mean clause weight; and a little for having any form at all."""
+    uses, times their mean clause weight; and a little for having any form at all. Threats at
+    a target count as one form, of evidence ``threat``."""
     best: dict[str, float] = {}
+    if THREAT in uses:
+        n, weight = uses[THREAT]
+        best[THREAT] = threat * weight / n
     weak = 0.0
     for form, (n, weight) in uses.items():
         if form in lexicon.forms:
@@ -174,16 +186,16 @@ def evidence(uses: dict[str, list[float]], lexicon: Lexicon) -> float:
 
 
 class Model:
-    def __init__(self, lexicon: Lexicon, weights: dict[str, float], slope: float, offset: float):
-        self.lexicon, self.weights, self.slope, self.offset = lexicon, weights, slope, offset
+    def __init__(self, lexicon: Lexicon, weights: dict[str, float], slope: float, offset: float, threat: float = 0.0):
+        self.lexicon, self.weights, self.slope, self.offset, self.threat = lexicon, weights, slope, offset, threat
         self.machine = grammar(weights)
 
     def __reduce__(self):
-        return Model, (self.lexicon, self.weights, self.slope, self.offset)
+        return Model, (self.lexicon, self.weights, self.slope, self.offset, self.threat)
 
     def score(self, text: str | None) -> float:
         uses, _ = clause_uses(text or "", self.lexicon, self.machine)
-        return 1.0 / (1.0 + math.exp(-(self.slope * evidence(uses, self.lexicon) + self.offset)))
+        return 1.0 / (1.0 + math.exp(-(self.slope * evidence(uses, self.lexicon, self.threat) + self.offset)))
 
 
 # --- learning ----------------------------------------------------------------------------
@@ -264,7 +276,8 @@ def learn_lexicon(voters: DataFrame) -> Lexicon:
 
 
 def _kind_counts(lexicon):
-    """Toxic and clean documents by the marks of their clauses with forms that tell at one use."""
+    """Toxic and clean documents by the marks of their clauses with forms that tell at one use;
+    those with a plain threat at a target (H); all."""
     def run(batches):
         machine = grammar()
         strong = Lexicon({f: odds for f, odds in lexicon.value.forms.items() if odds[0] >= 2.0})
@@ -272,7 +285,10 @@ def _kind_counts(lexicon):
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 _, kinds = clause_uses(text, strong, machine)
-                for k in {m for kind in kinds for m in kind[1:] or "p"}:
+                marks = {m for kind in kinds if kind[0] == "I" for m in kind[1:] or "p"}
+                if any(set(kind) == {"H", "t"} for kind in kinds):
+                    marks.add("H")
+                for k in (*marks, "all"):
                     n[k][y] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[0] for x in n.values()], pa.int64()),
                                           pa.array([x[1] for x in n.values()], pa.int64())], names=["kind", "n0", "n1"])
@@ -286,7 +302,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lexicon = learn_lexicon(voters)
     held = sc.broadcast(lexicon)
     seen = voters.mapInArrow(lean(_kind_counts(held)), "kind string, n0 long, n1 long").groupBy("kind") \
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()  # four kinds
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()  # six kinds
     share = {r.kind: (r.n1 + 1, r.n0 + r.n1 + 2) for r in seen}
     weights = dict(PRIOR)
     plain = share.get("p")
@@ -295,9 +311,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             # share of toxic documents among those with such clauses, against plain ones;
             # the prior counts as 5 documents
             p, (k, n) = plain[0] / plain[1], share[mark]
-            here = min(1.0, (k / n) / p)
+            here = (k / n) / p if mark == "t" else min(1.0, (k / n) / p)
             weights[mark] = math.log(max(1e-3, (5 * math.exp(PRIOR[mark]) + n * here) / (5 + n)))
-    model = Model(lexicon, weights, 1.0, 0.0)
+    n0, n1 = next(((r.n0, r.n1) for r in seen if r.kind == "all"), (0, 0))
+    threat = 0.0
+    if n0 and n1:
+        k0, k1 = next(((r.n0, r.n1) for r in seen if r.kind == "H"), (0, 0))
+        toxic, all_ = THREAT_PRIOR
+        threat = max(0.0, math.log((k1 + toxic) / (k0 + all_ - toxic)) - math.log(n1 / n0))
+    model = Model(lexicon, weights, 1.0, 0.0, threat)
     told = sc.broadcast(model)
 
     def evidence_counts(batches):
@@ -305,7 +327,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         n: dict = defaultdict(lambda: [0, 0])
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n[round(evidence(clause_uses(text, m.lexicon, m.machine)[0], m.lexicon), 1)][y] += 1
+                n[round(evidence(clause_uses(text, m.lexicon, m.machine)[0], m.lexicon, m.threat), 1)][y] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.float64()), pa.array([x[0] for x in n.values()], pa.int64()),
                                           pa.array([x[1] for x in n.values()], pa.int64())], names=["e", "n0", "n1"])
 
