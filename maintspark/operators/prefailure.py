@@ -17,6 +17,11 @@ def _ties(tie) -> list[str]:
     return [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """A side that grows with the failures: its joins move rows between tasks, none goes through the driver."""
+    return df.hint("merge")
+
+
 def _moments(sensors: Sequence[str], over=None) -> list:
     """Count of readings, and per sensor count, mean and summed squared deviations."""
     on = (lambda c: c.over(over)) if over is not None else (lambda c: c)
@@ -43,6 +48,9 @@ def pre_failure_stats(telemetry: DataFrame, failures: DataFrame, days: float = S
     """One row per failure that has readings in ``[f - days, f)``: count, mean,
     sample std and trend (last minus first reading, in time order) per sensor.
 
+    Instants, windows and buckets grow with the failures (a window is ``days/bucket`` rows, which
+    Spark's size estimate does not see), so they are joined by shuffles and never broadcast.
+
     No (reading, failure) pairs: moments per machine and bucket are merged over the whole
     buckets of a failure's window; what the window takes of the buckets at its two ends comes
     from running moments over these buckets, forward up to ``f`` and backward down to
@@ -66,7 +74,7 @@ def pre_failure_stats(telemetry: DataFrame, failures: DataFrame, days: float = S
     def end(instant: str, forward: bool) -> DataFrame:
         """Per (machine, instant): the readings of its bucket before it (forward), or from it on."""
         points = f.select("_k", F.col(instant).alias("_t")).distinct().withColumn("_b", bucket("_t"))
-        some = r.join(points.select("_k", "_b").distinct(), ["_k", "_b"], "left_semi")
+        some = r.join(_shuffled(points.select("_k", "_b").distinct()), ["_k", "_b"], "left_semi")
         both = some.unionByName(points, allowMissingColumns=True)
         # an instant stands before the readings of its own time, which are not before it
         keys = [F.col("_t"), F.col("_r").asc_nulls_first(), *[F.col(c) for c in at[1:]]]
@@ -83,9 +91,9 @@ def pre_failure_stats(telemetry: DataFrame, failures: DataFrame, days: float = S
 
     inner = f.select("failure_id", "_k", F.explode(F.sequence(bucket("_from") + 1, bucket("_f") - 1)).alias("_b"))
     columns = ["failure_id", "n", "m", "lo", "hi", "lo_v", "hi_v"]
-    parts = inner.join(whole, ["_k", "_b"]).select(*columns) \
-        .unionByName(f.join(end("_f", True), ["_k", "_f"]).select(*columns)) \
-        .unionByName(f.join(end("_from", False), ["_k", "_from"]).select(*columns))
+    parts = _shuffled(inner).join(whole, ["_k", "_b"]).select(*columns) \
+        .unionByName(_shuffled(f).join(end("_f", True), ["_k", "_f"]).select(*columns)) \
+        .unionByName(_shuffled(f).join(end("_from", False), ["_k", "_from"]).select(*columns))
     told = parts.groupBy("failure_id").agg(F.sum("n").alias("readings"), F.collect_list(F.struct("n", "m")).alias("p"),
                                            F.min_by("lo_v", "lo").alias("first"), F.max_by("hi_v", "hi").alias("last"))
     out = [F.col("_k").alias(key), F.col("_f").alias("failure_datetime"), F.col("failure").alias("failure_type"),
@@ -94,7 +102,7 @@ def pre_failure_stats(telemetry: DataFrame, failures: DataFrame, days: float = S
         n, mean, m2 = _merge("p", i)
         out += [mean.alias(f"{s}_mean"), F.when(n > 1, F.sqrt(m2 / (n - 1))).alias(f"{s}_std"),
                 (F.col(f"last.{s}") - F.col(f"first.{s}")).alias(f"{s}_trend")]
-    return f.join(told, "failure_id").select(*out)
+    return _shuffled(f).join(told, "failure_id").select(*out)
 
 
 def normal_vs_prefailure(telemetry: DataFrame, pre: DataFrame, sensors: Sequence[str] = S.SENSORS) -> DataFrame:
