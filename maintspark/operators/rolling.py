@@ -3,7 +3,9 @@
 One ``Window.partitionBy(key).orderBy(time, tie)`` per frame width; Catalyst's
 window extraction groups every expression of one spec into one Window operator
 and all specs share the same exchange and sort, so the 32 statistics cost one
-shuffle by machine and one sort.
+shuffle by machine and one sort. A window aggregates the whole frame anew for each row, which
+took most of the time; machines that are not cut get the same statistics from the
+same exchange and sort in Arrow batches instead (``_rolled``).
 
 Hot machines: with ``chunk_rows`` set (or ``'auto'``), machines holding more rows
 than that are cut into chunks of that many rows. Their rows get an id each and their
@@ -16,13 +18,16 @@ non-null values for the frame fill, from the chunks' last rows only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..plans.ordered import global_row_index
+from ..plans.ordered import global_row_index, global_scan
 from ..plans.sizing import materialize
 
 _AGG = {
@@ -86,6 +91,91 @@ def rolling_exprs(spec: Mapping[int, Sequence[str]], sensors: Sequence[str], par
     return out
 
 
+def frame_statistics(x: np.ndarray, there: np.ndarray, behind: np.ndarray, width: int, stats: Sequence[str]) -> tuple[dict, np.ndarray]:
+    """Statistics of the last ``width`` rows, for (sensors, rows) values: ``behind`` counts the rows
+    a row has before it in its group. Values are taken oldest first with Spark's own updates, so
+    sums and deviations are those of a window; NaN is a value, and the largest one."""
+    n, total, mean, m2 = (np.zeros(x.shape) for _ in range(4))
+    top, low = np.full(x.shape, -np.inf), np.full(x.shape, np.nan)
+    size = x.shape[1]
+    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+        for j in range(min(width, size) - 1, -1, -1):
+            at = np.s_[:, j:]
+            v = x[:, :size - j]
+            in_ = there[:, :size - j] & (behind[j:] >= j)
+            n[at] += in_
+            if "mean" in stats:
+                total[at] += np.where(in_, v, 0.0)
+            if "std" in stats:
+                delta = v - mean[at]
+                step = delta / n[at]
+                mean[at] += np.where(in_, step, 0.0)
+                m2[at] += np.where(in_, delta * (delta - step), 0.0)
+            if "max" in stats:
+                top[at] = np.maximum(top[at], np.where(in_, v, -np.inf))
+            if "min" in stats:
+                low[at] = np.fmin(low[at], np.where(in_, v, np.nan))
+        told = {"mean": total / n, "std": np.sqrt(m2 / (n - 1)), "max": top, "min": low}
+    return told, n
+
+
+def _rolled_batches(batches: Iterator[pa.RecordBatch], spec: Mapping[int, Sequence[str]], sensors: Sequence[str],
+                    part: Sequence[str], key: str, full: bool, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The sorted rows of a task with their statistics. Between two batches the last
+    ``max(window)-1`` rows are kept, so no machine is held whole."""
+    halo = max(spec) - 1
+    x, there, behind, last = np.zeros((len(sensors), 0)), np.zeros((len(sensors), 0), bool), np.zeros(0, np.int64), None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows, kept = batch.num_rows, len(behind)
+        keys = [batch.column(batch.schema.get_field_index(c)) for c in part]
+        new = np.zeros(rows, bool)   # a row that begins a group; keys that are both null are one
+        now = tuple(k[0].as_py() for k in keys)
+        new[0] = last is None or now != last
+        for k in keys:
+            null = k.is_null().to_numpy(zero_copy_only=False)
+            codes = k.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            new[1:] |= (codes[1:] != codes[:-1]) | (null[1:] != null[:-1])
+        last = tuple(k[rows - 1].as_py() for k in keys)
+        place = np.arange(rows)
+        start = np.maximum.accumulate(np.where(new, place, -1))
+        before = behind[-1] + 1 if kept and not new[0] else 0
+        behind = np.concatenate([behind, np.where(start >= 0, place - start, place + before)])
+        cells = [batch.column(batch.schema.get_field_index(s)) for s in sensors]
+        x = np.concatenate([x, np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in cells])], axis=1)
+        there = np.concatenate([there, np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in cells])], axis=1)
+        nameless = batch.column(batch.schema.get_field_index(key)).is_null().to_numpy(zero_copy_only=False)
+        out = []
+        for w, stats in spec.items():
+            told, n = frame_statistics(x, there, behind, w, stats)
+            n = n[:, kept:]
+            for i in range(len(sensors)):
+                for st in stats:
+                    least = max(w if full else 1, 2 if st == "std" else 1)
+                    out.append(pa.array(told[st][i, kept:], mask=(n[i] < least) | nameless))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
+        first = max(len(behind) - halo, 0) if halo else len(behind)
+        # the count of rows behind is kept even with no halo: it tells nothing then
+        x, there, behind = x[:, first:], there[:, first:], behind[first:]
+
+
+def _rolled(df: DataFrame, spec: Mapping[int, Sequence[str]], sensors: Sequence[str], part: Sequence[str],
+            order: Sequence[Column], key: str, min_periods: str) -> DataFrame:
+    """``df`` with the statistics of ``rolling_exprs``. A window aggregates every frame anew for each
+    row; here the rows, sorted in their tasks, are taken in Arrow batches, a frame's shift for all rows of a
+    batch at once. Sensors that are not doubles keep Spark's arithmetic, in windows."""
+    spec = {int(w): list(stats) for w, stats in spec.items()}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if any(types[s] != T.DoubleType() for s in sensors):
+        return df.select("*", *rolling_exprs(spec, sensors, part, order, key, min_periods))
+    names = [f"{s}_{w}h_{st}" for w, stats in spec.items() for s in sensors for st in stats]
+    sensors, part, full = list(sensors), list(part), min_periods == "full"
+    work = lambda batches: _rolled_batches(batches, spec, sensors, part, key, full, names)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    return df.repartition(*part).sortWithinPartitions(*part, *order).mapInArrow(work, schema)
+
+
 def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
                      windows: Sequence[int] = S.WINDOWS, stats: Sequence[str] = S.STATS,
                      spec: Mapping[int, Sequence[str]] | None = None,
@@ -104,7 +194,7 @@ def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
     if chunk_rows == "auto":
         chunk_rows = auto_chunk_rows(df, key)
     if not chunk_rows:
-        return df.select("*", *rolling_exprs(spec, sensors, [key], order, key, min_periods))
+        return _rolled(df, spec, sensors, [key], order, key, min_periods)
     return _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, int(chunk_rows), keep_chunk)
 
 
@@ -146,14 +236,16 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     # One partial aggregation; machines above chunk_rows are at most rows/chunk_rows. The
     # table is written once and broadcast only after that bound is checked.
     hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                        .filter(F.col(key).isNotNull() & (F.col("_n") > chunk_rows)).select(key))
+                        .filter(F.col(key).isNotNull() & (F.col("_n") > chunk_rows)))
     near = F.broadcast if _bounded(hot, 100_000) else (lambda side: side)
     # Every row of a busy machine gets an id of its own, written once: rows that agree in
     # time and tie stay different rows, in one order, in every later pass.
     busy = materialize(df.join(near(hot), key, "left_semi").withColumn("_row", F.monotonically_increasing_id()))
-    at = global_row_index(busy, [F.col(key).asc_nulls_last(), *order], name="_pos")
-    at = materialize(at)
-    first = at.groupBy(key).agg(F.min("_pos").alias("_first"))
+    at = global_row_index(busy, [F.col(key).asc_nulls_last(), *order], name="_pos", written=True)
+    # where a busy machine begins: the rows of the busy machines before it
+    first = global_scan(hot, [key], sums=["_n"], written=True).select(key, (F.col("_n_cum") - F.col("_n")).alias("_first"))
+    if with_summary:
+        at = materialize(at)   # read by several branches
     at = at.join(near(first), key).withColumn("_at", F.col("_pos") - F.col("_first"))
     # Chunks of chunk_rows rows; the last `halo` rows of a chunk also go to the next one as context.
     own = F.floor(F.col("_at") / chunk_rows).cast("long")
@@ -167,9 +259,11 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     tagged = cold.filter(F.col(key).isNotNull()).unionByName(at)
     part = [key, "_chunk"]
     exprs = rolling_exprs(spec, sensors, part, order, key, min_periods)
-    rolled = tagged.select("*", *exprs).filter(~F.col("_ctx")).drop("_ctx")
+    stat_cols = [f"{s}_{int(w)}h_{st}" for w, stats in spec.items() for s in sensors for st in stats]
+    chunked = at.select("*", *exprs).filter(~F.col("_ctx")).drop("_ctx")
+    whole = _rolled(cold.filter(F.col(key).isNotNull()).drop("_ctx"), spec, sensors, [key], _order(time, tie), key, min_periods)
+    rolled = chunked.unionByName(whole)
     # rows without a machine have no statistics: they see no window
-    stat_cols = [c for c in rolled.columns if c not in tagged.columns]
     nameless = cold.filter(F.col(key).isNull())
     rolled = rolled.select(*df.columns, "_row", "_chunk", *stat_cols)
     rolled = rolled.unionByName(nameless.drop("_ctx").select("*", *[F.lit(None).cast("double").alias(c) for c in stat_cols]))
@@ -188,9 +282,8 @@ def _chunked_rolling(df, spec, sensors, key, time, tie, min_periods, chunk_rows,
     for c in columns:
         unresolved = unresolved | F.col(c).isNull()
     # groups where a column is NULL in all exact tail rows: their whole rolled rows
-    # (the semi join on the window's partition keys is pushed below the window)
     redo_keys = summ.filter(unresolved).select(key, "_chunk")
-    full = rolled.join(redo_keys, [key, "_chunk"], "left_semi")
+    full = tagged.join(redo_keys, [key, "_chunk"], "left_semi").select("*", *exprs).filter(~F.col("_ctx"))
     redo_summ = full.groupBy(key, "_chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in columns])
     nul = nameless.groupBy(key, "_chunk").agg(

@@ -34,14 +34,14 @@ def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
+def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None, written: bool = False) -> DataFrame:
     """Range-partitioned, partition-tagged and checkpointed copy of ``df``.
 
-    The input is written once; its count, the range sampling and the shuffle read that table.
+    The input is written once (``written``: it is a written table already); its count, the range sampling and the shuffle read that table.
     The number of range partitions follows the row count (about ``ROWS_PER_PARTITION`` each);
     an input of at most ``SINGLE_TASK_ROWS`` rows is one partition."""
     spark = df.sparkSession
-    src = materialize(df, "scan")
+    src = df if written else materialize(df, "scan")
     rows = src.count()
     if rows <= SINGLE_TASK_ROWS:
         return src.coalesce(1).withColumn(_PID, F.lit(0))
@@ -52,18 +52,19 @@ def _tagged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataF
 
 def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),
                 carries: Sequence[str] = (), num_partitions: int | None = None,
-                known_rows: int | None = None) -> DataFrame:
+                known_rows: int | None = None, written: bool = False) -> DataFrame:
     """Add ``{c}_cum`` (inclusive running sum) for ``sums`` and ``{c}_prev``
     (last non-null value strictly before the row) for ``carries``.
 
     ``order`` must be a total order (unique) for a deterministic result.
     ``known_rows``: an exact row count of ``df`` the caller already has; at most
     ``SINGLE_TASK_ROWS`` rows are scanned in one task (no sampling, no checkpoint).
+    ``written``: ``df`` reads a materialized table, so it need not be written again.
     """
     if known_rows is not None and known_rows <= SINGLE_TASK_ROWS:
         tagged = df.withColumn(_PID, F.lit(0))
     else:
-        tagged = _tagged(df, order, num_partitions)
+        tagged = _tagged(df, order, num_partitions, written)
     ocols = _order_cols(order)
 
     # Per-partition summaries: totals and the last non-null value of each carry column.
@@ -98,8 +99,8 @@ def global_scan(df: DataFrame, order: Sequence, sums: Sequence[str] = (),
 
 
 def global_row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
-                     name: str = "row_index") -> DataFrame:
+                     name: str = "row_index", written: bool = False) -> DataFrame:
     """0-based position of every row in the global order (a distributed zipWithIndex)."""
     one = "_one_for_index"
-    out = global_scan(df.withColumn(one, F.lit(1)), order, sums=[one], num_partitions=num_partitions)
+    out = global_scan(df.withColumn(one, F.lit(1)), order, sums=[one], num_partitions=num_partitions, written=written)
     return out.withColumn(name, F.col(f"{one}_cum") - 1).drop(one, f"{one}_cum")
