@@ -120,28 +120,14 @@ def frame_statistics(x: np.ndarray, there: np.ndarray, behind: np.ndarray, width
 
 
 def _rolled_batches(batches: Iterator[pa.RecordBatch], spec: Mapping[int, Sequence[str]], sensors: Sequence[str],
-                    part: Sequence[str], key: str, full: bool, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """The sorted rows of a task with their statistics. Between two batches the last
+                    key: str, full: bool, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The sorted rows of a task, the last column their number in the group, with their statistics. Between two batches the last
     ``max(window)-1`` rows are kept, so no machine is held whole."""
     halo = max(spec) - 1
-    x, there, behind, last = np.zeros((len(sensors), 0)), np.zeros((len(sensors), 0), bool), np.zeros(0, np.int64), None
+    x, there, behind = np.zeros((len(sensors), 0)), np.zeros((len(sensors), 0), bool), np.zeros(0, np.int64)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows, kept = batch.num_rows, len(behind)
-        keys = [batch.column(batch.schema.get_field_index(c)) for c in part]
-        new = np.zeros(rows, bool)   # a row that begins a group; keys that are both null are one
-        now = tuple(k[0].as_py() for k in keys)
-        new[0] = last is None or now != last
-        for k in keys:
-            null = k.is_null().to_numpy(zero_copy_only=False)
-            codes = k.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            new[1:] |= (codes[1:] != codes[:-1]) | (null[1:] != null[:-1])
-        last = tuple(k[rows - 1].as_py() for k in keys)
-        place = np.arange(rows)
-        start = np.maximum.accumulate(np.where(new, place, -1))
-        before = behind[-1] + 1 if kept and not new[0] else 0
-        behind = np.concatenate([behind, np.where(start >= 0, place - start, place + before)])
+        kept, rows_at = len(behind), batch.num_columns - 1
+        behind = np.concatenate([behind, batch.column(rows_at).to_numpy().astype(np.int64) - 1])
         cells = [batch.column(batch.schema.get_field_index(s)) for s in sensors]
         x = np.concatenate([x, np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in cells])], axis=1)
         there = np.concatenate([there, np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in cells])], axis=1)
@@ -154,9 +140,8 @@ def _rolled_batches(batches: Iterator[pa.RecordBatch], spec: Mapping[int, Sequen
                 for st in stats:
                     least = max(w if full else 1, 2 if st == "std" else 1)
                     out.append(pa.array(told[st][i, kept:], mask=(n[i] < least) | nameless))
-        yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:rows_at], *out], names=[*batch.schema.names[:rows_at], *names])
         first = max(len(behind) - halo, 0) if halo else len(behind)
-        # the count of rows behind is kept even with no halo: it tells nothing then
         x, there, behind = x[:, first:], there[:, first:], behind[first:]
 
 
@@ -170,10 +155,11 @@ def _rolled(df: DataFrame, spec: Mapping[int, Sequence[str]], sensors: Sequence[
     if any(types[s] != T.DoubleType() for s in sensors):
         return df.select("*", *rolling_exprs(spec, sensors, part, order, key, min_periods))
     names = [f"{s}_{w}h_{st}" for w, stats in spec.items() for s in sensors for st in stats]
-    sensors, part, full = list(sensors), list(part), min_periods == "full"
-    work = lambda batches: _rolled_batches(batches, spec, sensors, part, key, full, names)
+    sensors, full = list(sensors), min_periods == "full"
+    work = lambda batches: _rolled_batches(batches, spec, sensors, key, full, names)
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-    return df.repartition(*part).sortWithinPartitions(*part, *order).mapInArrow(work, schema)
+    # the row's number: its window deals and sorts the rows, without an exchange where a table is bucketed
+    return df.withColumn("_number", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).mapInArrow(work, schema)
 
 
 def rolling_features(df: DataFrame, sensors: Sequence[str] = S.SENSORS,
