@@ -2,7 +2,7 @@
 
 * X5 ``telemetry_stream``: incremental CSV ingest with the T1 schema.
 * X1 ``rolling_stream``: rolling statistics per machine. The last ``max(window)-1`` readings
-  of a machine are a list state in RocksDB (``transformWithState``), so a trigger reads and
+  of a machine are one state row in RocksDB (``transformWithState``), so a trigger reads and
   writes only the machines it has readings of; every row sees only itself and earlier rows.
   A row older than the newest kept row of its machine is *late*: emitted with
   ``status='late'`` and no statistics, never reordered into features already emitted.
@@ -90,48 +90,55 @@ class RollingProcessor(StatefulProcessor):
         self.names = _stat_names(sensors, windows, stats)
 
     def init(self, handle) -> None:
-        row = T.StructType([T.StructField("t", T.LongType()), T.StructField("tie", T.LongType()),
-                            T.StructField("values", T.ArrayType(T.DoubleType()))])
-        self.kept = handle.getListState("kept", row, self.ttl_ms)
+        # times, ties and sensor values of the kept rows in one cell: a machine is read and written in one step each
+        self.kept = handle.getValueState("kept", T.StructType([T.StructField("rows", T.BinaryType())]), self.ttl_ms)
         if self.fill:
             self.last = handle.getValueState("last", T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))]), self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        new = new.sort_values([self.time] + ([self.tie] if self.tie else []), kind="mergesort").reset_index(drop=True)
+        # a trigger may hold very many machines of a few readings each: arrays, and one frame at the end
+        parts = [part for part in rows if len(part)]
+        new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         t = new[self.time].astype("int64").to_numpy()
         tie = new[self.tie].astype("int64").to_numpy() if self.tie else np.zeros(len(new), np.int64)
-        kept = list(self.kept.get())
+        order = np.lexsort((tie, t, new[self.time].isna().to_numpy()))  # missing times are last
+        t, tie = t[order], tie[order]
+        cells = np.frombuffer((self.kept.get() or (b"",))[0], np.int64).reshape(2 + len(self.sensors), -1)
+        old_t, old_tie, old = cells[0], cells[1], np.ascontiguousarray(cells[2:].view(np.float64).T)
         late = np.zeros(len(new), bool)
-        if kept:
-            last_t, last_tie = kept[-1][0], kept[-1][1]
+        if len(old):
+            last_t, last_tie = old_t[-1], old_tie[-1]
             # without a tie column readings of one time have no order among them, so an equal time isn't late
             late = (t < last_t) | ((t == last_t) & (tie <= last_tie) if self.tie else False)
-        ok = new[~late]
-        out = ok[self.cols].copy()
-        old = np.array([[np.nan if v is None else v for v in r[2]] for r in kept], np.float64).reshape(len(kept), len(self.sensors))
-        values = np.vstack([old, ok[self.sensors].to_numpy(np.float64, na_value=np.nan)])
-        out[self.names] = window_statistics(values, len(kept), self.windows, self.stats)
+        ok = order[~late]
+        read = np.column_stack([new[s].to_numpy(np.float64, na_value=np.nan) for s in self.sensors])
+        values = np.vstack([old, read[ok]])
+        told = window_statistics(values, len(old), self.windows, self.stats)
+        filled = None
         if self.fill and len(ok):
-            filled = [*self.sensors, *self.names]
-            carry = self.last.get()[0] if self.last.exists() else [None] * len(filled)
-            seeded = np.vstack([np.array([np.nan if c is None else c for c in carry], np.float64)[None], out[filled].to_numpy(np.float64)])
+            carry = self.last.get()[0] if self.last.exists() else [None] * (len(self.sensors) + len(self.names))
+            seeded = np.vstack([np.array([np.nan if c is None else c for c in carry], np.float64)[None], np.hstack([read[ok], told])])
             seeded = pd.DataFrame(seeded).ffill().to_numpy()
             self.last.update(([None if np.isnan(v) else float(v) for v in seeded[-1]],))
-            out[filled] = np.nan_to_num(seeded[1:], nan=0.0)
+            filled = np.nan_to_num(seeded[1:], nan=0.0)
+            told = filled[:, len(self.sensors):]
         if len(ok):
-            keep = max(self.windows) - 1
-            rows_ = [*[(r[0], r[1]) for r in kept], *zip(t[~late].tolist(), tie[~late].tolist())]
             # one row at least: it also tells which readings are late
-            self.kept.put([(a, b, [None if np.isnan(x) else float(x) for x in v]) for (a, b), v in
-                           zip(rows_[-max(keep, 1):], values[-max(keep, 1):])])
-        out["status"] = "ok"
+            keep = max(max(self.windows) - 1, 1)
+            cells = [np.r_[old_t, t[~late]][-keep:], np.r_[old_tie, tie[~late]][-keep:], *values[-keep:].T.copy().view(np.int64)]
+            self.kept.update((np.stack(cells).tobytes(),))
         if late.any():
-            gone = new[late][self.cols].copy()
-            gone[self.names] = np.nan
-            gone["status"] = "late"
-            out = pd.concat([out, gone], ignore_index=True)
-        yield out[[*self.cols, *self.names, "status"]]
+            told = np.vstack([told, np.full((late.sum(), len(self.names)), np.nan)])
+            ok = np.r_[ok, order[late]]
+        in_order = len(ok) == 0 or (ok == np.arange(len(ok))).all()
+        out = {c: new[c] if in_order else new[c].take(ok) for c in self.cols}
+        if filled is not None:
+            for i, s in enumerate(self.sensors):
+                out[s] = np.r_[filled[:, i], read[order[late], i]]
+        out = {c: v.array if isinstance(v, pd.Series) else v for c, v in out.items()}
+        out["_told"] = list(told)  # one cell a row: a frame's cost is that of its columns
+        out["status"] = np.repeat(np.array(["ok", "late"], object), [len(ok) - late.sum(), late.sum()])
+        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
@@ -154,14 +161,15 @@ def rolling_stream(stream: DataFrame, sensors: Sequence[str] = S.SENSORS, window
     fields = {f.name: f.dataType for f in stream.schema.fields}
     cols = [key, time] + ([tie] if tie else []) + sensors
     out = T.StructType([T.StructField(c, fields[c]) for c in cols]
-                       + [T.StructField(n, T.DoubleType()) for n in _stat_names(sensors, windows, stats)]
-                       + [T.StructField("status", T.StringType())])
+                       + [T.StructField("_told", T.ArrayType(T.DoubleType())), T.StructField("status", T.StringType())])
     ttl_ms = None if ttl_days is None else int(ttl_days * DAY_US // 1000)
     if fill:
         out = T.StructType([T.StructField(f.name, T.DoubleType()) if f.name in sensors else f for f in out.fields])
     worker = RollingProcessor(sensors, windows, stats, cols, time, tie, fill, ttl_ms)
     known = stream.where(F.col(key).isNotNull()).select(*cols).groupBy(key).transformWithStateInPandas(
         worker, out, "Append", "None" if ttl_ms is None else "ProcessingTime")
+    told = [F.col("_told")[i] for i in range(len(worker.names))]
+    known = known.select(*cols, *[F.when(~F.isnan(c), c).alias(n) for c, n in zip(told, worker.names)], "status")
     # readings without a machine have no statistics, as in the batch, and no state
     none = F.lit(0.0 if fill else None).cast("double")
     unknown = stream.where(F.col(key).isNull()).select(
