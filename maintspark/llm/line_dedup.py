@@ -118,7 +118,7 @@ class Lines:
 
 
 def _occurrences(batches):
-    """(doc_id, h, line, d1, d2, n) of every eligible line, and a1..a4: its halves."""
+    """(doc_id, h, line, d1, d2, n) of every eligible line, and a1..a4: its distinct halves, if long enough."""
     for batch in batches:
         for c in chunks(batch, "text"):
             ls = Lines(c.column(2))
@@ -128,11 +128,12 @@ def _occurrences(batches):
             at = pa.array(doc)
             k, j = (e - s) // 2, (e - s - 1) // 2
             halves = np.stack([other.of(s, s + k), other.of(s, s + j), spans.of(e - k, e), spans.of(e - j, e)], axis=1).astype(np.int64)
-            halves[e - s < FUZZY_WORDS] = 0
+            # the halves of an odd number of words are of one length: each is written once
+            same = (e - s < FUZZY_WORDS)[:, None] | ((k == j)[:, None] & np.array([False, True, False, True]))
             yield pa.RecordBatch.from_arrays(
                 [c.column(0).take(at), c.column(1).take(at), pa.array(ls.number[ok].astype(np.int32)),
                  pa.array(spans.of(s, e).astype(np.int64)), pa.array(other.of(s, e).astype(np.int64)), pa.array((e - s).astype(np.int32)),
-                 *[pa.array(x) for x in halves.T]],
+                 *[pa.array(x, mask=gone) for x, gone in zip(halves.T, same.T)]],
                 names=["doc_id", "h", "line", "d1", "d2", "n", "a1", "a2", "a3", "a4"])
 
 
@@ -183,21 +184,27 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                                         *[F.min(a).alias(a) for a in HALVES]), "distinct-lines")
     release_shuffles(spark)
     fuzzy = distinct.where(F.col("n") >= FUZZY_WORDS)
-    ends = fuzzy.select("d1", "d2", F.explode(F.array_distinct(F.array(*HALVES))).alias("a"))
+    ends = fuzzy.select("d1", "d2", F.explode(F.array_distinct(F.array_compact(F.array(*HALVES)))).alias("a"))
     shared = write_table(ends.groupBy("a").agg(F.count("*").alias("m")).where("m > 1").select("a"), "anchors")
     near = ends.join(shared, "a", "left_semi").select("d1", "d2").distinct()
     picked = write_table(fuzzy.join(near, ["d1", "d2"], "left_semi").select("d1", "d2", "o.*"), "candidates")
+    drop_table(shared)
+    release_shuffles(spark)
     ranked = write_table(global_row_index(picked, ["z", "doc_id", "h", "line"], name="id").select("d1", "d2", "doc_id", "h", "line", "id"), "ranked")
+    drop_table(picked)
+    release_shuffles(spark)
     per_doc = write_table(ranked.groupBy(F.col("doc_id").alias("k_id"), F.col("h").alias("k_h"))
                           .agg(F.collect_list(F.struct("line", "id")).alias("lines")), "per-document")
     rows = _by_document(src, per_doc, F.col("doc_id"), F.col("h"), "lines", "inner") \
         .select("text", "lines")
     near_lines = write_table(rows.mapInArrow(lean(_line_words), "id long, words array<long>, own long, variants array<long>")
                              .dropDuplicates(["id"]), "neighbourhood")
+    drop_table(per_doc)
     release_shuffles(spark)
     keys = near_lines.select("id", F.posexplode("variants").alias("at", "key"))
     # replaced word: all lines of a (key, place) against the earliest
     least = write_table(keys.groupBy("key", "at").agg(F.min("id").alias("e"), F.count("*").alias("m")).where("m > 1").drop("m"), "least")
+    release_shuffles(spark)
     replaced = keys.join(least, ["key", "at"]).where("id <> e").select(F.col("id").alias("a"), F.col("e").alias("b"), "at")
     # inserted word: a line's own key among the others' variants
     own = near_lines.select(F.col("id").alias("short"), F.col("own").alias("key"))
@@ -212,13 +219,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ok = F.when(F.size("wa") == F.size("wb"), cut == cut_b).otherwise(cut == F.col("wb"))
     late = pairs.where(ok).select(F.greatest("a", "b").alias("id")).distinct()
     late = write_table(ranked.join(late, "id", "left_semi").select("d1", "d2"), "late")
+    for t in (ranked, near_lines, least):
+        drop_table(t)
+    release_shuffles(spark)
     # an occurrence goes if its line has an earlier neighbour, or is not the line's earliest
     many = distinct.where("m > 1").select("d1", "d2", "o")
     bad = write_table(many.join(late.withColumn("late", F.lit(True)), ["d1", "d2"], "full").select("d1", "d2", "o", "late"), "bad-lines")
+    release_shuffles(spark)
     x = seen.join(bad, ["d1", "d2"]).where(F.coalesce("late", F.lit(False)) | (order != F.col("o")))
     drop = x.groupBy(F.col("doc_id").alias("k_id"), F.col("h").alias("k_h")).agg(F.sort_array(F.collect_set("line")).alias("drop"))
     out = write_table(drop, "dropped")
-    for t in (seen, distinct, shared, picked, ranked, per_doc, near_lines, least, late, bad):
+    for t in (seen, distinct, late, bad):
         drop_table(t)
     release_shuffles(spark)
     return out
