@@ -2,8 +2,10 @@
 
 1. Every document becomes the set of its word shingles; equal sets are one node.
 2. The node's densified signature is cut into bands; nodes with an equal band share a bucket.
-3. Within a bucket the edges form a star: each member is held against the bucket's least
-   node only, so a bucket of m members gives m-1 candidates. They are confirmed on full sets.
+3. Within a bucket the edges form a star: each member is held against the bucket's hub only,
+   so a bucket of m members gives m-1 candidates. They are confirmed on full sets. The hub is
+   the member that meets most others over all its buckets: of a text and its edited copies
+   the text itself, to which nearly all that link with any copy link themselves.
 4. A star can miss a link between two members that both fail against its centre. Members of
    buckets that still hold more than one component are therefore joined exactly: two sets
    that reach the similarity share a shingle among the first few of each in one common order
@@ -81,6 +83,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return picked.mapInArrow(lean(run), "node binary, n long, set array<long>").dropDuplicates(["node"])
 
 
+def _hubs(shared: DataFrame) -> DataFrame:
+    """(key, hub) of the buckets in ``shared`` (key, node, m): the member whose buckets have the
+    most members in all, of several the least. One order holds in all buckets, so that two
+    nodes are never each other's hub."""
+    met = shared.groupBy("node").agg(F.sum("m").alias("met"))
+    first = F.min(F.struct((-F.col("met")).alias("met"), "node"))
+    return shared.join(met, "node").groupBy("key").agg(first.alias("r")).select("key", F.col("r.node").alias("hub"))
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` whose full sets reach the similarity."""
     a = sets.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("set").alias("su"))
@@ -125,16 +136,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.col(text_col).alias("text"))
     told = write_table(sketch(src, shingle, bands, rows), "sketch")
     members = told.where("node is not null").select("node", F.explode("bands").alias("key")).distinct()
-    hubs = write_table(members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("m"))
-                       .where("m > 1").select("key", "hub"), "hubs")
-    shared = write_table(members.join(hubs, "key"), "shared")
+    buckets = write_table(members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
+    shared = write_table(members.join(buckets, "key"), "shared")
+    drop_table(buckets)
+    hubs = write_table(_hubs(shared), "hubs")
     release_shuffles(spark)
     wanted = told.join(shared.select("node").distinct(), "node") \
         .groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("node", "r.*")
     sets = write_table(_sets(src, write_table(wanted, "wanted"), shingle), "sets")
     release_shuffles(spark)
 
-    star = shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    star = shared.join(hubs, "key").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     links = write_table(_confirm(star, sets, percent), "confirmed")
     labels = write_table(components(links), "labels")
     open_ = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("c"))
