@@ -153,8 +153,12 @@ def score_readings_q(spark, sf):
     features); rows-only check."""
     from ..operators import train as TR
     from ..plans.features import feature_table
+    from ..plans.sizing import materialize, release_shuffles
     ev = A.table(spark, sf, "events")
     ft = feature_table(A.telemetry_from_events(ev), A.failures_from_events(ev), tie="tie")
+    if ev.count() > TR.BINNED_ROWS:
+        ft = materialize(ft.select(*S.feature_columns(), S.LABEL))  # the fit reads it several times
+        release_shuffles(spark)
     model = TR.fit(ft, S.feature_columns(), preset="production")
     feats = SC.lone_reading_features(_readings(spark, sf))
     return SC.score(model, feats, RUN_TIME)
